@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_sharding
+from tapeloom.llm import q_chat, q_sharding
 
 
 def queries() -> dict:
     return {
         "op7_sharding": q_sharding.op7_sharding,
+        "op10_chat_formatting": q_chat.op10_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_sharding": q_sharding.OP7_SQL,
+        "op10_chat_formatting": q_chat.OP10_SQL,
     }
