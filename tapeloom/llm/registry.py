@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_chat, q_sharding
+from tapeloom.llm import q_bpe, q_chat, q_packing, q_sharding
 
 
 def queries() -> dict:
     return {
+        "op4_bpe": q_bpe.op4_bpe,
         "op7_sharding": q_sharding.op7_sharding,
+        "op8_packing": q_packing.op8_packing,
         "op10_chat_formatting": q_chat.op10_chat_formatting,
     }
 
