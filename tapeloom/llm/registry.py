@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_bpe, q_chat, q_packing, q_sharding
+from tapeloom.llm import q_bpe, q_chat, q_packing, q_sharding, q_warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op4_bpe": q_bpe.op4_bpe,
         "op7_sharding": q_sharding.op7_sharding,
         "op8_packing": q_packing.op8_packing,
+        "op9_warc": q_warc.op9_warc,
         "op10_chat_formatting": q_chat.op10_chat_formatting,
     }
 
@@ -17,5 +18,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_sharding": q_sharding.OP7_SQL,
+        "op9_warc": q_warc.OP9_SQL,
         "op10_chat_formatting": q_chat.OP10_SQL,
     }
