@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_bpe, q_chat, q_packing, q_sharding, q_toxicity, q_warc
+from tapeloom.llm import q_bpe, q_chat, q_packing, q_quality, q_sharding, q_toxicity, q_warc
 
 
 def queries() -> dict:
     return {
         "op4_bpe": q_bpe.op4_bpe,
         "op5_toxicity": q_toxicity.op5_toxicity,
+        "op6_quality": q_quality.op6_quality,
         "op7_sharding": q_sharding.op7_sharding,
         "op8_packing": q_packing.op8_packing,
         "op9_warc": q_warc.op9_warc,
