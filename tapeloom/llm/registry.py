@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_bpe, q_chat, q_neardup_vectors, q_packing, q_quality, q_sharding, q_toxicity, q_warc
+from tapeloom.llm import q_bpe, q_chat, q_html, q_neardup_vectors, q_packing, q_quality, q_sharding, q_toxicity, q_warc
 
 
 def queries() -> dict:
     return {
+        "op1_html_extraction": q_html.op1_html_extraction,
         "op2_embedding_neardup": q_neardup_vectors.op2_embedding_neardup,
         "op4_bpe": q_bpe.op4_bpe,
         "op5_toxicity": q_toxicity.op5_toxicity,
