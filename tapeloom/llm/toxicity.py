@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.bpe import slices
 from tapeloom.llm.workspace import staged
 
 #: Letters of the class models' n-grams and of the longest shared context.
@@ -30,7 +31,7 @@ GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 20, 19, 18
 #: Labelled rows the two numbers of the calibration are fitted on, at most.
 CALIBRATION_ROWS = 20_000
 #: Words a worker remembers the ratio of.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 800_000
 #: Added to the evidence before its logarithm, and the curve without labels to fit it on.
 FLOOR, DEFAULT_CALIBRATION = 1e-3, (2.0, 8.0)
 #: Longer words are cut into stretches of this many letters.
@@ -100,7 +101,7 @@ def count_words(df: DataFrame, text_col: str, label_col: str, part_col: str) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             seen: dict[str, list[int]] = {}
             for text, label, part in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 at = 2 * part + label
@@ -326,7 +327,7 @@ def evidence(df: DataFrame, model: dict, keep: list[str], text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in batches:
+        for batch in slices(batches, len(keep)):
             x = scorer.evidence([t or "" for t in batch.column(len(keep)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(x)], names=[*keep, "evidence"])
 
@@ -345,7 +346,7 @@ def score_documents(df: DataFrame, model: dict, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in batches:
+        for batch in slices(batches, 1):
             s = scorer.scores([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"]
@@ -361,7 +362,7 @@ def drop_toxic(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in batches:
+        for batch in slices(batches, at):
             yield batch.filter(pa.array(scorer.scores([t or "" for t in batch.column(at).to_pylist()]) < 0.5))
 
     return df.mapInArrow(run, df.schema)
