@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_bpe, q_chat, q_html, q_neardup_vectors, q_packing, q_quality, q_sharding, q_toxicity, q_warc
+from tapeloom.llm import q_bpe, q_chat, q_html, q_jaccard, q_neardup_vectors, q_packing, q_quality, q_sharding, q_toxicity, q_warc
 
 
 def queries() -> dict:
     return {
         "op1_html_extraction": q_html.op1_html_extraction,
         "op2_embedding_neardup": q_neardup_vectors.op2_embedding_neardup,
+        "op3_ngram_jaccard": q_jaccard.op3_ngram_jaccard,
         "op4_bpe": q_bpe.op4_bpe,
         "op5_toxicity": q_toxicity.op5_toxicity,
         "op6_quality": q_quality.op6_quality,
@@ -22,6 +23,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_neardup": q_neardup_vectors.OP2_SQL,
+        "op3_ngram_jaccard": q_jaccard.OP3_SQL,
         "op7_sharding": q_sharding.OP7_SQL,
         "op9_warc": q_warc.OP9_SQL,
         "op10_chat_formatting": q_chat.OP10_SQL,
