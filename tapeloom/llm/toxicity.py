@@ -9,6 +9,7 @@ both classes and say nothing; inflected forms of a toxic stem share its contexts
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,9 @@ DISCOUNT, SHARED_DISCOUNT = 1.5, 0.75
 MARGIN = 3.0
 #: Buckets of the tables by kind; they bound the model at any size of the corpus.
 GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 20, 19, 18
-#: Labelled rows the two numbers of the calibration are fitted on, at most.
+#: The same by the letter of a table: class n-grams, class contexts, shared n-grams, what stands before them.
+TABLE_BITS = {"g": GRAM_BITS, "c": CONTEXT_BITS, "s": SHARED_BITS, "b": SHARED_BITS}
+#: Labelled rows the two numbers of the calibration are fitted on, about this many at most.
 CALIBRATION_ROWS = 20_000
 #: Words a worker remembers the ratio of.
 CACHE_WORDS = 800_000
@@ -56,42 +59,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Grams:
-    """Hashes of every n-gram of a list of words; ``word`` tells whose it is."""
+    """Hashes of every n-gram of a list of words; ``word`` tells whose it is, ``end`` where it ends in ``codes``."""
 
     word: np.ndarray
     by_order: dict[int, np.ndarray]
+    codes: np.ndarray
+    end: np.ndarray
 
 
-def grams_of(words: list[str]) -> Grams:
-    """For each letter (and the end) of each word the hashes of the n-grams that end there.
-
-    ``by_order[k]`` has the last ``k`` letters, for ``k`` up to the shared order,
-    for the class order, and for one less without the last letter (key 0).
-    """
-    pad = chr(_START) * (ORDER - 1)
-    spelled = [pad + w[i : i + WORD_LETTERS] + chr(_STOP) for w in words for i in range(0, len(w), WORD_LETTERS)]
-    owner = [n for n, w in enumerate(words) for _ in range(0, len(w), WORD_LETTERS)]
-    size = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
-    codes = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    word = np.repeat(np.array(owner, dtype=np.int64), size)
-    start = np.repeat(np.cumsum(size) - size, size)
-    end = np.flatnonzero(np.arange(len(codes)) - start >= ORDER - 1)
-    by_order: dict[int, np.ndarray] = {}
+def _hashes(codes: np.ndarray, end: np.ndarray, orders: tuple[int, ...]) -> dict[int, np.ndarray]:
+    """Hashes of the ``k`` letters that end at ``end`` (key k) and of those without the last one (key -k)."""
+    out: dict[int, np.ndarray] = {}
     h = np.zeros(len(end), dtype=np.uint64)
     context = np.zeros(len(end), dtype=np.uint64)
-    for k in range(1, ORDER + 1):
+    for k in range(1, max(orders) + 1):
         letter = codes[end - (k - 1)]
         h = _mixed(h + letter + np.uint64(k))
         if k > 1:
             context = _mixed(context + letter + np.uint64(k))
-        if k <= SHARED_ORDER or k == ORDER:
-            by_order[k] = h
-            by_order[-k] = context  # the same without its last letter
-    return Grams(word[end], by_order)
+        if k in orders:
+            out[k], out[-k] = h, context
+    return out
 
 
-def _as_long(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+
+
+def _hash_strings(keys: list[str], k: int, context: bool) -> np.ndarray:
+    """What :func:`_hashes` gives for n-grams of ``k`` letters, or for contexts that lack the last of them."""
+    if context:
+        keys = [x + " " for x in keys]
+    codes = _codes("".join(keys))
+    return _hashes(codes, np.arange(len(keys)) * k + k - 1, (k,))[-k if context else k]
+
+
+def grams_of(words: list[str]) -> Grams:
+    """For each letter (and the end) of each word the n-grams that end there, of the shared orders and the class order."""
+    pad = chr(_START) * (ORDER - 1)
+    spelled = [pad + w[i : i + WORD_LETTERS] + chr(_STOP) for w in words for i in range(0, len(w), WORD_LETTERS)]
+    owner = [n for n, w in enumerate(words) for _ in range(0, len(w), WORD_LETTERS)]
+    size = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
+    codes = _codes("".join(spelled))
+    word = np.repeat(np.array(owner, dtype=np.int64), size)
+    start = np.repeat(np.cumsum(size) - size, size)
+    end = np.flatnonzero(np.arange(len(codes)) - start >= ORDER - 1)
+    return Grams(word[end], _hashes(codes, end, (*range(1, SHARED_ORDER + 1), ORDER)), codes, end)
 
 
 def count_words(df: DataFrame, text_col: str, label_col: str, part_col: str) -> DataFrame:
@@ -121,84 +134,91 @@ def count_words(df: DataFrame, text_col: str, label_col: str, part_col: str) ->
     return counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")])
 
 
-_KEYS = [ORDER, -ORDER, *[s * k for k in range(1, SHARED_ORDER + 1) for s in (1, -1)]]
-
-
 def count_grams(words: DataFrame) -> DataFrame:
-    """One row per distinct class n-gram: hashes of its parts and its counts."""
-    names = [f"h{k}".replace("-", "c") for k in _KEYS]
+    """One row per distinct class n-gram: its ``ORDER`` letters and its counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             g = grams_of(batch.column(0).to_pylist())
             counts = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5)]
-            keys, first, inverse = np.unique(g.by_order[ORDER], return_index=True, return_inverse=True)
-            sums = [np.bincount(inverse, weights=c[g.word], minlength=len(keys)).astype(np.int64) for c in counts]
-            parts = [pa.array(_as_long(np.ascontiguousarray(g.by_order[k][first]))) for k in _KEYS]
-            yield pa.RecordBatch.from_arrays([*parts, *map(pa.array, sums)], names=[*names, "n0a", "n1a", "n0b", "n1b"])
-
-    schema = ", ".join([f"{n} long" for n in [*names, "n0a", "n1a", "n0b", "n1b"]])
-    rows = words.mapInArrow(run, schema)
-    return rows.groupBy(names[0]).agg(
-        *[F.any_value(n).alias(n) for n in names[1:]], *[F.sum(c).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")]
-    )
+            _, first, inverse = np.unique(g.by_order[ORDER], return_index=True, return_inverse=True)
+            sums = [np.bincount(inverse, weights=c[g.word], minlength=len(first)).astype(np.int64) for c in counts]
+            letters = g.codes[g.end[first][:, None] + np.arange(1 - ORDER, 1)].astype("<u4").tobytes().decode("utf-32-le")
+            grams = [letters[i : i + ORDER] for i in range(0, len(letters), ORDER)]
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *map(pa.array, sums)], names=["gram", "n0a", "n1a", "n0b", "n1b"])
+
+    rows = words.mapInArrow(run, "gram string, n0a long, n1a long, n0b long, n1b long")
+    return rows.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")])
+
+
+def _into_buckets(rows: DataFrame) -> DataFrame:
+    """``kind, key, v`` summed by bucket of the key; ``v`` is an array of numbers."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, keys = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            buckets = np.zeros(len(keys), dtype=np.int32)
+            for kind in np.unique(kinds).tolist():
+                pick = np.flatnonzero(kinds == kind)
+                table, k = kind[0], int(kind[1:])
+                hashes = _hash_strings([keys[i] for i in pick.tolist()], k, context=table in "cb")
+                buckets[pick] = (hashes >> np.uint64(64 - TABLE_BITS[table])).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets), *batch.columns[2:]], names=["kind", "b", *"pqrstuvw"])
 
-def _bucket(hash_col: str, bits: int) -> Column:
-    return F.shiftrightunsigned(F.col(hash_col), 64 - bits).cast("int")
+    schema = "kind string, b int, " + ", ".join(f"{c} float" for c in "pqrstuvw")
+    return rows.mapInArrow(run, schema).groupBy("kind", "b").agg(*[F.sum(c).cast("float").alias(c) for c in "pqrstuvw"])
 
 
-def _tables(grams: DataFrame, toxic: Column, ordinary: Column, scale: float) -> dict[str, np.ndarray]:
-    """The model's arrays from exact n-gram counts; every n-gram is in some bucket.
+def _tables(grams: DataFrame, totals: dict[str, int]) -> list[dict[str, np.ndarray]]:
+    """The arrays of two models (of part a, and of all rows) from exact n-gram counts.
 
-    The larger class is scaled to the smaller, so that both lose the same share
-    to the discount. At most one row per bucket reaches the driver.
+    Every n-gram is in some bucket. In each model the larger class is scaled to
+    the smaller, so that both lose the same share to the discount. At most one
+    row per bucket reaches the driver, in one job for both models.
     """
-    top, context = f"h{ORDER}", f"hc{ORDER}"
-    g = grams.select("*", (ordinary * min(1.0, scale)).alias("c0"), (toxic * min(1.0, 1 / scale)).alias("c1"))
-    g = g.withColumns({f"d{c}": F.greatest(F.col(f"c{c}") - DISCOUNT, F.lit(0.0)) for c in (0, 1)})
-    kept = g.where("d0 > 0 or d1 > 0").select(
-        F.lit("gram").alias("kind"), _bucket(top, GRAM_BITS).alias("b"), F.col("d0").alias("x"), F.col("d1").alias("y"),
-        F.lit(0.0).alias("z"), F.lit(0.0).alias("w"),
-    )
-    by_context = g.groupBy(context).agg(*[F.sum(c).alias(c) for c in ("c0", "c1", "d0", "d1")]).where("d0 > 0 or d1 > 0").select(
-        F.lit("context").alias("kind"), _bucket(context, CONTEXT_BITS).alias("b"), F.col("c0").alias("x"), F.col("c1").alias("y"),
-        F.col("d0").alias("z"), F.col("d1").alias("w"),
-    )
-    rows = kept.unionByName(by_context)
-    longer = grams
+
+    def scaled(n0: Column, n1: Column, t0: int, t1: int) -> list[Column]:
+        ratio = t1 / t0 if t0 and t1 else 1.0
+        return [n0 * min(1.0, ratio), n1 * min(1.0, 1 / ratio)]
+
+    a = [F.col(c).cast("double") for c in ("n0a", "n1a")]
+    both = [F.col(f"n{c}a").cast("double") + F.col(f"n{c}b") for c in (0, 1)]
+    counts = [*scaled(*a, totals["n0a"], totals["n1a"]), *scaled(*both, totals["n0a"] + totals["n0b"], totals["n1a"] + totals["n1b"])]
+    g = grams.select("gram", *[c.alias(f"c{i}") for i, c in enumerate(counts)])
+    g = g.withColumns({f"d{i}": F.greatest(F.col(f"c{i}") - DISCOUNT, F.lit(0.0)) for i in range(4)})
+    told = F.greatest(*[f"d{i}" for i in range(4)]) > 0
+
+    def row(kind: str, key: Column, *values: Column) -> list[Column]:
+        numbers = [*values, *[F.lit(0.0)] * (8 - len(values))]
+        return [F.lit(kind).alias("kind"), key.alias("key"), *[v.cast("float").alias(n) for n, v in zip("pqrstuvw", numbers, strict=True)]]
+
+    rows = g.where(told).select(*row(f"g{ORDER}", F.col("gram"), *[F.col(f"d{i}") for i in range(4)]))
+    contexts = g.groupBy(F.substring("gram", 1, ORDER - 1).alias("key")).agg(*[F.sum(c).alias(c) for c in (*[f"c{i}" for i in range(4)], *[f"d{i}" for i in range(4)])])
+    rows = rows.unionByName(contexts.where(told).select(*row(f"c{ORDER}", F.col("key"), *[F.col(f"{x}{i}") for x in "cd" for i in range(4)])))
+    longer = grams.select(F.col("gram").alias("key"))
     for k in range(SHARED_ORDER, 0, -1):
         # how many distinct longer n-grams end in each of order k
-        keep = [f"h{j}" for j in range(1, k)] + [f"hc{j}" for j in range(1, k + 1)]
-        shorter = longer.groupBy(f"h{k}").agg(F.count(F.lit(1)).alias("n"), *[F.any_value(c).alias(c) for c in keep])
-        ends = shorter.select(
-            F.lit(f"shared{k}").alias("kind"), _bucket(f"h{k}", SHARED_BITS).alias("b"),
-            F.col("n").cast("double").alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), F.lit(0.0).alias("w"),
-        )
-        before = shorter.select(
-            F.lit(f"before{k}").alias("kind"), _bucket(f"hc{k}", SHARED_BITS).alias("b"),
-            F.col("n").cast("double").alias("x"), F.lit(1.0).alias("y"), F.lit(0.0).alias("z"), F.lit(0.0).alias("w"),
-        )
-        rows = rows.unionByName(ends).unionByName(before)
-        longer = shorter
-    rows = rows.groupBy("kind", "b").agg(*[F.sum(c).cast("float").alias(c) for c in "xyzw"])
-    got = rows.toArrow()
-    kind = got["kind"].to_numpy()
-    b, values = got["b"].to_numpy(), [got[c].to_numpy() for c in "xyzw"]
-
-    def table(name: str, bits: int, width: int) -> np.ndarray:
-        out = np.zeros((width, 1 << bits), dtype=np.float32)
+        longer = longer.groupBy(F.right("key", F.lit(k)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        rows = rows.unionByName(longer.select(*row(f"s{k}", F.col("key"), F.col("n"))))
+        rows = rows.unionByName(longer.select(*row(f"b{k}", F.substring("key", 1, k - 1), F.col("n"), F.lit(1))))
+    got = _into_buckets(rows).toArrow()
+    kind, b = got["kind"].to_numpy(), got["b"].to_numpy()
+    values = [got[c].to_numpy() for c in "pqrstuvw"]
+
+    def table(name: str, columns: list[int]) -> np.ndarray:
+        out = np.zeros((len(columns), 1 << TABLE_BITS[name[0]]), dtype=np.float32)
         pick = kind == name
-        for row, v in zip(out, values[:width], strict=True):
-            row[b[pick]] = v[pick]
+        for line, c in zip(out, columns, strict=True):
+            line[b[pick]] = values[c][pick]
         return out
 
-    arrays = {"gram": table("gram", GRAM_BITS, 2), "context": table("context", CONTEXT_BITS, 4)}
+    shared: dict[str, np.ndarray] = {}
     for k in range(1, SHARED_ORDER + 1):
-        arrays[f"shared{k}"] = table(f"shared{k}", SHARED_BITS, 1)
-        arrays[f"before{k}"] = table(f"before{k}", SHARED_BITS, 2)
-    arrays["letters"] = np.array([max(1.0, float((arrays["shared1"] > 0).sum()))])
-    return arrays
+        shared[f"shared{k}"], shared[f"before{k}"] = table(f"s{k}", [0]), table(f"b{k}", [0, 1])
+    shared["letters"] = np.array([max(1.0, float((shared["shared1"] > 0).sum()))])
+    return [
+        {**shared, "gram": table(f"g{ORDER}", [i, i + 1]), "context": table(f"c{ORDER}", [i, i + 1, i + 4, i + 5])} for i in (0, 2)
+    ]
 
 
 def word_ratios(words: list[str], t: dict[str, np.ndarray]) -> np.ndarray:
@@ -293,29 +313,25 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", p
     """Fit both models on all rows of ``labelled`` with a label.
 
     ``part_col`` deals the rows in two (0 and 1): models of part 0 score rows of
-    part 1 to calibrate the score (on CALIBRATION_ROWS rows at most, those whose
-    texts hash lowest), then the counts of both parts make the final model. What
+    part 1 to calibrate the score (on about CALIBRATION_ROWS rows, chosen by the
+    hash of their text), then the counts of both parts make the final model. What
     reaches the driver is one row per bucket of the model's tables.
     """
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"), F.col(part_col).cast("int").alias("part")
     )
     grams = staged(count_grams(staged(count_words(rows, "text", "y", "part"), "toxic-words")), "toxic-grams")
-    total = grams.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")]).first()
-
-    def model(name: str, toxic: Column, ordinary: Column, n1: int, n0: int) -> dict:
-        scale = n1 / n0 if n0 and n1 else 1.0
-        return {"name": name, "tables": _tables(grams, toxic, ordinary, scale), "calibration": DEFAULT_CALIBRATION}
-
-    import uuid
-
-    n1a, n0a = F.col("n1a").cast("double"), F.col("n0a").cast("double")
-    half = model(uuid.uuid4().hex, n1a, n0a, total["n1a"], total["n0a"])
-    held = rows.where("part = 1").orderBy(F.xxhash64("text"), "text", "y").limit(CALIBRATION_ROWS)
+    totals = grams.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")]).first().asDict()
+    half, full = (
+        {"name": uuid.uuid4().hex, "tables": tables, "calibration": DEFAULT_CALIBRATION} for tables in _tables(grams, totals)
+    )
+    held = rows.where("part = 1")
+    share = min(1.0, CALIBRATION_ROWS / max(1, held.count()))
+    held = held.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     got = evidence(held, half, ["y"], "text").toArrow()
-    order = np.lexsort((got["y"].to_numpy(), got["evidence"].to_numpy()))
-    full = model(uuid.uuid4().hex, n1a + F.col("n1b"), n0a + F.col("n0b"), total["n1a"] + total["n1b"], total["n0a"] + total["n0b"])
-    full["calibration"] = _calibration(got["evidence"].to_numpy()[order], got["y"].to_numpy()[order].astype(float))
+    x, y = got["evidence"].to_numpy(), got["y"].to_numpy()
+    order = np.lexsort((y, x))
+    full["calibration"] = _calibration(x[order], y[order].astype(float))
     return full
 
 
