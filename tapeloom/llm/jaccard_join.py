@@ -29,8 +29,10 @@ from tapeloom.llm.workspace import staged
 
 #: Counters of the shingle sketch (a power of two) and the blocks it is summed in.
 SKETCH_BITS, SKETCH_BLOCK_BITS = 20, 14
-#: Bytes of a set's signature: counts of its shingles by bucket.
-SIGNATURE = 128
+#: Least and most bytes of a set's signature: counts of its shingles by bucket.
+SIGNATURE, LONGEST_SIGNATURE = 128, 4096
+#: Leading bits of ids or nodes in the bitmaps that spare work; they bound what is broadcast.
+LEAD_BITS = 18
 #: Ratio of the sizes that a band covers.
 BAND_RATIO = 3
 #: Up to so many sets behind one key are paired outright; more are tied to the first of them.
@@ -91,7 +93,16 @@ def allocate(upper: int, population: int, rate: float, bound: Bound) -> Band:
 
 
 def signature_of(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE), 255).astype(np.uint8).tobytes()
+    """Counts by bucket, a bucket for about three shingles; the number of buckets is a power of two."""
+    n = min(LONGEST_SIGNATURE, max(SIGNATURE, 1 << max(0, (len(s) // 4)).bit_length()))
+    return np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % n, minlength=n), 255).astype(np.uint8).tobytes()
+
+
+def _folded(signatures: np.ndarray, width: int) -> np.ndarray:
+    """Signatures of one length as counts in fewer buckets; counts that reached 255 stay marked by a large number."""
+    wide = signatures.astype(np.int32)
+    wide[signatures == 255] = 1 << 20
+    return wide.reshape(len(wide), -1, width).sum(axis=1)
 
 
 def node_of(s: np.ndarray) -> int:
@@ -293,15 +304,18 @@ def runs_to_pairs(index: DataFrame) -> DataFrame:
     return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, a long, b long")
 
 
+def _fits(n1: np.ndarray, n2: np.ndarray, bound: Bound) -> np.ndarray:
+    return bound.den * np.minimum(n1, n2) >= bound.num * np.maximum(n1, n2)
+
+
 def _close_enough(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray, bound: Bound) -> np.ndarray:
-    """False where sizes or signatures show that two sets are too far apart; never for a link.
+    """False where folded signatures show that two sets are too far apart; never for a link.
 
-    Counts that reached 255 are left out of the distance.
+    Every shingle in just one of the sets changes one count by one. Counts that
+    are not known are left out.
     """
-    fits = bound.den * np.minimum(n1, n2) >= bound.num * np.maximum(n1, n2)
-    known = (s1 < 255) & (s2 < 255)
-    apart = (np.abs(s1.astype(np.int16) - s2.astype(np.int16)) * known).sum(axis=-1, dtype=np.int64)
-    return fits & (apart <= bound.budget(n1, n2))
+    known = (s1 < 1 << 20) & (s2 < 1 << 20)
+    return (np.abs(s1 - s2) * known).sum(axis=-1) <= bound.budget(n1, n2)
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, bound: Bound) -> DataFrame:
@@ -309,34 +323,46 @@ def plausible(pairs: DataFrame, nodes: DataFrame, bound: Bound) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE) for i in (4, 5)]
-            good = pa.array(_close_enough(batch.column(2).to_numpy(), batch.column(3).to_numpy(), *sig, bound))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
+            n1, n2 = (batch.column(i).to_numpy() for i in (2, 3))
+            sig = [batch.column(i).to_pylist() for i in (4, 5)]
+            size = [np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in sig]
+            good = _fits(n1, n2, bound)
+            for w1, w2 in {(int(x), int(y)) for x, y in zip(*size, strict=True)}:
+                pick = np.flatnonzero(good & (size[0] == w1) & (size[1] == w2))
+                for part in (pick[i : i + 4096] for i in range(0, len(pick), 4096)):
+                    s1, s2 = (
+                        _folded(np.frombuffer(b"".join([x[i] for i in part.tolist()]), dtype=np.uint8).reshape(-1, w), min(w1, w2))
+                        for x, w in zip(sig, (w1, w2), strict=True)
+                    )
+                    good[part] = _close_enough(n1[part], n2[part], s1, s2, bound)
+            mask = pa.array(good)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def sets_of(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """``node, members`` of the sets whose nodes are in ``wanted``.
+def sets_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``node, members`` of the sets in ``wanted`` (``node`` and ``rep``, the id of a document that has it).
 
-    Texts are read once more; a bitmap of fixed size (from the nodes' leading
-    bits) spares the shuffle most of the others, a semi-join the rest.
+    Texts are read once more. The buckets of the wanted ids, of a fixed number
+    and broadcast, keep most other documents from being split into words; nodes
+    are told apart exactly afterwards.
     """
-    bits = 20
-    lead = wanted.select(F.shiftrightunsigned("node", 64 - bits).cast("int").alias("b")).distinct().toArrow()["b"].to_numpy()
-    bitmap = np.zeros(1 << bits, dtype=bool)
-    bitmap[lead] = True
-    shared = df.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+
+    def bucket(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(1 << LEAD_BITS)).cast("int")
+
+    buckets = wanted.select(bucket("rep").alias("_bucket")).distinct()
+    texts = df.select(F.col(text_col).alias("text"), bucket(id_col).alias("_bucket")).join(F.broadcast(buckets), "_bucket", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(shared.value)
         seen: set[int] = set()
         for batch in slices(batches, 0):
             nodes, sets = [], []
             for s in shingle_sets(batch.column(0).to_pylist()):
-                if not len(s) or not marks[(node := node_of(s)) >> (64 - bits)] or node in seen:
+                if not len(s) or (node := node_of(s)) in seen:
                     continue
                 if len(seen) < SEEN_SETS:
                     seen.add(node)
@@ -349,7 +375,9 @@ def sets_of(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
                     names=["node", "members"],
                 )
 
-    found = df.select(F.col(text_col).alias("text")).mapInArrow(run, "node long, members array<long>")
+    marks = wanted.select(F.shiftrightunsigned("node", 64 - LEAD_BITS).cast("int").alias("_mark")).distinct()
+    found = texts.select("text").mapInArrow(run, "node long, members array<long>")
+    found = found.withColumn("_mark", F.shiftrightunsigned("node", 64 - LEAD_BITS).cast("int")).join(F.broadcast(marks), "_mark", "left_semi")
     return found.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("members").alias("members"))
 
 
@@ -394,18 +422,29 @@ def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bo
     def compare(batch: pa.Table) -> pa.Table:
         part, i, j = (batch[c].to_numpy() for c in ("part", "i", "j"))
         node, component, n = (batch[c].to_numpy() for c in ("node", "component", "n"))
-        sig = np.frombuffer(b"".join(batch["signature"].to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE)
+        sig = batch["signature"].to_pylist()
+        width = np.fromiter(map(len, sig), dtype=np.int64, count=len(sig))
+        widths = np.unique(width).tolist()
+        folded: dict[int, np.ndarray] = {}
+        for w in widths:  # every signature in all lengths up to its own
+            folded[w] = np.zeros((len(sig), w), dtype=np.int32)
+            for full in widths[widths.index(w) :]:
+                at = np.flatnonzero(width == full)
+                folded[w][at] = _folded(np.frombuffer(b"".join([sig[x] for x in at.tolist()]), dtype=np.uint8).reshape(-1, full), w)
         same = i[0] == j[0]
         rows = np.arange(len(part)) if same else np.flatnonzero(part == i[0])
         cols = np.arange(len(part)) if same else np.flatnonzero(part == j[0])
-        out_a, out_b = [], []
+        out_a, out_b = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)]
         for r in rows.tolist():
             c = cols[(component[cols] != component[r]) & (node[cols] > node[r] if same else True)]
-            if len(c):
-                c = c[_close_enough(n[r], n[c], sig[r], sig[c], bound)]
-                out_a.append(np.full(len(c), node[r]))
-                out_b.append(node[c])
-        a, b = (np.concatenate([*x, np.array([], dtype=np.int64)]) for x in (out_a, out_b))
+            c = c[_fits(n[r], n[c], bound)]
+            for w in widths:
+                at = c[np.minimum(width[c], width[r]) == w]
+                if len(at):
+                    at = at[_close_enough(n[r], n[at], folded[w][r], folded[w][at], bound)]
+                    out_a.append(np.full(len(at), node[r]))
+                    out_b.append(node[at])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
@@ -440,13 +479,17 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = candidates.where("key is not null").select("key", F.col("b").alias("node"))
     pairs = plausible(candidates.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, bound)
     pairs = staged(pairs, "plausible")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
-    sets = staged(sets_of(texts, text_col, wanted), "sets")
-    links = staged(verified(pairs, sets, bound), "similar")
+
+    def exact(some: DataFrame) -> DataFrame:
+        ends = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
+        wanted = staged(ends.join(classes.select("node", "rep"), "node"), "wanted")
+        return verified(some, staged(sets_of(texts, id_col, text_col, wanted), "sets"), bound)
+
+    links = staged(exact(pairs), "similar")
     found = connected_components(links)
     more = staged(across_components(members, classes, found, bound), "across")
     if not more.isEmpty():
-        links = staged(links.union(verified(more, sets, bound)), "similar")
+        links = staged(links.union(exact(more)), "similar")
     reps = classes.select("node", "rep")
     by_rep = (
         links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
