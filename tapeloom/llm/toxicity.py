@@ -34,9 +34,13 @@ TABLE_BITS = {"g": GRAM_BITS, "c": CONTEXT_BITS, "s": SHARED_BITS, "b": SHARED_B
 #: Labelled rows the two numbers of the calibration are fitted on, about this many at most.
 CALIBRATION_ROWS = 20_000
 #: Words a worker remembers the ratio of.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 250_000
 #: Added to the evidence before its logarithm, and the curve without labels to fit it on.
 FLOOR, DEFAULT_CALIBRATION = 1e-3, (2.0, 8.0)
+#: Characters of text that a worker splits into words at a time.
+SLICE_CHARS = 1_500_000
+#: Buckets of labelled ids that are broadcast to spare unlabelled texts the shuffle.
+ID_BUCKETS = 1 << 20
 #: Longer words are cut into stretches of this many letters.
 WORD_LETTERS = 64
 
@@ -114,7 +118,7 @@ def count_words(df: DataFrame, text_col: str, label_col: str, part_col: str) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_CHARS):
             seen: dict[str, list[int]] = {}
             for text, label, part in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 at = 2 * part + label
@@ -262,8 +266,8 @@ class Scorer:
             self.known.clear()
             unseen = set().union(*lists)
         fresh = sorted(unseen)
-        for i in range(0, len(fresh), 50_000):
-            part = fresh[i : i + 50_000]
+        for i in range(0, len(fresh), 16_000):
+            part = fresh[i : i + 16_000]
             self.known.update(zip(part, np.maximum(word_ratios(part, self.model["tables"]) - MARGIN, 0).tolist(), strict=True))
         look = self.known.__getitem__
         return np.array([sum(map(look, ws)) / len(ws) if ws else 0.0 for ws in lists])
@@ -343,7 +347,7 @@ def evidence(df: DataFrame, model: dict, keep: list[str], text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in slices(batches, len(keep)):
+        for batch in slices(batches, len(keep), SLICE_CHARS):
             x = scorer.evidence([t or "" for t in batch.column(len(keep)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(x)], names=[*keep, "evidence"])
 
@@ -362,7 +366,7 @@ def score_documents(df: DataFrame, model: dict, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_CHARS):
             s = scorer.scores([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"]
@@ -378,7 +382,7 @@ def drop_toxic(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, SLICE_CHARS):
             yield batch.filter(pa.array(scorer.scores([t or "" for t in batch.column(at).to_pylist()]) < 0.5))
 
     return df.mapInArrow(run, df.schema)
@@ -390,7 +394,17 @@ def fold(id_col: str) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """``text, toxic, part`` of the labelled documents outside fold 0; fold 4 is part 1."""
+    """``text, toxic, part`` of the labelled documents outside fold 0; fold 4 is part 1.
+
+    Labels may be as many as documents, so the join is a shuffle; the buckets of
+    their ids, ID_BUCKETS numbers at most, go ahead by broadcast and keep most
+    unlabelled texts out of it.
+    """
+
+    def bucket() -> Column:
+        return F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(ID_BUCKETS)).cast("int").alias("_bucket")
+
     known = labels.where(F.col(id_col).isNotNull() & (fold(id_col) != 0)).select(id_col, F.col(label_col).alias("toxic"))
-    texts = documents.where(F.col(id_col).isNotNull() & (fold(id_col) != 0)).select(id_col, "text")
-    return texts.join(known, id_col).select("text", "toxic", (fold(id_col) == 4).cast("int").alias("part"))
+    texts = documents.where(F.col(id_col).isNotNull() & (fold(id_col) != 0)).select(id_col, "text", bucket())
+    texts = texts.join(F.broadcast(known.select(bucket()).distinct()), "_bucket", "left_semi")
+    return texts.join(known.hint("merge"), id_col).select("text", "toxic", (fold(id_col) == 4).cast("int").alias("part"))
