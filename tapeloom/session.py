@@ -28,3 +28,15 @@ def local_session(app: str = "tapeloom", cpus: int | str = "*", **conf: str) ->
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; a Parquet file or a folder of Parquet files."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a temporary one of this machine only where that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.getCheckpointDir() is None:
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tapeloom-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
