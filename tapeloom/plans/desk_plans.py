@@ -244,7 +244,7 @@ def five_minutes(spark: SparkSession, d: str) -> DataFrame:
 
     base = f"{shared_folder(spark)}/five-minutes-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
-    stream = jobs.five_minute_bars(jobs.distinct_events(jobs.event_stream(spark, f"{d}/event[s].parquet", schema), "40 days"), "40 days")
+    stream = jobs.five_minute_bars(jobs.distinct_events(jobs.event_stream(spark, f"{d}/event[s].parquet", schema), "40 days"), None)
     jobs.run_available(stream, f"{base}/out", f"{base}/state", mode="append")
     # windows that the watermark has not closed are completed from the batch side
     done = spark.read.schema(stream.schema).parquet(f"{base}/out")
