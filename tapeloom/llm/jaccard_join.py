@@ -403,51 +403,106 @@ def verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long")
 
 
+class _Family:
+    """Sets that share keys with one pivot: each pair of them is looked at once, however many keys it shares."""
+
+    def __init__(self, same: bool, bound: Bound):
+        self.same, self.bound = same, bound
+        self.members: list[tuple] = []
+        self.todo: np.ndarray | None = None
+
+    def prepare(self) -> None:
+        part, node, component, n, sig = zip(*self.members, strict=True)
+        self.at = {x: i for i, x in enumerate(node)}
+        self.node, self.n, self.part = np.array(node), np.array(n), np.array(part)
+        component = np.array(component)
+        self.width = np.fromiter(map(len, sig), dtype=np.int64, count=len(sig))
+        widths = np.unique(self.width).tolist()
+        self.folded: dict[int, np.ndarray] = {}
+        for w in widths:  # every signature in all lengths up to its own
+            self.folded[w] = np.zeros((len(sig), w), dtype=np.int32)
+            for full in widths[widths.index(w) :]:
+                at = np.flatnonzero(self.width == full)
+                self.folded[w][at] = _folded(np.frombuffer(b"".join([sig[x] for x in at.tolist()]), dtype=np.uint8).reshape(-1, full), w)
+        m = len(node)
+        self.todo = np.zeros((m, m), dtype=bool)
+        for lo in range(0, m, 256):
+            r = slice(lo, min(m, lo + 256))
+            new = (component[r, None] != component[None, :]) & _fits(self.n[r, None], self.n[None, :], self.bound)
+            self.todo[r] = new & (np.arange(m)[None, :] > np.arange(lo, r.stop)[:, None] if self.same else self.part[r, None] < self.part[None, :])
+
+    def pairs(self, nodes: list[int]) -> np.ndarray:
+        """New plausible pairs of one run, two columns of nodes."""
+        if self.todo is None:
+            self.prepare()
+        at = np.sort(np.array([self.at[x] for x in nodes]))
+        sub = self.todo[np.ix_(at, at)]
+        x, y = np.nonzero(sub)
+        x, y = at[x], at[y]
+        self.todo[x, y] = False
+        good = np.zeros(len(x), dtype=bool)
+        both = np.minimum(self.width[x], self.width[y])
+        for w in np.unique(both).tolist():
+            pick = np.flatnonzero(both == w)
+            for part in (pick[i : i + 4096] for i in range(0, len(pick), 4096)):
+                u, v = x[part], y[part]
+                good[part] = _close_enough(self.n[u], self.n[v], self.folded[w][u], self.folded[w][v], self.bound)
+        return np.stack((self.node[x[good]], self.node[y[good]]), axis=1)
+
+
 def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of one long run that are not yet connected and not ruled out by signatures.
 
-    Runs whose sets all belong together need nothing more. Others are cut into
-    blocks of about BLOCK sets and every two blocks are compared in a task of
-    their own, so no task holds a whole run, and no pair is left out.
+    Runs whose sets all belong together need nothing more. The others meet by
+    their least node, so runs of one group of near copies come to one task and
+    a pair is looked at once. Groups are cut into blocks of about BLOCK sets and
+    every two blocks are compared by themselves, so no task holds a whole group,
+    and no pair is left out.
     """
     label = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_runs = label.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")
-    ).where("lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    rows = label.join(mixed_runs, "key").join(nodes.select("node", "n", "signature"), "node")
+    mixed_runs = label.groupBy("key").agg(F.min("node").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    runs = staged(label.join(mixed_runs.select("key", "pivot"), "key"), "mixed-runs")
+    who = runs.select("pivot", "node", "component").distinct()
+    parts = who.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    who = who.join(nodes.select("node", "n", "signature"), "node").select("pivot", F.lit(0).cast("long").alias("key"), "node", "component", "n", "signature", F.lit(0).alias("kind"))
+    rows = who.unionByName(runs.select("pivot", "key", "node", F.lit(1).alias("kind")), allowMissingColumns=True).join(parts, "pivot")
     part = F.pmod(F.col("node"), F.col("parts")).cast("int")
     rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "component", "n", "signature")
-
-    def compare(batch: pa.Table) -> pa.Table:
-        part, i, j = (batch[c].to_numpy() for c in ("part", "i", "j"))
-        node, component, n = (batch[c].to_numpy() for c in ("node", "component", "n"))
-        sig = batch["signature"].to_pylist()
-        width = np.fromiter(map(len, sig), dtype=np.int64, count=len(sig))
-        widths = np.unique(width).tolist()
-        folded: dict[int, np.ndarray] = {}
-        for w in widths:  # every signature in all lengths up to its own
-            folded[w] = np.zeros((len(sig), w), dtype=np.int32)
-            for full in widths[widths.index(w) :]:
-                at = np.flatnonzero(width == full)
-                folded[w][at] = _folded(np.frombuffer(b"".join([sig[x] for x in at.tolist()]), dtype=np.uint8).reshape(-1, full), w)
-        same = i[0] == j[0]
-        rows = np.arange(len(part)) if same else np.flatnonzero(part == i[0])
-        cols = np.arange(len(part)) if same else np.flatnonzero(part == j[0])
-        out_a, out_b = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)]
-        for r in rows.tolist():
-            c = cols[(component[cols] != component[r]) & (node[cols] > node[r] if same else True)]
-            c = c[_fits(n[r], n[c], bound)]
-            for w in widths:
-                at = c[np.minimum(width[c], width[r]) == w]
-                if len(at):
-                    at = at[_close_enough(n[r], n[at], folded[w][r], folded[w][at], bound)]
-                    out_a.append(np.full(len(at), node[r]))
-                    out_b.append(node[at])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    rows = rows.select("pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "kind", "key", "part", "node", "component", "n", "signature")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, family = None, None
+        key, nodes_here = None, []
+        out: list[np.ndarray] = []
+
+        def close() -> None:
+            if len(nodes_here) > 1:
+                out.append(family.pairs(nodes_here))
+
+        for batch in batches:
+            for pivot, i, j, kind, k, part_, node, component, n, sig in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (pivot, i, j) != where:
+                    close()
+                    where, family, key, nodes_here = (pivot, i, j), _Family(i == j, bound), None, []
+                if kind == 0:
+                    family.members.append((part_, node, component, n, sig))
+                    continue
+                if k != key:
+                    close()
+                    key, nodes_here = k, []
+                nodes_here.append(node)
+            found_ = [x for x in out if len(x)]
+            out.clear()
+            if found_:
+                a, b = np.concatenate(found_).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        close()
+        if out and len(out[0]):
+            a, b = out[0].T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    dealt = rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "kind", "key")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
