@@ -41,8 +41,9 @@ LINK_COST, SHORT_COST, TEXT_GAIN, PRIOR = 6.0, 0.6, 2.5, 0.3
 #: Smoothness: neighbours in the page, and neighbours below one parent.
 NEXT_EDGE, PARENT_EDGE = 0.8, 0.6
 
+# a quoted value counts only behind an equals sign; nothing is read twice
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+(?:>|\Z)", re.S
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"(?i)[\s\"'/](class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
