@@ -404,7 +404,11 @@ def verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
 
 
 class _Family:
-    """Sets that share keys with one pivot: each pair of them is looked at once, however many keys it shares."""
+    """Sets that share keys with one pivot: each pair of them is looked at once, however many keys it shares.
+
+    A pair is counted shingle by shingle unless sizes or counts by bucket rule
+    it out, or earlier links have connected it already.
+    """
 
     def __init__(self, same: bool, bound: Bound):
         self.same, self.bound = same, bound
@@ -412,97 +416,101 @@ class _Family:
         self.todo: np.ndarray | None = None
 
     def prepare(self) -> None:
-        part, node, component, n, sig = zip(*self.members, strict=True)
+        part, node, component, sets = zip(*self.members, strict=True)
         self.at = {x: i for i, x in enumerate(node)}
-        self.node, self.n, self.part = np.array(node), np.array(n), np.array(part)
-        component = np.array(component)
-        self.width = np.fromiter(map(len, sig), dtype=np.int64, count=len(sig))
-        widths = np.unique(self.width).tolist()
-        self.folded: dict[int, np.ndarray] = {}
-        for w in widths:  # every signature in all lengths up to its own
-            self.folded[w] = np.zeros((len(sig), w), dtype=np.int32)
-            for full in widths[widths.index(w) :]:
-                at = np.flatnonzero(self.width == full)
-                self.folded[w][at] = _folded(np.frombuffer(b"".join([sig[x] for x in at.tolist()]), dtype=np.uint8).reshape(-1, full), w)
+        self.node, part, self.sets = np.array(node), np.array(part), sets
+        self.n = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+        self.component = list(component)
+        self.up = {c: c for c in component}
         m = len(node)
+        width = min(LONGEST_SIGNATURE, max(SIGNATURE, 1 << (int(self.n.max()) // 4).bit_length()))
+        self.counts = np.zeros((m, width), dtype=np.int16)
+        for i, s in enumerate(sets):
+            self.counts[i] = np.bincount((s.view(np.uint64) >> np.uint64(40)).astype(np.int64) % width, minlength=width)
+        component = np.array(component)
         self.todo = np.zeros((m, m), dtype=bool)
         for lo in range(0, m, 256):
             r = slice(lo, min(m, lo + 256))
             new = (component[r, None] != component[None, :]) & _fits(self.n[r, None], self.n[None, :], self.bound)
-            self.todo[r] = new & (np.arange(m)[None, :] > np.arange(lo, r.stop)[:, None] if self.same else self.part[r, None] < self.part[None, :])
+            self.todo[r] = new & (np.arange(m)[None, :] > np.arange(lo, r.stop)[:, None] if self.same else part[r, None] < part[None, :])
 
-    def pairs(self, nodes: list[int]) -> np.ndarray:
-        """New plausible pairs of one run, two columns of nodes."""
+    def root(self, i: int) -> int:
+        c = self.component[i]
+        while self.up[c] != c:
+            self.up[c] = self.up[self.up[c]]
+            c = self.up[c]
+        return c
+
+    def links(self, nodes: list[int]) -> list[tuple[int, int]]:
+        """Links of one run that connect what was not connected yet."""
         if self.todo is None:
             self.prepare()
-        at = np.sort(np.array([self.at[x] for x in nodes]))
-        sub = self.todo[np.ix_(at, at)]
-        x, y = np.nonzero(sub)
+        at = np.unique(np.array([self.at[x] for x in nodes]))
+        x, y = np.nonzero(self.todo[np.ix_(at, at)])
         x, y = at[x], at[y]
         self.todo[x, y] = False
-        good = np.zeros(len(x), dtype=bool)
-        both = np.minimum(self.width[x], self.width[y])
-        for w in np.unique(both).tolist():
-            pick = np.flatnonzero(both == w)
-            for part in (pick[i : i + 4096] for i in range(0, len(pick), 4096)):
-                u, v = x[part], y[part]
-                good[part] = _close_enough(self.n[u], self.n[v], self.folded[w][u], self.folded[w][v], self.bound)
-        return np.stack((self.node[x[good]], self.node[y[good]]), axis=1)
-
-
-def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bound: Bound) -> DataFrame:
-    """Pairs of one long run that are not yet connected and not ruled out by signatures.
-
-    Runs whose sets all belong together need nothing more. The others meet by
-    their least node, so runs of one group of near copies come to one task and
-    a pair is looked at once. Groups are cut into blocks of about BLOCK sets and
-    every two blocks are compared by themselves, so no task holds a whole group,
-    and no pair is left out.
+        out = []
+        for lo in range(0, len(x), 2048):
+            u, v = x[lo : lo + 2048], y[lo : lo + 2048]
+            apart = np.abs(self.counts[u] - self.counts[v]).sum(axis=1, dtype=np.int64)
+            good = apart <= self.bound.budget(self.n[u], self.n[v])
+            for i, j in zip(u[good].tolist(), v[good].tolist(), strict=True):
+                a, b = self.root(i), self.root(j)
+                if a == b:
+                    continue
+                both = np.sort(np.concatenate((self.sets[i], self.sets[j])))
+                shared = int((both[1:] == both[:-1]).sum())
+                if self.bound.den * shared >= self.bound.num * (len(both) - shared):
+                    self.up[max(a, b)] = min(a, b)
+                    out.append((int(self.node[i]), int(self.node[j])))
+        return out
+
+
+def across_components(runs: DataFrame, who: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+    """Links within long runs that connect what is not connected yet.
+
+    ``runs``: pivot, key, node of the runs whose sets do not all belong together;
+    ``who``: pivot, node, component, n of their sets. Runs meet by their least
+    node, so those of one group of near copies come to one task and a pair is
+    looked at once. Groups are cut into blocks of BLOCK sets (and 500 times as
+    many shingles) and every two blocks are compared by themselves, so no task
+    holds a whole group, and no pair is left out. A task gives at most one link
+    for each of its sets.
     """
-    label = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_runs = label.groupBy("key").agg(F.min("node").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    runs = staged(label.join(mixed_runs.select("key", "pivot"), "key"), "mixed-runs")
-    who = runs.select("pivot", "node", "component").distinct()
-    parts = who.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    who = who.join(nodes.select("node", "n", "signature"), "node").select("pivot", F.lit(0).cast("long").alias("key"), "node", "component", "n", "signature", F.lit(0).alias("kind"))
-    rows = who.unionByName(runs.select("pivot", "key", "node", F.lit(1).alias("kind")), allowMissingColumns=True).join(parts, "pivot")
+    size = F.greatest(F.count(F.lit(1)), F.sum("n") / 500)
+    parts = who.groupBy("pivot").agg(F.ceil(size / BLOCK).cast("int").alias("parts"))
+    rows = who.join(sets, "node").select("pivot", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), "node", "component", "members")
+    rows = rows.unionByName(runs.select("pivot", F.lit(1).alias("kind"), "key", "node"), allowMissingColumns=True).join(parts, "pivot")
     part = F.pmod(F.col("node"), F.col("parts")).cast("int")
     rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "kind", "key", "part", "node", "component", "n", "signature")
+    rows = rows.select("pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "kind", "key", "part", "node", "component", "members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, family = None, None
-        key, nodes_here = None, []
-        out: list[np.ndarray] = []
-
-        def close() -> None:
-            if len(nodes_here) > 1:
-                out.append(family.pairs(nodes_here))
-
+        where, family, key = None, None, None
+        here: list[int] = []
+        out: list[tuple[int, int]] = []
         for batch in batches:
-            for pivot, i, j, kind, k, part_, node, component, n, sig in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            sets_ = batch.column(8)
+            for r, (pivot, i, j, kind, k, part_, node, component) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:8]], strict=True)):
+                if (pivot, i, j) != where or k != key:
+                    if len(here) > 1:
+                        out += family.links(here)
+                    here = []
                 if (pivot, i, j) != where:
-                    close()
-                    where, family, key, nodes_here = (pivot, i, j), _Family(i == j, bound), None, []
+                    where, family = (pivot, i, j), _Family(i == j, bound)
+                key = k
                 if kind == 0:
-                    family.members.append((part_, node, component, n, sig))
-                    continue
-                if k != key:
-                    close()
-                    key, nodes_here = k, []
-                nodes_here.append(node)
-            found_ = [x for x in out if len(x)]
-            out.clear()
-            if found_:
-                a, b = np.concatenate(found_).T
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-        close()
-        if out and len(out[0]):
-            a, b = out[0].T
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                    family.members.append((part_, node, component, sets_[r].values.to_numpy()))
+                else:
+                    here.append(node)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out]), pa.array([max(p) for p in out])], names=["a", "b"])
+                out = []
+        if len(here) > 1 and (out := family.links(here)):
+            yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out]), pa.array([max(p) for p in out])], names=["a", "b"])
 
     dealt = rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "kind", "key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
@@ -542,9 +550,14 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     links = staged(exact(pairs), "similar")
     found = connected_components(links)
-    more = staged(across_components(members, classes, found, bound), "across")
-    if not more.isEmpty():
-        links = staged(links.union(exact(more)), "similar")
+    label = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    open_runs = label.groupBy("key").agg(F.min("node").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    runs = staged(label.join(open_runs.select("key", "pivot"), "key").select("pivot", "key", "node", "component").distinct(), "open-runs")
+    if not runs.isEmpty():
+        who = runs.select("pivot", "node", "component").distinct().join(classes.select("node", "n"), "node")
+        wanted = staged(runs.select("node").distinct().join(classes.select("node", "rep"), "node"), "wanted")
+        sets = staged(sets_of(texts, id_col, text_col, wanted), "sets")
+        links = staged(links.union(across_components(runs, who, sets, bound)), "similar")
     reps = classes.select("node", "rep")
     by_rep = (
         links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
