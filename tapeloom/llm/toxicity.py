@@ -9,9 +9,8 @@ both classes and say nothing; inflected forms of a toxic stem share its contexts
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +26,18 @@ ORDER, SHARED_ORDER = 7, 4
 DISCOUNT, SHARED_DISCOUNT = 1.5, 0.75
 #: Log-likelihood ratio a word must exceed before it speaks for a class.
 MARGIN = 3.0
-#: Buckets of the tables by kind; they bound the model at any size of the corpus.
-GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 20, 19, 18
-#: The same by the letter of a table: class n-grams, class contexts, shared n-grams, what stands before them.
-TABLE_BITS = {"g": GRAM_BITS, "c": CONTEXT_BITS, "s": SHARED_BITS, "b": SHARED_BITS}
 #: Labelled rows the two numbers of the calibration are fitted on, about this many at most.
 CALIBRATION_ROWS = 20_000
-#: Words a worker remembers the ratio of.
-CACHE_WORDS = 250_000
+#: Words a task remembers so as to list them once.
+SEEN_WORDS = 250_000
+#: Telling words that are broadcast, those that most tasks met; all others are joined.
+HOT_WORDS = 100_000
+#: Buckets of the telling words that are joined; they spare other words the shuffle.
+REST_BITS = 20
+#: Buckets of n-grams with the most that one of them says for toxic; words that cannot exceed MARGIN by them are not joined.
+BOUND_BITS = 20
+#: Logarithms and weights are summed as whole numbers, so that sums do not depend on their order.
+LOG_UNIT, WEIGHT_UNIT = 1e9, 1e6
 #: Added to the evidence before its logarithm, and the curve without labels to fit it on.
 FLOOR, DEFAULT_CALIBRATION = 1e-3, (2.0, 8.0)
 #: Characters of text that a worker splits into words at a time.
@@ -47,7 +50,6 @@ WORD_LETTERS = 64
 # Fixed value: marks stripped from both ends of a word.
 STRIP = ".,;:!?#$%&*|\"'()[]{}<>-_=+~`/\\"
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 _START, _STOP = 1, 2
 
 
@@ -56,59 +58,13 @@ def words_of(text: str) -> list[str]:
     return [w for w in [x.strip(STRIP) for x in text.lower().split()] if w]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _MIX
-    return x ^ (x >> np.uint64(29))
-
-
-@dataclass
-class Grams:
-    """Hashes of every n-gram of a list of words; ``word`` tells whose it is, ``end`` where it ends in ``codes``."""
-
-    word: np.ndarray
-    by_order: dict[int, np.ndarray]
-    codes: np.ndarray
-    end: np.ndarray
-
-
-def _hashes(codes: np.ndarray, end: np.ndarray, orders: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """Hashes of the ``k`` letters that end at ``end`` (key k) and of those without the last one (key -k)."""
-    out: dict[int, np.ndarray] = {}
-    h = np.zeros(len(end), dtype=np.uint64)
-    context = np.zeros(len(end), dtype=np.uint64)
-    for k in range(1, max(orders) + 1):
-        letter = codes[end - (k - 1)]
-        h = _mixed(h + letter + np.uint64(k))
-        if k > 1:
-            context = _mixed(context + letter + np.uint64(k))
-        if k in orders:
-            out[k], out[-k] = h, context
-    return out
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-
-
-def _hash_strings(keys: list[str], k: int, context: bool) -> np.ndarray:
-    """What :func:`_hashes` gives for n-grams of ``k`` letters, or for contexts that lack the last of them."""
-    if context:
-        keys = [x + " " for x in keys]
-    codes = _codes("".join(keys))
-    return _hashes(codes, np.arange(len(keys)) * k + k - 1, (k,))[-k if context else k]
-
-
-def grams_of(words: list[str]) -> Grams:
-    """For each letter (and the end) of each word the n-grams that end there, of the shared orders and the class order."""
+def grams_of(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """For each letter (and the end) of each word the ``ORDER`` letters that end there, and the word they are of."""
     pad = chr(_START) * (ORDER - 1)
     spelled = [pad + w[i : i + WORD_LETTERS] + chr(_STOP) for w in words for i in range(0, len(w), WORD_LETTERS)]
     owner = [n for n, w in enumerate(words) for _ in range(0, len(w), WORD_LETTERS)]
-    size = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
-    codes = _codes("".join(spelled))
-    word = np.repeat(np.array(owner, dtype=np.int64), size)
-    start = np.repeat(np.cumsum(size) - size, size)
-    end = np.flatnonzero(np.arange(len(codes)) - start >= ORDER - 1)
-    return Grams(word[end], _hashes(codes, end, (*range(1, SHARED_ORDER + 1), ORDER)), codes, end)
+    size = np.fromiter((len(x) - ORDER + 1 for x in spelled), dtype=np.int64, count=len(spelled))
+    return np.repeat(np.array(owner, dtype=np.int64), size), [x[i : i + ORDER] for x in spelled for i in range(len(x) - ORDER + 1)]
 
 
 def count_words(df: DataFrame, text_col: str, label_col: str, part_col: str) -> DataFrame:
@@ -143,42 +99,25 @@ def count_grams(words: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g = grams_of(batch.column(0).to_pylist())
+            word, letters = grams_of(batch.column(0).to_pylist())
             counts = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5)]
-            _, first, inverse = np.unique(g.by_order[ORDER], return_index=True, return_inverse=True)
-            sums = [np.bincount(inverse, weights=c[g.word], minlength=len(first)).astype(np.int64) for c in counts]
-            letters = g.codes[g.end[first][:, None] + np.arange(1 - ORDER, 1)].astype("<u4").tobytes().decode("utf-32-le")
-            grams = [letters[i : i + ORDER] for i in range(0, len(letters), ORDER)]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *map(pa.array, sums)], names=["gram", "n0a", "n1a", "n0b", "n1b"])
+            told = pa.array(letters, pa.string()).dictionary_encode()
+            at = told.indices.to_numpy()
+            sums = [np.bincount(at, weights=c[word], minlength=len(told.dictionary)).astype(np.int64) for c in counts]
+            yield pa.RecordBatch.from_arrays([told.dictionary, *map(pa.array, sums)], names=["gram", "n0a", "n1a", "n0b", "n1b"])
 
     rows = words.mapInArrow(run, "gram string, n0a long, n1a long, n0b long, n1b long")
     return rows.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")])
 
 
-def _into_buckets(rows: DataFrame) -> DataFrame:
-    """``kind, key, v`` summed by bucket of the key; ``v`` is an array of numbers."""
+def _tables(grams: DataFrame, totals: dict[str, int]) -> dict:
+    """The exact tables of two models (of part a, and of all rows), keyed by letters.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds, keys = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            buckets = np.zeros(len(keys), dtype=np.int32)
-            for kind in np.unique(kinds).tolist():
-                pick = np.flatnonzero(kinds == kind)
-                table, k = kind[0], int(kind[1:])
-                hashes = _hash_strings([keys[i] for i in pick.tolist()], k, context=table in "cb")
-                buckets[pick] = (hashes >> np.uint64(64 - TABLE_BITS[table])).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets), *batch.columns[2:]], names=["kind", "b", *"pqrstuvw"])
-
-    schema = "kind string, b int, " + ", ".join(f"{c} float" for c in "pqrstuvw")
-    return rows.mapInArrow(run, schema).groupBy("kind", "b").agg(*[F.sum(c).cast("float").alias(c) for c in "pqrstuvw"])
-
-
-def _tables(grams: DataFrame, totals: dict[str, int]) -> list[dict[str, np.ndarray]]:
-    """The arrays of two models (of part a, and of all rows) from exact n-gram counts.
-
-    Every n-gram is in some bucket. In each model the larger class is scaled to
-    the smaller, so that both lose the same share to the discount. At most one
-    row per bucket reaches the driver, in one job for both models.
+    In each model the larger class is scaled to the smaller, so that both lose
+    the same share to the discount. ``grams`` has what is left of each class
+    n-gram (``d``), ``contexts`` their sums before (``c``) and after; columns 0
+    and 1 are of part a, 2 and 3 of all rows. ``shared`` and ``before`` have the
+    continuation counts by order. Only two rows reach the driver.
     """
 
     def scaled(n0: Column, n1: Column, t0: int, t1: int) -> list[Column]:
@@ -191,103 +130,117 @@ def _tables(grams: DataFrame, totals: dict[str, int]) -> list[dict[str, np.ndarr
     g = grams.select("gram", *[c.alias(f"c{i}") for i, c in enumerate(counts)])
     g = g.withColumns({f"d{i}": F.greatest(F.col(f"c{i}") - DISCOUNT, F.lit(0.0)) for i in range(4)})
     told = F.greatest(*[f"d{i}" for i in range(4)]) > 0
-
-    def row(kind: str, key: Column, *values: Column) -> list[Column]:
-        numbers = [*values, *[F.lit(0.0)] * (8 - len(values))]
-        return [F.lit(kind).alias("kind"), key.alias("key"), *[v.cast("float").alias(n) for n, v in zip("pqrstuvw", numbers, strict=True)]]
-
-    rows = g.where(told).select(*row(f"g{ORDER}", F.col("gram"), *[F.col(f"d{i}") for i in range(4)]))
-    contexts = g.groupBy(F.substring("gram", 1, ORDER - 1).alias("key")).agg(*[F.sum(c).alias(c) for c in (*[f"c{i}" for i in range(4)], *[f"d{i}" for i in range(4)])])
-    rows = rows.unionByName(contexts.where(told).select(*row(f"c{ORDER}", F.col("key"), *[F.col(f"{x}{i}") for x in "cd" for i in range(4)])))
-    longer = grams.select(F.col("gram").alias("key"))
+    contexts = g.groupBy(F.substring("gram", 1, ORDER - 1).alias("context")).agg(
+        *[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)], *[F.sum(f"d{i}").alias(f"k{i}") for i in range(4)]
+    )
+    contexts = staged(contexts.where(F.greatest(*[f"k{i}" for i in range(4)]) > 0), "toxic-contexts")
+    longer, shared, before = grams.select(F.col("gram").alias("key")), {}, {}
     for k in range(SHARED_ORDER, 0, -1):
         # how many distinct longer n-grams end in each of order k
-        longer = longer.groupBy(F.right("key", F.lit(k)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-        rows = rows.unionByName(longer.select(*row(f"s{k}", F.col("key"), F.col("n"))))
-        rows = rows.unionByName(longer.select(*row(f"b{k}", F.substring("key", 1, k - 1), F.col("n"), F.lit(1))))
-    got = _into_buckets(rows).toArrow()
-    kind, b = got["kind"].to_numpy(), got["b"].to_numpy()
-    values = [got[c].to_numpy() for c in "pqrstuvw"]
-
-    def table(name: str, columns: list[int]) -> np.ndarray:
-        out = np.zeros((len(columns), 1 << TABLE_BITS[name[0]]), dtype=np.float32)
-        pick = kind == name
-        for line, c in zip(out, columns, strict=True):
-            line[b[pick]] = values[c][pick]
-        return out
-
-    shared: dict[str, np.ndarray] = {}
+        longer = longer.groupBy(F.right("key", F.lit(k)).alias("key")).agg(F.count(F.lit(1)).alias("seen"))
+        longer = shared[k] = staged(longer, f"toxic-shared{k}")
+        before[k] = longer.groupBy(F.substring("key", 1, k - 1).alias("prefix")).agg(F.sum("seen").alias("total"), F.count(F.lit(1)).alias("types"))
+    first = before.pop(1).agg(F.sum("total").alias("total"), F.sum("types").alias("types")).first()
+    return {
+        "grams": g.where(told).select("gram", *[f"d{i}" for i in range(4)]), "contexts": contexts, "shared": shared, "before": before,
+        "total": first["total"] or 0, "letters": first["types"] or 0,
+    }
+
+
+def _backoff(ends: DataFrame, tables: dict) -> DataFrame:
+    """``key, p``: the shared model's probability of the last letter of each distinct ``key`` of SHARED_ORDER letters."""
+    keys = {SHARED_ORDER: ends}
+    for k in range(SHARED_ORDER - 1, 0, -1):
+        keys[k] = keys[k + 1].select(F.right("key", F.lit(k)).alias("key")).distinct()
+    p = None
     for k in range(1, SHARED_ORDER + 1):
-        shared[f"shared{k}"], shared[f"before{k}"] = table(f"s{k}", [0]), table(f"b{k}", [0, 1])
-    shared["letters"] = np.array([max(1.0, float((shared["shared1"] > 0).sum()))])
-    return [
-        {**shared, "gram": table(f"g{ORDER}", [i, i + 1]), "context": table(f"c{ORDER}", [i, i + 1, i + 4, i + 5])} for i in (0, 2)
-    ]
+        rows = keys[k].join(tables["shared"][k], "key", "left")
+        if p is None:
+            rows = rows.withColumns({"total": F.lit(tables["total"]), "types": F.lit(tables["letters"]), "q": F.lit(1.0 / max(1, tables["letters"]))})
+        else:
+            rows = rows.withColumns({"prefix": F.substring("key", 1, k - 1), "rest": F.right("key", F.lit(k - 1))})
+            rows = rows.join(tables["before"][k], "prefix", "left").join(p.select(F.col("key").alias("rest"), F.col("p").alias("q")), "rest")
+        seen = F.greatest(F.coalesce("seen", F.lit(0)) - SHARED_DISCOUNT, F.lit(0.0))
+        p = rows.select("key", F.when(F.col("total") > 0, (seen + SHARED_DISCOUNT * F.col("types") * F.col("q")) / F.col("total")).otherwise(F.col("q")).alias("p"))
+    return p
 
 
-def word_ratios(words: list[str], t: dict[str, np.ndarray]) -> np.ndarray:
-    """Toxic minus ordinary log-likelihood of each word."""
-    if not words:
-        return np.array([])
-    g = grams_of(words)
+def distinct_words(df: DataFrame, text_col: str) -> DataFrame:
+    """``word, n`` of all texts; ``n`` is how often a task listed it, which tells common words from rare ones."""
 
-    def at(key: int, bits: int) -> np.ndarray:
-        return (g.by_order[key] >> np.uint64(64 - bits)).astype(np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in slices(batches, 0, SLICE_CHARS):
+            fresh = set().union(*[words_of(t or "") for t in batch.column(0).to_pylist()]) - seen
+            if len(seen) < SEEN_WORDS:
+                seen |= fresh
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(fresh), pa.string())], names=["word"])
 
-    p = np.full(len(g.word), 1.0) / t["letters"][0]
-    for k in range(1, SHARED_ORDER + 1):
-        seen, before = t[f"shared{k}"][0][at(k, SHARED_BITS)], at(-k, SHARED_BITS)
-        total, types = t[f"before{k}"][0][before], t[f"before{k}"][1][before]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            q = (np.maximum(seen - SHARED_DISCOUNT, 0) + SHARED_DISCOUNT * types * p) / total
-        p = np.where(total > 0, q, p)
-    gram, context = at(ORDER, GRAM_BITS), at(-ORDER, CONTEXT_BITS)
-    logs = []
-    for c in (0, 1):
-        total, kept = t["context"][c][context], t["context"][2 + c][context]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = t["gram"][c][gram] / total + (1 - kept / total) * p
-        logs.append(np.log(np.maximum(np.where(kept > 0, own, p), 1e-30)))
-    return np.bincount(g.word, weights=logs[1] - logs[0], minlength=len(words))
-
-
-class Scorer:
-    """Ratios of words, remembered by the worker; used by every task it runs."""
-
-    def __init__(self, model: dict):
-        self.model = model
-        self.known: dict[str, float] = {}
-
-    def evidence(self, texts: list[str]) -> np.ndarray:
-        """Per text the words' ratios beyond MARGIN, summed and divided by the number of words."""
-        lists = [words_of(t) for t in texts]
-        unseen = set().union(*lists).difference(self.known) if lists else set()
-        if len(self.known) + len(unseen) > CACHE_WORDS:
-            self.known.clear()
-            unseen = set().union(*lists)
-        fresh = sorted(unseen)
-        for i in range(0, len(fresh), 16_000):
-            part = fresh[i : i + 16_000]
-            self.known.update(zip(part, np.maximum(word_ratios(part, self.model["tables"]) - MARGIN, 0).tolist(), strict=True))
-        look = self.known.__getitem__
-        return np.array([sum(map(look, ws)) / len(ws) if ws else 0.0 for ws in lists])
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        slope, shift = self.model["calibration"]
-        x = slope * _spread(self.evidence(texts)) + shift
-        return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-
-
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(shared) -> Scorer:
-    """One scorer for each model that a worker meets; the last one stays."""
-    model = shared.value
-    if model["name"] not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model["name"]] = Scorer(model)
-    return _SCORERS[model["name"]]
+    return df.select(text_col).mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_ratios(words: DataFrame, model: dict, least: float | None = None) -> DataFrame:
+    """``word, ratio``: toxic minus ordinary log-likelihood of each of the distinct ``words``, by joins with the exact tables.
+
+    A letter whose context no class knows says nothing; words of such letters
+    only are left out, and of those whose ratio is ``least`` or below some too.
+    """
+    t, i = model["tables"], model["columns"]
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, letters = grams_of(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(word)), pa.array(letters, pa.string())], names=["word", "gram"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(set(grams_of(batch.column(0).to_pylist())[1])), pa.string())], names=["gram"])
+
+    only = words.select("word")
+    contexts = t["contexts"].select("context", *[F.col(f"{x}{i + c}").alias(f"{x}{c}") for x in "ck" for c in (0, 1)]).where("k0 > 0 or k1 > 0")
+    own = t["grams"].select("gram", *[F.col(f"d{i + c}").alias(f"d{c}") for c in (0, 1)])
+    met = only.mapInArrow(once, "gram string").distinct().withColumn("context", F.substring("gram", 1, ORDER - 1))
+    met = met.join(own, "gram", "left").join(contexts, "context")
+    # a class's own probability is a + b x p
+    part = [F.when(F.col(f"k{c}") > 0, F.coalesce(f"d{c}", F.lit(0.0)) / F.col(f"c{c}")).otherwise(F.lit(0.0)).alias(f"a{c}") for c in (0, 1)]
+    part += [F.when(F.col(f"k{c}") > 0, 1 - F.col(f"k{c}") / F.col(f"c{c}")).otherwise(F.lit(1.0)).alias(f"b{c}") for c in (0, 1)]
+    met = staged(met.select("gram", F.right("gram", F.lit(SHARED_ORDER)).alias("key"), *part), "toxic-met")
+    met = met.join(_backoff(met.select("key").distinct(), t), "key")
+    logs = [F.log(F.greatest(F.col(f"a{c}") + F.col(f"b{c}") * F.col("p"), F.lit(1e-30))) for c in (0, 1)]
+    says = met.select("gram", F.round((logs[1] - logs[0]) * LOG_UNIT).cast("long").alias("says")).where("says <> 0")
+    if least is not None:
+        says = staged(says, "toxic-says")
+        bucket = F.shiftrightunsigned(F.crc32(F.col("gram").cast("binary")).cast("long"), 32 - BOUND_BITS).cast("int")
+        most = says.where("says > 0").groupBy(bucket.alias("b")).agg(F.max("says").alias("says")).toArrow()
+        bound = np.zeros(1 << BOUND_BITS, dtype=np.int64)
+        bound[most["b"].to_numpy()] = most["says"].to_numpy()
+        shared = words.sparkSession.sparkContext.broadcast(bound)
+
+        def able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                word, letters = grams_of(batch.column(0).to_pylist())
+                at = np.fromiter((zlib.crc32(x.encode()) >> (32 - BOUND_BITS) for x in letters), dtype=np.int64, count=len(letters))
+                yield batch.filter(pa.array(np.bincount(word, weights=shared.value[at], minlength=batch.num_rows) > least * LOG_UNIT - 1))
+
+        only = only.mapInArrow(able, "word string")
+    rows = only.mapInArrow(listed, "word string, gram string")
+    return rows.join(says, "gram").groupBy("word").agg((F.sum("says") / LOG_UNIT).alias("ratio"))
+
+
+def telling_words(df: DataFrame, model: dict, text_col: str) -> DataFrame:
+    """``word, weight, n`` of the words in ``df`` whose ratio exceeds MARGIN; no other word counts in a score."""
+    words = staged(distinct_words(df, text_col), "toxic-met-words")
+    weight = F.round((F.col("ratio") - MARGIN) * WEIGHT_UNIT).cast("long")
+    ratios = word_ratios(words, model, MARGIN).select("word", weight.alias("weight")).where("weight > 0")
+    return staged(ratios.join(words, "word"), "toxic-telling")
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def _rest_bucket(word: Column) -> Column:
+    return F.shiftrightunsigned(F.crc32(word.cast("binary")).cast("long"), 32 - REST_BITS).cast("int")
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -318,20 +271,19 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", p
 
     ``part_col`` deals the rows in two (0 and 1): models of part 0 score rows of
     part 1 to calibrate the score (on about CALIBRATION_ROWS rows, chosen by the
-    hash of their text), then the counts of both parts make the final model. What
-    reaches the driver is one row per bucket of the model's tables.
+    hash of their text), then the counts of both parts make the final model. Its
+    tables stay in Spark; no count is merged with another.
     """
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"), F.col(part_col).cast("int").alias("part")
     )
     grams = staged(count_grams(staged(count_words(rows, "text", "y", "part"), "toxic-words")), "toxic-grams")
     totals = grams.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0a", "n1a", "n0b", "n1b")]).first().asDict()
-    half, full = (
-        {"name": uuid.uuid4().hex, "tables": tables, "calibration": DEFAULT_CALIBRATION} for tables in _tables(grams, totals)
-    )
+    tables = _tables(grams, totals)
+    half, full = ({"tables": tables, "columns": i, "calibration": DEFAULT_CALIBRATION} for i in (0, 2))
     held = rows.where("part = 1")
     share = min(1.0, CALIBRATION_ROWS / max(1, held.count()))
-    held = held.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    held = staged(held.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text", "y"), "toxic-held")
     got = evidence(held, half, ["y"], "text").toArrow()
     x, y = got["evidence"].to_numpy(), got["y"].to_numpy()
     order = np.lexsort((y, x))
@@ -340,18 +292,61 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", p
 
 
 def evidence(df: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``evidence``, the length-normalised ratio, of every row."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    picked = df.select(*keep, F.col(text_col).alias("_text"))
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + ["evidence double"])
+    """``keep`` columns and ``evidence`` of every row: what its words' ratios exceed MARGIN by, summed and divided by the number of words.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
-        for batch in slices(batches, len(keep), SLICE_CHARS):
-            x = scorer.evidence([t or "" for t in batch.column(len(keep)).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(x)], names=[*keep, "evidence"])
+    The HOT_WORDS most common telling words are looked up in the workers. Of
+    all others each text lists its own, and these are joined; equal texts are
+    joined once.
+    """
+    telling = telling_words(df, model, text_col)
+    hot = telling.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "weight").toArrow()
+    weights = dict(zip(hot["word"].to_pylist(), hot["weight"].to_pylist(), strict=True))
+    rest = open_buckets = None
+    if telling.count() > len(weights):
+        common = df.sparkSession.createDataFrame(hot.select(["word"]))
+        rest = staged(telling.join(F.broadcast(common), "word", "left_anti").select("word", "weight"), "toxic-rest")
+        found = rest.select(_rest_bucket(F.col("word")).alias("b")).distinct().toArrow()["b"].to_numpy()
+        marks = np.zeros(1 << REST_BITS, dtype=bool)
+        marks[found] = True
+        open_buckets = np.packbits(marks)
+    shared = df.sparkSession.sparkContext.broadcast((weights, open_buckets))
+    names = [f"_keep{i}" for i in range(len(keep))]
+    kinds = [f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)]
+    picked = df.select(*[F.col(c).alias(n) for n, c in zip(names, keep, strict=True)], *([] if rest is None else [_digest(F.col(text_col)).alias("_digest")]), F.col(text_col).alias("_text"))
+    given = picked.columns
+    at = len(given) - 1
+    schema = ", ".join([*kinds, *([] if rest is None else ["_digest string"]), "_sum long, _words long", *([] if rest is None else ["_open array<string>"])])
 
-    return picked.mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, buckets = shared.value
+        look = weights.get
+        for batch in slices(batches, at, SLICE_CHARS):
+            lists = [words_of(t or "") for t in batch.column(at).to_pylist()]
+            columns = [pa.array([sum([look(w, 0) for w in ws]) for ws in lists], pa.int64()), pa.array(map(len, lists), pa.int64())]
+            if buckets is not None:
+                fresh = [w for w in set().union(*lists) if w not in weights]
+                hashes = [zlib.crc32(w.encode()) >> (32 - REST_BITS) for w in fresh]
+                may = {w for w, h in zip(fresh, hashes, strict=True) if buckets[h >> 3] >> (7 - (h & 7)) & 1}
+                columns.append(pa.array([[w for w in ws if w in may] for ws in lists], pa.list_(pa.string())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], names=[*given[:at], "_sum", "_words", "_open"][: at + len(columns)])
+
+    rows = picked.mapInArrow(run, schema)
+    total = F.col("_sum")
+    if rest is not None:
+        rows = staged(rows, "toxic-open")
+        listed = rows.where(F.size("_open") > 0).groupBy("_digest").agg(F.first("_open").alias("_open"))
+        listed = listed.select("_digest", F.explode("_open").alias("word")).groupBy("_digest", "word").agg(F.count(F.lit(1)).alias("times"))
+        more = listed.join(rest, "word").groupBy("_digest").agg(F.sum(F.col("times") * F.col("weight")).alias("_more"))
+        rows = rows.join(more, "_digest", "left")
+        total = total + F.coalesce("_more", F.lit(0))
+    x = F.when(F.col("_words") > 0, total / WEIGHT_UNIT / F.col("_words")).otherwise(F.lit(0.0))
+    return rows.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], x.alias("evidence"))
+
+
+def _score(evidence: Column, model: dict) -> Column:
+    slope, shift = model["calibration"]
+    x = F.log(evidence + FLOOR) * slope + shift
+    return 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(500.0)), F.lit(-500.0))))
 
 
 def score_documents(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,31 +356,13 @@ def score_documents(df: DataFrame, model: dict, id_col: str = "doc_id", text_col
     evidence. Null and repeated ids are kept; other columns are not read; an
     empty table gives no rows.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    key = df.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
-        for batch in slices(batches, 1, SLICE_CHARS):
-            s = scorer.scores([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"]
-            )
-
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {key}, score double, predicted int")
+    scored = evidence(df, model, [id_col], text_col).select(id_col, _score(F.col("evidence"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that are not predicted toxic, with all their columns."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    at = df.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
-        for batch in slices(batches, at, SLICE_CHARS):
-            yield batch.filter(pa.array(scorer.scores([t or "" for t in batch.column(at).to_pylist()]) < 0.5))
-
-    return df.mapInArrow(run, df.schema)
+    return evidence(df, model, df.columns, text_col).where(_score(F.col("evidence"), model) < 0.5).drop("evidence")
 
 
 def fold(id_col: str) -> Column:

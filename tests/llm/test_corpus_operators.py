@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -199,6 +200,61 @@ def test_toxicity_on_planted_words(spark):
     assert toxicity.fit(df.limit(0))["calibration"] == toxicity.DEFAULT_CALIBRATION
 
 
+def _spelled_ratio(word, grams, totals, columns):
+    """The documented model of one word from plain dictionaries of exact counts."""
+    order, top = toxicity.ORDER, toxicity.SHARED_ORDER
+    n = [sum(totals[c + p] for p in columns) for c in ("n0", "n1")]
+    scale = [min(1.0, n[1] / n[0]), min(1.0, n[0] / n[1])]
+    c = {g: [scale[k] * sum(v[f"n{k}{p}"] for p in columns) for k in (0, 1)] for g, v in grams.items()}
+    shared, longer = {}, set(grams)
+    for k in range(top, 0, -1):
+        shared[k] = Counter(x[-k:] for x in longer)
+        longer = set(shared[k])
+    out = 0.0
+    for g in toxicity.grams_of([word])[1]:
+        p = 1 / len(shared[1])
+        for k in range(1, top + 1):
+            same = [v for x, v in shared[k].items() if x[:-1] == g[-k:][:-1]]
+            if same:
+                p = (max(shared[k][g[-k:]] - toxicity.SHARED_DISCOUNT, 0) + toxicity.SHARED_DISCOUNT * len(same) * p) / sum(same)
+        logs = []
+        for k in (0, 1):
+            row = [v[k] for x, v in c.items() if x[: order - 1] == g[: order - 1]]
+            kept = sum(max(v - toxicity.DISCOUNT, 0) for v in row)
+            own = max(c.get(g, [0, 0])[k] - toxicity.DISCOUNT, 0) / sum(row) + (1 - kept / sum(row)) * p if kept > 0 else p
+            logs.append(math.log(max(own, 1e-30)))
+        out += logs[1] - logs[0]
+    return out
+
+
+def test_toxicity_counts_are_exact(spark, monkeypatch):
+    rnd = random.Random(12)
+    plain = ["".join(rnd.choice("aeioulnrstäж") for _ in range(rnd.randrange(2, 9))) for _ in range(120)]
+    rows = [(i, " ".join([rnd.choice(plain) for _ in range(12)] + ["grobulx", "snarkvip"] * (i % 3 == 0)), int(i % 3 == 0), int(i % 4 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, part int")
+    model = toxicity.fit(df)
+    counted = toxicity.count_grams(toxicity.count_words(df, "text", "toxic", "part")).collect()
+    grams = {r["gram"]: r.asDict() for r in counted}
+    totals = {c: sum(r[c] for r in counted) for c in ("n0a", "n1a", "n0b", "n1b")}
+    words = [*plain[:25], "grobulx", "grobulxen", "snarkvi", "zzz", "x" * 150]
+    asked = spark.createDataFrame([(w,) for w in sorted(set(words))], "word string")
+    for i, columns in ((0, "a"), (2, "ab")):
+        got = {r["word"]: r["ratio"] for r in toxicity.word_ratios(asked, {**model, "columns": i}).collect()}
+        for w in words:
+            assert abs(got.get(w, 0.0) - _spelled_ratio(w, grams, totals, columns)) < 1e-6, w
+        above = {r["word"]: r["ratio"] for r in toxicity.word_ratios(asked, {**model, "columns": i}, toxicity.MARGIN).where(f"ratio > {toxicity.MARGIN}").collect()}
+        assert above == {w: x for w, x in got.items() if x > toxicity.MARGIN} and above
+    # the same scores whether telling words are broadcast or joined
+    texts = spark.createDataFrame([(i, t) for i, t, *_ in rows] + [(None, None), (7, ""), (7, "grobulx grobulx " + rows[0][1])], "doc_id long, text string")
+    want = sorted(map(str, toxicity.score_documents(texts, model).collect()))
+    kept = sorted(map(str, toxicity.drop_toxic(texts, model).collect()))
+    assert any("predicted=1" in r for r in want) and 0 < len(kept) < len(want)
+    for most in (0, 2):
+        monkeypatch.setattr(toxicity, "HOT_WORDS", most)
+        assert sorted(map(str, toxicity.score_documents(texts, model).collect())) == want
+        assert sorted(map(str, toxicity.drop_toxic(texts, model).collect())) == kept
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
