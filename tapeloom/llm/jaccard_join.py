@@ -1,9 +1,9 @@
 """Exact self-join of shingle sets at a Jaccard similarity, by universe partition.
 
 Two sets of sizes a and b reach the similarity only if at most
-``(a + b) * (1 - s) / (1 + s)`` shingles lie in just one of them. All shingles
-are hashed into segments, as many as the size band of a set asks for. Taking
-the segments in a fixed order, the first ``budget + 1`` that hold anything
+``(a + b) * (1 - s) / (1 + s)`` shingles lie in just one of them. Each
+shingle is a segment; in large bands they may be hashed into segments of about
+four. Taking the segments in a fixed order, the first ``budget + 1`` that hold anything
 cannot all differ, so one of them is equal in both sets and serves as a key
 (pigeonhole). Where the allocation finds it cheaper, a segment counts twice:
 it then also gives the keys of all its subsets with one shingle deleted, which
@@ -35,6 +35,8 @@ SIGNATURE, LONGEST_SIGNATURE = 128, 4096
 LEAD_BITS = 18
 #: Ratio of the sizes that a band covers.
 BAND_RATIO = 3
+#: Bands up to this size do not count double: there a set's shingles may fall into too few hashed segments.
+OWN_SEGMENTS = 81
 #: Up to so many sets behind one key are paired outright; more are tied to the first of them.
 SMALL_RUN = 8
 #: Sets of one key that one task compares.
@@ -77,7 +79,7 @@ def band_uppers(largest: int) -> list[int]:
 def allocate(upper: int, population: int, rate: float, bound: Bound) -> Band:
     """The cheaper of two allocations for a band.
 
-    Single counting takes as many segments as the largest set has shingles and
+    Single counting takes each shingle as a segment of its own and
     pays a key for each of ``need`` of them; double counting takes segments of
     about four shingles and pays five keys for two. Each key also costs the sets
     that share it by chance: ``population * rate ** shingles`` of them.
@@ -87,7 +89,7 @@ def allocate(upper: int, population: int, rate: float, bound: Bound) -> Band:
     wide = max(1, upper // 4)
     each = upper / wide
     double = -(-need // 2) * (1 + each) * (1 + population * rate ** max(1.0, each - 1))
-    if 2 * wide >= need and double < single:
+    if upper > OWN_SEGMENTS and 2 * wide >= need and double < single:
         return Band(upper, wide, True)
     return Band(upper, upper, False)
 
@@ -187,6 +189,11 @@ def keys_of(s: np.ndarray, common: np.ndarray, bands: list[Band], bound: Bound)
     out = []
     for i in use:
         band = bands[i]
+        if not band.double:
+            # each shingle is a segment of its own, so that there are always enough
+            order = np.lexsort((s, hot))[: int(need)]
+            out.append(mixed(weight[order] ^ mixed(s[order] + np.uint64(band.upper))))
+            continue
         m = band.segments
         spread = (s * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)).astype(np.int64)
         segment = np.where(hot == 1, m + spread % band.upper, spread % m)
@@ -195,20 +202,15 @@ def keys_of(s: np.ndarray, common: np.ndarray, bands: list[Band], bound: Bound)
         begin = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
         sums = np.add.reduceat(weight[order], begin)
         number = seg[begin]
-        if band.double:
-            size = np.diff(np.concatenate((begin, [n])))
-            worth = np.where((number < m) & (size > 1), 2, 1)
-            last = int(np.searchsorted(np.cumsum(worth), need)) + 1
-            used = np.minimum(last, len(begin))
-            salt = mixed(number.astype(np.uint64) * np.uint64(2654435761) + np.uint64(band.upper))
-            out.append(mixed(sums[:used] ^ salt[:used]))
-            group = np.repeat(np.arange(len(begin)), size)
-            drop = (group < used) & (worth[group] == 2)
-            out.append(mixed((sums[group] - weight[order])[drop] ^ salt[group][drop]))
-        else:
-            used = min(int(need), len(begin))
-            salt = mixed(number[:used].astype(np.uint64) * np.uint64(2654435761) + np.uint64(band.upper))
-            out.append(mixed(sums[:used] ^ salt))
+        size = np.diff(np.concatenate((begin, [n])))
+        worth = np.where((number < m) & (size > 1), 2, 1)
+        last = int(np.searchsorted(np.cumsum(worth), need)) + 1
+        used = np.minimum(last, len(begin))
+        salt = mixed(number.astype(np.uint64) * np.uint64(2654435761) + np.uint64(band.upper))
+        out.append(mixed(sums[:used] ^ salt[:used]))
+        group = np.repeat(np.arange(len(begin)), size)
+        drop = (group < used) & (worth[group] == 2)
+        out.append(mixed((sums[group] - weight[order])[drop] ^ salt[group][drop]))
     return np.concatenate(out)
 
 

@@ -176,6 +176,26 @@ def test_quality_rows(spark):
     assert quality.fit(df.limit(0), labels.limit(0)).scores(np.zeros((1, len(quality.FEATURES))))[0] == 0.5
 
 
+def test_small_sets_share_a_key():
+    rnd = np.random.default_rng(21)
+    bound = jaccard_join.Bound()
+    common = np.zeros(1 << (jaccard_join.SKETCH_BITS - 3), dtype=np.uint8)
+    common[::3] = 0xFF
+    for population, rate in ((10**6, 0.01), (10, 0.0)):
+        bands = [jaccard_join.allocate(u, population, rate, bound) for u in jaccard_join.band_uppers(100)]
+        for n in range(1, 27):
+            for m in range(n, bound.largest_partner(n) + 1):
+                most = bound.budget(n, m)
+                for some in range(40):
+                    shared = n - (most - (m - n)) // 2
+                    all_of = rnd.integers(0, 1 << 64, 200 * (n + m), dtype=np.uint64)
+                    if some % 2:  # shingles that fall into one hashed segment
+                        all_of = all_of[(all_of * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)) % 27 == 0]
+                    all_of = all_of[: n + m - shared]
+                    a, b = np.sort(all_of[:n]), np.sort(all_of[n - shared :])
+                    assert len(b) == m and len(np.intersect1d(jaccard_join.keys_of(a, common, bands, bound), jaccard_join.keys_of(b, common, bands, bound))), (n, m)
+
+
 def test_toxicity_on_planted_words(spark):
     rnd = random.Random(10)
     plain = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randrange(2, 7))) for _ in range(300)]
