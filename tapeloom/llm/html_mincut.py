@@ -36,6 +36,10 @@ BAD_HINT = re.compile(
 )
 GOOD_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:article|articlebody|body-?text|content|entry|main|post|story|text)(?:$|[\s_-])")
 HINT_COST, HINT_GAIN = 9.0, 3.0
+#: Class tokens that tell what a page has or does not have; they name no part of it.
+STATE = re.compile(r"(?i)(?:(?:no|not|non|without|with|has|have|is|hide|hides|show|shows|enable|disable)[_-].*|.*[_-](?:enabled?|disabled?|on|off|open|opened))")
+#: Elements whose hints are about the page as a whole.
+WHOLE = ("html", "body", "main")
 #: Weights of the classifier on a block's own words.
 LINK_COST, SHORT_COST, TEXT_GAIN, PRIOR = 6.0, 0.6, 2.5, 0.3
 #: Smoothness: neighbours in the page, and neighbours below one parent.
@@ -46,7 +50,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+(?:>|\Z)", re.S
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"(?i)[\s\"'/](class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _RAW, _VOID, _BLOCK = frozenset(RAW), frozenset(VOID), frozenset(BLOCK)
 _RAW_END = {t: re.compile(rf"(?is)</{t}\s*>") for t in RAW}
@@ -59,6 +63,7 @@ class Element:
     cost: float
     gain: float
     hidden: bool
+    hint: float = 0.0
 
 
 @dataclass
@@ -71,18 +76,23 @@ class Block:
     chars: int = 0
 
 
-def _hints(tag: str) -> tuple[float, float, bool]:
+def _hints(tag: str, start: int) -> tuple[float, float, bool]:
     cost = gain = 0.0
     hidden = False
-    for m in _ATTRIBUTE.finditer(tag):
-        value = m[2] or m[3] or m[4] or ""
+    for m in _ATTRIBUTE.finditer(tag, start):
         name = m[1].lower()
-        if name == "hidden" or name == "aria-hidden":
-            hidden |= name == "hidden" or value.lower() == "true"
-        elif BAD_HINT.search(value):
-            cost = HINT_COST
-        elif GOOD_HINT.search(value):
-            gain = HINT_GAIN
+        if name == "hidden":
+            hidden = True
+        elif name in ("class", "id", "role", "aria-hidden"):
+            value = m[2] or m[3] or m[4] or ""
+            if name == "aria-hidden":
+                hidden |= value.strip().lower() == "true"
+                continue
+            tokens = [t for t in value.split() if not STATE.fullmatch(t)]
+            if any(map(BAD_HINT.search, tokens)):
+                cost = HINT_COST
+            elif any(map(GOOD_HINT.search, tokens)):
+                gain = HINT_GAIN
     return cost, gain, hidden
 
 
@@ -166,8 +176,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
                         break
         if name in _VOID or tag.endswith("/>"):
             continue
-        cost, gain, hidden = _hints(tag) if len(tag) > len(name) + 2 else (0.0, 0.0, False)
-        elements.append(Element(name, stack[-1], cost + TAG_COST.get(name, 0.0), gain + TAG_GAIN.get(name, 0.0), hidden))
+        cost, gain, hidden = _hints(tag, name_match.end()) if len(tag) > len(name) + 2 else (0.0, 0.0, False)
+        elements.append(Element(name, stack[-1], TAG_COST.get(name, 0.0), gain + TAG_GAIN.get(name, 0.0), hidden, 0.0 if name in WHOLE else cost))
         stack.append(len(elements) - 1)
         links += name == "a"
     return out, elements
@@ -250,31 +260,40 @@ def extract(page: str | None) -> str:
     nodes = [i for i, t in enumerate(texts) if t]
     if not nodes:
         return ""
-    # costs gather along the way up; inside an article only what its own parts say counts against it
-    memo: dict[int, tuple[float, float, bool]] = {}
+    # costs gather along the way up; inside an article only what its own parts say cancels its gain, and hints
+    # around it weigh no more than its tag, so that its words decide
+    memo: dict[int, tuple[float, float, float, bool, bool]] = {}
 
-    def context(e: int) -> tuple[float, float, bool]:
+    def context(e: int) -> tuple[float, float, float, bool, bool]:
         chain = []
         while e >= 0 and e not in memo:
             chain.append(e)
             e = elements[e].parent
-        cost, gain, hidden = memo[e] if e >= 0 else (0.0, 0.0, False)
+        cost, around, gain, hidden, inside = memo[e] if e >= 0 else (0.0, 0.0, 0.0, False, False)
         for e in reversed(chain):
             one = elements[e]
+            mine, hint = one.cost, one.hint
             if one.name == "header" and any(elements[x].name in ("article", "main") for x in _ancestors(e, elements)):
-                mine = 0.0  # an article's own heading
+                mine = hint = 0.0  # an article's own heading
+            if hint and (inside or one.name == "article"):
+                cost = max(cost, mine + hint)
             else:
-                mine = one.cost
-            cost, gain, hidden = max(cost, mine), max(gain, one.gain), hidden or one.hidden
-            memo[e] = cost, gain, hidden
-        return cost, gain, hidden
+                cost, around = max(cost, mine), max(around, mine + hint if hint else 0.0)
+            inside |= one.name == "article"
+            gain, hidden = max(gain, one.gain), hidden or one.hidden
+            memo[e] = cost, around, gain, hidden, inside
+        return cost, around, gain, hidden, inside
 
     source, sink = [], []
     for i in nodes:
         b, t = blocks[i], texts[i]
-        cost, gain, hidden = context(b.element)
+        cost, around, gain, hidden, inside = context(b.element)
+        if not inside:
+            cost = max(cost, around)
         if cost and gain >= TAG_GAIN["article"]:
             gain = 0.0  # boilerplate set inside the article
+        if inside:
+            cost = max(cost, min(around, TAG_GAIN["article"]))
         words = len(t) / (len(t) + 60.0)
         share = min(1.0, b.link_chars / max(b.chars, 1))
         source.append(gain + TEXT_GAIN * words * (1 - share))

@@ -186,3 +186,24 @@ def test_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert [r["text"] for r in got if r["page_id"] in (2, None, 4)] == ["", "", ""]
     assert html_mincut.extract_pages(df.limit(0)).count() == 0
+
+
+ARTICLE = "The river rises every spring and the whole valley waits for it, as it has done for as long as anyone here can remember. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="single-post no-sidebar"><article><p>{}</p></article></body>',
+    '<html class="modal"><body class="search"><main class="widget"><article><p>{}</p></article></main></body></html>',
+    '<body><div class="has-sidebar share-enabled with-comments"><article><p>{}</p></article></div></body>',
+    '<body><div class="social"><article><p>{}</p></article></div></body>',
+    '<body><article><div style="overflow: hidden"><p>{}</p></div></article></body>',
+    "<body><article><p title='the hidden valley' data-x=hidden>{}</p></article></body>",
+])
+def test_articles_in_common_markup_are_kept(page):
+    assert html_mincut.extract(page.format(ARTICLE)) == ARTICLE.strip()
+
+
+def test_real_boilerplate_still_goes():
+    for part in ('<div class="comments">', "<p hidden>", '<p class=x aria-hidden="true">', '<div class="related-posts">'):
+        page = f"<body><article><p>{ARTICLE}</p>{part}{ARTICLE.upper()}</article></body>"
+        assert html_mincut.extract(page) == ARTICLE.strip()
