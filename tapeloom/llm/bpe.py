@@ -30,6 +30,13 @@ CACHE_CHARS = 64
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters that form one word when they follow letters.
 _TAIL = ".,;:!?#$%&*"
+# White space beyond ASCII as UTF-8 bytes, by first byte.
+_WIDE_SPACES = (
+    (0xC2, (b"\x85", b"\xa0")),
+    (0xE1, (b"\x9a\x80",)),
+    (0xE2, (*(b"\x80" + bytes([x]) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f")),
+    (0xE3, (b"\x80\x80",)),
+)
 
 
 def default_vocabulary() -> str:
@@ -87,7 +94,10 @@ class ByteBpe:
         self.spelled_start = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         self.spelled_bytes = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         self.split = regex.compile(SPLIT)
-        self.inner: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        table = np.zeros(256, dtype=bool)
+        table[[*range(65, 91), *range(97, 123)]] = True
+        self.letter = table
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -251,85 +261,129 @@ class ByteBpe:
             return [core, chunk[len(core) :]] if len(core) < len(chunk) else [core]
         return self.split.findall(chunk)
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk as little-endian unsigned 16 or 32 bits."""
-        words, count = [], []
-        for c in chunks:
-            found = self._words(c)
-            words += found
-            count.append(len(found))
-        distinct = list(dict.fromkeys(words))
-        ids = dict(zip(distinct, self.encode_words([w.encode() for w in distinct]), strict=True))
-        out, at = [], 0
-        for n in count:
-            out.append(b"".join([ids[w] for w in words[at : at + n]]))
-            at += n
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of the distinct chunks, packed as :attr:`dtype`; what was met before is taken from the cache."""
+        known = self.known
+        out = list(map(known.get, chunks))
+        open_ = [i for i, ids in enumerate(out) if ids is None]
+        found = [self._words(chunks[i]) for i in open_]
+        unseen = list(set().union(*found).difference(known))
+        fresh = dict(zip(unseen, self.encode_words([w.encode() for w in unseen]), strict=True))
+        for i, ws in zip(open_, found, strict=True):
+            out[i] = b"".join([fresh[w] if w in fresh else known[w] for w in ws])
+            if len(ws) > 1:
+                fresh[chunks[i]] = out[i]
+        if len(known) + len(fresh) > CACHE_CHUNKS:
+            known.clear()
+        known.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHE_CHARS)
         return out
 
     @property
     def dtype(self) -> str:
         return "<u2" if len(self.spelled) <= 1 << 16 else "<u4"
 
-    def _chunks(self, text: str) -> list[str]:
-        """Pieces at whose borders a word always ends.
+    def _borders(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte positions where a chunk begins, and which texts need the full pattern.
 
-        Where single spaces and line breaks are all the white space there is,
-        each of them begins a word; other texts take the full pattern.
+        ``raw`` are the texts behind each other, ``ends`` where each ends. A word
+        always ends where a single space or line break follows, and where an
+        ASCII letter is followed by another kind of ASCII character, so these
+        begin a chunk, and so does what follows a line break. Texts with other
+        white space, or with two of it in a row or at an end, are marked.
         """
-        if " ".join(text.split()) != text.replace("\n", " "):
-            return self.split.findall(text)
-        out: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += [" " + x for x in rest]
-        return out
+        begin = np.zeros(len(raw) + 1, dtype=bool)
+        starts = np.concatenate(([0], ends[:-1]))
+        line = np.flatnonzero(raw == 10)
+        white = raw == 32
+        letter = self.letter[raw]
+        begin[1:-1] = letter[:-1] & ~letter[1:] & (raw[1:] < 128)
+        begin[:-1] |= white
+        begin[starts] = True
+        begin[line] = True
+        begin[line + 1] = True
+        white[line] = True
+        odd = (raw < 32) & ~white
+        odd[1:] |= white[1:] & white[:-1]
+        full = starts < ends
+        odd[starts[full]] |= white[starts[full]]
+        odd[ends[full] - 1] |= white[ends[full] - 1]
+        for lead, follow in _WIDE_SPACES:
+            at = np.flatnonzero(raw == lead)
+            for more in follow:
+                hit = at[at + len(more) < len(raw)]
+                for i, byte in enumerate(more):
+                    hit = hit[raw[hit + 1 + i] == byte]
+                odd[hit] = True
+        slow = np.zeros(len(ends), dtype=bool)
+        slow[np.searchsorted(ends, np.flatnonzero(odd), side="right")] = True
+        return begin[:-1], slow
 
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """Ids of every text, as the tokenizers library gives them without special tokens of its own.
 
         A special token's string inside a text becomes that token's id.
         """
-        plans: list[list[list[str] | int]] = []
-        unseen: set[str] = set()
-        known = self.inner
-        for text in texts:
-            plan: list[list[str] | int] = []
+        given = list(texts)
+        # stretches of text to be split, and in between (number of the stretch) the special tokens
+        parts: list[str] = []
+        plans: list[list[int]] = []
+        for text in given:
+            plan: list[int] = []
             if self.special_split is not None and any(s in text for s in self.specials):
                 at = 0
                 for m in self.special_split.finditer(text):
                     if m.start() > at:
-                        plan.append(self._chunks(text[at : m.start()]))
-                    plan.append(self.specials[m[0]])
+                        plan.append(len(parts))
+                        parts.append(text[at : m.start()])
+                    plan.append(-1 - self.specials[m[0]])
                     at = m.end()
                 if at < len(text):
-                    plan.append(self._chunks(text[at:]))
+                    plan.append(len(parts))
+                    parts.append(text[at:])
             elif text:
-                plan.append(self._chunks(text))
-            for part in plan:
-                if not isinstance(part, int):
-                    unseen.update(part)
+                plan.append(len(parts))
+                parts.append(text)
             plans.append(plan)
-        unseen.difference_update(known.keys())
-        fresh = list(unseen)
-        local = dict(zip(fresh, self._encode_chunks(fresh), strict=True))
-        if len(known) + len(local) > CACHE_CHUNKS:
-            # what this call needs and the cache knows already must stay at hand
-            local |= {c: known[c] for plan in plans for part in plan if not isinstance(part, int) for c in part if c in known}
-            known.clear()
-        known.update((c, v) for c, v in local.items() if len(c) <= CACHE_CHARS)
-        look = known if all(len(c) <= CACHE_CHARS for c in fresh) else {**known, **local}
+        got = self._encode_parts(parts)
         out = []
         for plan in plans:
-            got = [
-                np.array([part], dtype=self.dtype).tobytes() if isinstance(part, int) else b"".join(map(look.__getitem__, part))
-                for part in plan
-            ]
-            out.append(np.frombuffer(b"".join(got), dtype=self.dtype))
+            if len(plan) == 1 and plan[0] >= 0:
+                out.append(got[plan[0]])
+            else:
+                each = [np.array([-1 - p], dtype=self.dtype) if p < 0 else got[p] for p in plan]
+                out.append(np.concatenate([*each, np.array([], dtype=self.dtype)]))
         return out
 
+    def _encode_parts(self, parts: list[str]) -> list[np.ndarray]:
+        """Ids of stretches without special tokens: distinct chunks are encoded once, all ids are gathered at a time."""
+        if not parts:
+            return []
+        spelled = [p.encode() for p in parts]
+        size = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
+        data = b"".join(spelled)
+        raw, ends = np.frombuffer(data, dtype=np.uint8), np.cumsum(size)
+        begin, slow = self._borders(raw, ends)
+        marked = np.flatnonzero(slow).tolist()
+        for i in marked:
+            # words tile the text
+            begin[ends[i] - size[i] : ends[i]] = False
+            at = np.fromiter((len(w.encode()) for w in self.split.findall(parts[i])), dtype=np.int64)
+            begin[ends[i] - size[i] + np.concatenate(([0], np.cumsum(at)[:-1]))] = True
+        where = np.flatnonzero(begin)
+        offsets = np.append(where, len(raw)).astype(np.int64)
+        chunks = pa.LargeStringArray.from_buffers(len(where), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        ids = self._chunk_ids(chunks.dictionary.to_pylist())
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        which = chunks.indices.to_numpy()
+        count = length[which]
+        stop = np.cumsum(count)
+        first = (np.cumsum(length) - length)[which]
+        out = flat[np.repeat(first - (stop - count), count) + np.arange(int(stop[-1]))]
+        # a text's ids end with its last chunk's
+        cut = stop[np.searchsorted(where, ends, side="left") - 1]
+        return np.split(out, cut[:-1])
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes that the ids spell."""
         ids = ids.astype(np.int64)
