@@ -39,8 +39,10 @@ BAND_RATIO = 3
 OWN_SEGMENTS = 81
 #: Up to so many sets behind one key are paired outright; more are tied to the first of them.
 SMALL_RUN = 8
-#: Sets of one key that one task compares.
-BLOCK = 4096
+#: Sets of one block, and their shingles together; a task compares two blocks.
+BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
+#: Plausible pairs for each set of two blocks beyond which they are compared in full instead.
+CROWD = 4
 #: Sets a task remembers so as to index equal ones once.
 SEEN_SETS = 400_000
 
@@ -59,6 +61,10 @@ class Bound:
     def largest_partner(self, n: int) -> int:
         return n * self.den // self.num
 
+    def lead(self, n: int) -> int:
+        """So many of a set's ``n`` shingles, the first in an order that all sets share, hold one that any partner has among its own."""
+        return n - (n * self.num + self.den - 1) // self.den + 1
+
 
 @dataclass(frozen=True)
 class Band:
@@ -80,12 +86,12 @@ def allocate(upper: int, population: int, rate: float, bound: Bound) -> Band:
     """The cheaper of two allocations for a band.
 
     Single counting takes each shingle as a segment of its own and
-    pays a key for each of ``need`` of them; double counting takes segments of
+    pays a key for each of the first ``lead``; double counting takes segments of
     about four shingles and pays five keys for two. Each key also costs the sets
     that share it by chance: ``population * rate ** shingles`` of them.
     """
     need = bound.budget(upper, bound.largest_partner(upper)) + 1
-    single = need * (1 + population * rate)
+    single = bound.lead(upper) * (1 + population * rate)
     wide = max(1, upper // 4)
     each = upper / wide
     double = -(-need // 2) * (1 + each) * (1 + population * rate ** max(1.0, each - 1))
@@ -107,13 +113,30 @@ def _folded(signatures: np.ndarray, width: int) -> np.ndarray:
     return wide.reshape(len(wide), -1, width).sum(axis=1)
 
 
-def node_of(s: np.ndarray) -> int:
-    """A set's own number: its shingles' sum after mixing, mixed with its size."""
-    return int(mixed(np.array([mixed(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(s))]))[0])
+def nodes_of(sets: list[np.ndarray], clashing: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """Each set's own number (its shingles' sum after mixing, mixed with its size) and a second, independent one.
+
+    Where two different sets have the same number (``clashing``), the second takes its place.
+    """
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    out = []
+    if not len(sets) or not size.any():
+        return np.zeros(len(sets), dtype=np.int64), np.zeros(len(sets), dtype=np.int64)
+    flat = np.concatenate(sets)
+    full = np.flatnonzero(size)
+    begin = (np.cumsum(size) - size)[full]
+    for salt in (0xA5A5A5A5, 0x3C6EF372FE94F82B):
+        got = np.zeros(len(sets), dtype=np.uint64)
+        got[full] = mixed(np.add.reduceat(mixed(flat ^ np.uint64(salt)), begin) + size[full].astype(np.uint64))
+        out.append(got.view(np.int64))
+    if clashing:
+        hit = np.isin(out[0], np.array(list(clashing), dtype=np.int64))
+        out[0][hit] = out[1][hit]
+    return out[0], out[1]
 
 
 def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One pass over the texts: a row per document (size, node, signature) and each task's part of the sketch.
+    """One pass over the texts: a row per document (size, node, check, signature) and each task's part of the sketch.
 
     Sketch rows have a null ``n``; ``block`` and ``counts`` hold counters of one block.
     """
@@ -124,25 +147,25 @@ def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             sets = shingle_sets(batch.column(1).to_pylist())
             everything = np.concatenate([*sets, np.array([], dtype=np.uint64)])
             sketch += np.bincount((everything >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
-            m = len(sets)
-            nodes = [node_of(s) if len(s) else None for s in sets]
+            m, n = len(sets), np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+            node, check = nodes_of(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([None if x is None else x - (1 << 64) if x >> 63 else x for x in nodes], pa.int64()),
+                [batch.column(0), pa.array(n), pa.array(node, mask=n == 0), pa.array(check, mask=n == 0),
                  pa.array([signature_of(s) if len(s) else None for s in sets], pa.binary()),
                  pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
-                names=["id", "n", "node", "signature", "block", "counts"],
+                names=["id", "n", "node", "check", "signature", "block", "counts"],
             )
         blocks = sketch.reshape(-1, 1 << SKETCH_BLOCK_BITS)
         used = np.flatnonzero(blocks.any(axis=1))
         packed = [zlib.compress(blocks[i].astype("<i8").tobytes(), 1) for i in used.tolist()]
-        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
         yield pa.RecordBatch.from_arrays(
-            [*none, pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], names=["id", "n", "node", "signature", "block", "counts"]
+            [*none, pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())],
+            names=["id", "n", "node", "check", "signature", "block", "counts"],
         )
 
     picked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "id long, n long, node long, signature binary, block int, counts binary")
+    return picked.mapInArrow(run, "id long, n long, node long, check long, signature binary, block int, counts binary")
 
 
 def common_shingles(described: DataFrame) -> tuple[np.ndarray, float]:
@@ -190,8 +213,8 @@ def keys_of(s: np.ndarray, common: np.ndarray, bands: list[Band], bound: Bound)
     for i in use:
         band = bands[i]
         if not band.double:
-            # each shingle is a segment of its own, so that there are always enough
-            order = np.lexsort((s, hot))[: int(need)]
+            # each shingle is a segment of its own, so both sets number them in the same order
+            order = np.lexsort((s, hot))[: bound.lead(n)]
             out.append(mixed(weight[order] ^ mixed(s[order] + np.uint64(band.upper))))
             continue
         m = band.segments
@@ -214,26 +237,37 @@ def keys_of(s: np.ndarray, common: np.ndarray, bands: list[Band], bound: Bound)
     return np.concatenate(out)
 
 
-def index_keys(df: DataFrame, text_col: str, common: np.ndarray, bands: list[Band], bound: Bound) -> DataFrame:
+class _Fresh:
+    """Sets of a slice of texts that a task has not met yet, with their nodes."""
+
+    def __init__(self, clashing: frozenset[int]):
+        self.clashing = clashing
+        self.seen: set[int] = set()
+
+    def of(self, texts: list[str | None]) -> tuple[list[int], list[np.ndarray]]:
+        nodes, sets = [], []
+        found = shingle_sets(texts)
+        for s, node in zip(found, nodes_of(found, self.clashing)[0].tolist(), strict=True):
+            if len(s) and node not in self.seen:
+                if len(self.seen) < SEEN_SETS:
+                    self.seen.add(node)
+                nodes.append(node)
+                sets.append(s)
+        return nodes, sets
+
+
+def index_keys(df: DataFrame, text_col: str, common: np.ndarray, bands: list[Band], bound: Bound, clashing: frozenset[int] = frozenset()) -> DataFrame:
     """``key, node`` rows of all sets; sets that a task has met already are passed over."""
     shared = df.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        fresh = _Fresh(clashing)
         for batch in slices(batches, 0):
-            keys, nodes = [], []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                if not len(s) or (node := node_of(s)) in seen:
-                    continue
-                if len(seen) < SEEN_SETS:
-                    seen.add(node)
-                k = keys_of(s, shared.value, bands, bound)
-                keys.append(k)
-                nodes.append(np.full(len(k), node, dtype=np.uint64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).view(np.int64)) for x in (keys, nodes)], names=["key", "node"]
-                )
+            nodes, sets = fresh.of(batch.column(0).to_pylist())
+            if nodes:
+                keys = [keys_of(s, shared.value, bands, bound) for s in sets]
+                node = np.repeat(np.array(nodes, dtype=np.int64), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node)], names=["key", "node"])
 
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, node long")
 
@@ -345,7 +379,7 @@ def plausible(pairs: DataFrame, nodes: DataFrame, bound: Bound) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def sets_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+def sets_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, clashing: frozenset[int] = frozenset()) -> DataFrame:
     """``node, members`` of the sets in ``wanted`` (``node`` and ``rep``, the id of a document that has it).
 
     Texts are read once more. The buckets of the wanted ids, of a fixed number
@@ -360,20 +394,13 @@ def sets_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> Dat
     texts = df.select(F.col(text_col).alias("text"), bucket(id_col).alias("_bucket")).join(F.broadcast(buckets), "_bucket", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        fresh = _Fresh(clashing)
         for batch in slices(batches, 0):
-            nodes, sets = [], []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                if not len(s) or (node := node_of(s)) in seen:
-                    continue
-                if len(seen) < SEEN_SETS:
-                    seen.add(node)
-                nodes.append(node)
-                sets.append(s.view(np.int64))
+            nodes, sets = fresh.of(batch.column(0).to_pylist())
             if nodes:
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))],
                     names=["node", "members"],
                 )
 
@@ -406,12 +433,14 @@ def verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
 
 
 class _Family:
-    """Sets that share keys with one pivot: each pair of them is looked at once, however many keys it shares."""
+    """Two blocks of sets that share keys with one pivot: each pair of them is looked at once, however many keys it shares."""
 
     def __init__(self, same: bool, bound: Bound):
         self.same, self.bound = same, bound
         self.members: list[tuple] = []
         self.todo: np.ndarray | None = None
+        self.found: list[np.ndarray] = []
+        self.count = 0
 
     def prepare(self) -> None:
         part, node, component, n, sig = zip(*self.members, strict=True)
@@ -419,13 +448,8 @@ class _Family:
         self.node, self.n, self.part = np.array(node), np.array(n), np.array(part)
         component = np.array(component)
         self.width = np.fromiter(map(len, sig), dtype=np.int64, count=len(sig))
-        widths = np.unique(self.width).tolist()
-        self.folded: dict[int, np.ndarray] = {}
-        for w in widths:  # every signature in all lengths up to its own
-            self.folded[w] = np.zeros((len(sig), w), dtype=np.int32)
-            for full in widths[widths.index(w) :]:
-                at = np.flatnonzero(self.width == full)
-                self.folded[w][at] = _folded(np.frombuffer(b"".join([sig[x] for x in at.tolist()]), dtype=np.uint8).reshape(-1, full), w)
+        self.sig = [np.frombuffer(x, dtype=np.uint8) for x in sig]
+        self.members = []
         m = len(node)
         self.todo = np.zeros((m, m), dtype=bool)
         for lo in range(0, m, 256):
@@ -433,58 +457,130 @@ class _Family:
             new = (component[r, None] != component[None, :]) & _fits(self.n[r, None], self.n[None, :], self.bound)
             self.todo[r] = new & (np.arange(m)[None, :] > np.arange(lo, r.stop)[:, None] if self.same else self.part[r, None] < self.part[None, :])
 
-    def pairs(self, nodes: list[int]) -> np.ndarray:
-        """New plausible pairs of one run, two columns of nodes."""
+    @property
+    def crowded(self) -> bool:
+        """More plausible pairs than a few for each set: signatures do not tell these sets apart."""
+        return self.todo is not None and self.count > CROWD * len(self.node)
+
+    def compare(self, nodes: list[int]) -> None:
+        """Note the new plausible pairs of one run."""
         if self.todo is None:
             self.prepare()
-        at = np.sort(np.array([self.at[x] for x in nodes]))
-        sub = self.todo[np.ix_(at, at)]
-        x, y = np.nonzero(sub)
-        x, y = at[x], at[y]
-        self.todo[x, y] = False
-        good = np.zeros(len(x), dtype=bool)
-        both = np.minimum(self.width[x], self.width[y])
-        for w in np.unique(both).tolist():
-            pick = np.flatnonzero(both == w)
-            for part in (pick[i : i + 4096] for i in range(0, len(pick), 4096)):
-                u, v = x[part], y[part]
-                good[part] = _close_enough(self.n[u], self.n[v], self.folded[w][u], self.folded[w][v], self.bound)
-        return np.stack((self.node[x[good]], self.node[y[good]]), axis=1)
-
-
-def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bound: Bound) -> DataFrame:
-    """Pairs of one long run that are not yet connected and not ruled out by signatures.
+        every = np.sort(np.array([self.at[x] for x in nodes]))
+        for rows in (every[i : i + 64] for i in range(0, len(every), 64)):
+            if self.crowded:
+                self.found = []
+                return
+            x, y = np.nonzero(self.todo[np.ix_(rows, every)])
+            x, y = rows[x], every[y]
+            self.todo[x, y] = False
+            both = np.minimum(self.width[x], self.width[y])
+            for w in np.unique(both).tolist():
+                pick = np.flatnonzero(both == w)
+                for part in (pick[i : i + 4096] for i in range(0, len(pick), 4096)):
+                    u, v = x[part], y[part]
+                    ends = [np.unique(e, return_inverse=True) for e in (u, v)]
+                    s1, s2 = (np.concatenate([_folded(self.sig[i][None, :], w) for i in own.tolist()])[at] for own, at in ends)
+                    good = _close_enough(self.n[u], self.n[v], s1, s2, self.bound)
+                    self.found.append(np.stack((self.node[u[good]], self.node[v[good]]), axis=1))
+                    self.count += int(good.sum())
+
+
+def spanning_links(left: list[tuple], right: list[tuple] | None, bound: Bound) -> list[tuple[int, int]]:
+    """Links that connect all of ``(node, component, set)`` which exact links between the two sides connect.
+
+    ``right`` is None to compare ``left`` with itself. A set is counted against
+    the others' shingles only while one of another component is left that its
+    size allows, and a link is given only if it joins two components, so there
+    are fewer links than sets.
+    """
+    others = left if right is None else right
+    sizes = np.array([len(s) for _, _, s in others])
+    flat = np.concatenate([s for _, _, s in others])
+    owner = np.repeat(np.arange(len(others)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    labels = {c: i for i, c in enumerate(dict.fromkeys(c for _, c, _ in [*left, *others]))}
+    of_left, of_other = (np.array([labels[c] for _, c, _ in side]) for side in (left, others))
+    out = []
+    for i, (node, _, s) in enumerate(left):
+        may = (of_other != of_left[i]) & _fits(sizes, len(s), bound)
+        if right is None:
+            may[: i + 1] = False
+        if not may.any():
+            continue
+        lo = np.searchsorted(flat, s, side="left")
+        count = np.searchsorted(flat, s, side="right") - lo
+        at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        shared = np.bincount(owner[at], minlength=len(others))
+        for j in np.flatnonzero(may & (bound.den * shared >= bound.num * (len(s) + sizes - shared))).tolist():
+            old, new = of_other[j], of_left[i]
+            if old != new:
+                out.append((node, others[j][0]))
+                of_other[of_other == old] = new
+                of_left[of_left == old] = new
+    return out
+
+
+def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bound: Bound) -> tuple[DataFrame, DataFrame]:
+    """What may still connect the sets of long runs: plausible pairs, and blocks of sets to compare in full.
 
     Runs whose sets all belong together need nothing more. The others meet by
-    their least node, so runs of one group of near copies come to one task and
-    a pair is looked at once. Groups are cut into blocks of about BLOCK sets and
-    every two blocks are compared by themselves, so no task holds a whole group,
-    and no pair is left out.
+    their least node, the pivot, so runs of one group of near copies come
+    together and a pair is looked at once. What is not of the pivot's component
+    is cut into blocks of about BLOCK sets, and so is the rest; each of the
+    first blocks is compared with every block, by itself, so no task holds a
+    whole group and no pair is left out. Where signatures leave more pairs than
+    CROWD for each set, the two blocks are given instead: ``node, component``
+    of every set by ``pivot, i, j``.
     """
     label = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_runs = label.groupBy("key").agg(F.min("node").alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    runs = staged(label.join(mixed_runs.select("key", "pivot"), "key"), "mixed-runs")
-    who = runs.select("pivot", "node", "component").distinct()
-    parts = who.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    who = who.join(nodes.select("node", "n", "signature"), "node").select("pivot", F.lit(0).cast("long").alias("key"), "node", "component", "n", "signature", F.lit(0).alias("kind"))
-    rows = who.unionByName(runs.select("pivot", "key", "node", F.lit(1).alias("kind")), allowMissingColumns=True).join(parts, "pivot")
-    part = F.pmod(F.col("node"), F.col("parts")).cast("int")
-    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    mixed_runs = (
+        label.groupBy("key").agg(F.min(F.struct("node", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo != hi").select("key", F.col("head.node").alias("pivot"), F.col("head.component").alias("home"))
+    )
+    runs = staged(label.join(mixed_runs, "key").withColumn("away", F.col("component") != F.col("home")), "mixed-runs")
+    who = runs.select("pivot", "node", "component", "away").distinct().join(nodes.select("node", "n", "signature"), "node")
+    size = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    parts = who.groupBy("pivot", "away").agg(F.ceil(size).cast("int").alias("parts")).groupBy("pivot").agg(
+        F.coalesce(F.max(F.when(F.col("away"), F.col("parts"))), F.lit(0)).alias("out"), F.coalesce(F.max(F.when(~F.col("away"), F.col("parts"))), F.lit(0)).alias("in_"),
+    )
+    who = who.select("pivot", F.lit(0).cast("long").alias("key"), "node", "component", "away", "n", "signature", F.lit(0).alias("kind"))
+    rows = who.unionByName(runs.select("pivot", "key", "node", "away", F.lit(1).alias("kind")), allowMissingColumns=True).join(parts, "pivot")
+    # blocks of what is away come first, then those of the pivot's component
+    part = F.when(F.col("away"), F.pmod(F.col("node"), F.col("out"))).otherwise(F.col("out") + F.pmod(F.col("node"), F.col("in_"))).cast("int")
+    meets = F.when(F.col("away"), F.sequence(F.lit(0), F.col("out") + F.col("in_") - 1)).otherwise(F.sequence(F.lit(0), F.col("out") - 1))
+    rows = rows.where("out > 0").withColumn("part", part).withColumn("other", F.explode(meets))
     rows = rows.select("pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "kind", "key", "part", "node", "component", "n", "signature")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, family = None, None
         key, nodes_here = None, []
-        out: list[np.ndarray] = []
+        pairs: list[np.ndarray] = []
+        crowds: list[tuple[int, int, int]] = []
 
         def close() -> None:
             if len(nodes_here) > 1:
-                out.append(family.pairs(nodes_here))
+                family.compare(nodes_here)
+
+        def leave() -> None:
+            close()
+            if family is not None and family.crowded:
+                crowds.append(where)
+            elif family is not None:
+                pairs.extend(family.found)
+
+        def told() -> pa.RecordBatch:
+            a, b = np.concatenate([*pairs, np.zeros((0, 2), dtype=np.int64)]).T
+            n, m = len(a), len(crowds)
+            columns = [pa.concat_arrays([pa.nulls(n, t), pa.array([c[k] for c in crowds], t)]) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+            ends = [pa.concat_arrays([pa.array(f(a, b)), pa.nulls(m, pa.int64())]) for f in (np.minimum, np.maximum)]
+            pairs.clear(), crowds.clear()
+            return pa.RecordBatch.from_arrays([*columns, *ends], names=["pivot", "i", "j", "a", "b"])
 
         for batch in batches:
             for pivot, i, j, kind, k, part_, node, component, n, sig in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if (pivot, i, j) != where:
-                    close()
+                    leave()
                     where, family, key, nodes_here = (pivot, i, j), _Family(i == j, bound), None, []
                 if kind == 0:
                     family.members.append((part_, node, component, n, sig))
@@ -493,33 +589,56 @@ def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bo
                     close()
                     key, nodes_here = k, []
                 nodes_here.append(node)
-            found_ = [x for x in out if len(x)]
-            out.clear()
-            if found_:
-                a, b = np.concatenate(found_).T
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-        close()
-        if out and len(out[0]):
-            a, b = out[0].T
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            if pairs or crowds:
+                yield told()
+        leave()
+        if pairs or crowds:
+            yield told()
 
     dealt = rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "kind", "key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    got = staged(dealt.mapInArrow(run, "pivot long, i int, j int, a long, b long"), "across")
+    crowds = got.where("pivot is not null").select("pivot", "i", "j")
+    blocks = rows.where("kind = 0").select("pivot", "i", "j", "part", "node", "component").join(crowds, ["pivot", "i", "j"])
+    return got.where("pivot is null").select("a", "b").distinct(), blocks
 
 
-def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
-    """``id_col, n_shingles, component_id`` of every row, from exact links between whole texts.
+def compared_in_full(blocks: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+    """Exact links of every two blocks, no more than connect them; a task holds the sets of two blocks."""
 
-    Documents link when ``den * shared >= num * united`` holds for their shingle
-    sets; the component is the smallest id reachable, the row's own included.
-    Equal sets are one node throughout, so copies are never paired. Shingles and
-    sets are told apart by 64-bit hashes. Texts without words, and rows with a
-    null id, link with nothing and are their own component. Repeated ids are
-    rows of their own. An empty table gives no rows. Other columns are not read.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, sides = None, {}
+
+        def close() -> pa.RecordBatch:
+            left, *more = [sides[k] for k in sorted(sides)]
+            links = [] if where[1] != where[2] and not more else spanning_links(left, more[0] if more else None, bound)
+            return pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], names=["a", "b"])
+
+        for batch in batches:
+            column = batch.column(6)
+            flat, off = column.values.to_numpy(), column.offsets.to_numpy()
+            for row, (pivot, i, j, part, node, component) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:6]], strict=True)):
+                if (pivot, i, j) != where:
+                    if where is not None:
+                        yield close()
+                    where, sides = (pivot, i, j), {}
+                sides.setdefault(part, []).append((node, component, flat[off[row] : off[row + 1]].view(np.uint64).copy()))
+        if where is not None:
+            yield close()
+
+    rows = blocks.join(sets, "node").select("pivot", "i", "j", "part", "node", "component", "members")
+    return rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def _linked(df: DataFrame, id_col: str, text_col: str, bound: Bound) -> tuple[DataFrame, frozenset[int]]:
+    """``id, n, node, group, component`` of every row, and the numbers that two different sets share."""
     described = staged(describe(df, id_col, text_col), "described")
-    docs = described.where("n is not null").withColumn("node", F.expr("case when id is not null then node end"))
     common, rate = common_shingles(described)
+    docs = described.where("n is not null").withColumn("node", F.expr("case when id is not null then node end"))
+    # of N different sets about N * N / 2**65 pairs share a number, few enough to be told to every task
+    shared = docs.where("node is not null").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi")
+    clashing = frozenset(r["node"] for r in shared.select("node").collect())
+    if clashing:
+        docs = docs.withColumn("node", F.when(F.col("node").isin(*clashing), F.col("check")).otherwise(F.col("node")))
     classes = staged(
         docs.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.any_value("signature").alias("signature")),
         "classes",
@@ -532,51 +651,78 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     population = {r["band"]: r["count"] for r in classes.groupBy(band.alias("band")).count().collect()}
     bands = [allocate(u, population.get(0 if i == 0 else uppers[i - 1], 0), rate, bound) for i, u in enumerate(uppers)]
     texts = df.where(F.col(id_col).isNotNull())
-    candidates = staged(runs_to_pairs(index_keys(texts, text_col, common, bands, bound)), "candidates")
+    candidates = staged(runs_to_pairs(index_keys(texts, text_col, common, bands, bound, clashing)), "candidates")
     members = candidates.where("key is not null").select("key", F.col("b").alias("node"))
     pairs = plausible(candidates.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, bound)
     pairs = staged(pairs, "plausible")
 
-    def exact(some: DataFrame) -> DataFrame:
-        ends = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
-        wanted = staged(ends.join(classes.select("node", "rep"), "node"), "wanted")
-        return verified(some, staged(sets_of(texts, id_col, text_col, wanted), "sets"), bound)
+    def sets_for(ends: DataFrame) -> DataFrame:
+        wanted = staged(ends.distinct().join(classes.select("node", "rep"), "node"), "wanted")
+        return staged(sets_of(texts, id_col, text_col, wanted, clashing), "sets")
+
+    def ends_of(some: DataFrame) -> DataFrame:
+        return some.select(F.col("a").alias("node")).union(some.select("b"))
 
-    links = staged(exact(pairs), "similar")
+    links = staged(verified(pairs, sets_for(ends_of(pairs)), bound), "similar")
     found = connected_components(links)
-    more = staged(across_components(members, classes, found, bound), "across")
-    if not more.isEmpty():
-        links = staged(links.union(exact(more)), "similar")
-    reps = classes.select("node", "rep")
-    by_rep = (
-        links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
-        .join(reps.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    final = connected_components(by_rep).withColumnRenamed("node", "rep")
-    where = staged(classes.select("node", "rep").join(final, "rep", "left").select("node", F.coalesce("component", "rep").alias("component")), "where")
+    more, blocks = across_components(members, classes, found, bound)
+    more, blocks = staged(more, "more"), staged(blocks, "blocks")
+    if not (more.isEmpty() and blocks.isEmpty()):
+        sets = sets_for(ends_of(more).union(blocks.select("node")))
+        links = staged(links.union(verified(more, sets, bound)).union(compared_in_full(blocks, sets, bound)), "similar")
+        found = connected_components(links)
+    groups = staged(classes.select("node", "rep").join(found, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("group")), "groups")
+    least = groups.groupBy("group").agg(F.min("rep").alias("component"))
+    where = groups.join(least, "group").select(F.col("node").cast("string").alias("at"), "group", "component")
     # rows without a node get keys of their own, so that they do not meet in one task
-    keyed = docs.select("id", "n", F.coalesce(F.col("node").cast("string"), F.concat(F.lit("?"), F.monotonically_increasing_id().cast("string"))).alias("at"))
-    return keyed.join(where.select(F.col("node").cast("string").alias("at"), "component"), "at", "left").select(
-        F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"),
-    )
+    at = F.coalesce(F.col("node").cast("string"), F.concat(F.lit("?"), F.monotonically_increasing_id().cast("string")))
+    keyed = docs.select("id", "n", "node", at.alias("at")).join(where, "at", "left")
+    return keyed.select("id", "n", "node", "group", F.coalesce("component", "id").alias("component")), clashing
+
+
+def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
+    """``id_col, n_shingles, component_id`` of every row, from exact links between whole texts.
+
+    Documents link when ``den * shared >= num * united`` holds for their shingle
+    sets; the component is the smallest id reachable, the row's own included.
+    Equal sets are one node throughout, so copies are never paired. Shingles are
+    told apart by 64-bit hashes, sets by two. Texts without words, and rows with a
+    null id, link with nothing and are their own component. Repeated ids are
+    rows of their own. An empty table gives no rows. Other columns are not read.
+    """
+    rows, _ = _linked(df, id_col, text_col, bound)
+    return rows.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _with_nodes(df: DataFrame, text_col: str, clashing: frozenset[int]) -> DataFrame:
+    """All columns of ``df`` and ``_node``; 0 for texts without words."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            node = nodes_of(shingle_sets(batch.column(at).to_pylist()), clashing)[0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], names=[*batch.schema.names, "_node"])
+
+    return df.mapInArrow(run, df.withColumn("_node", F.lit(0).cast("long")).schema)
 
 
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
-    """The rows of ``df`` whose id is their component, with all their columns.
+    """One row of every group of near copies, that of its smallest id, with all columns of ``df``.
 
-    Of rows with equal ids one stays (of different texts the lowest by hash);
-    rows with a null id all stay.
+    Rows with a null id and rows without words all stay. Rows that share an id
+    are judged each by its own text.
     """
-    linked = staged(link_documents(df, id_col, text_col, bound), "linked")
-    ids = linked.where(F.col(id_col).isNotNull()).groupBy(id_col)
-    gone = ids.agg(F.min("component_id").alias("_c")).where(F.col(id_col) != F.col("_c")).select(id_col)
-    kept = df.join(gone, id_col, "left_anti").select(*df.columns)
-    again = ids.count().where("count > 1").select(id_col)
+    rows, clashing = _linked(df, id_col, text_col, bound)
+    linked = staged(rows.where("id is not null"), "linked")
+    again = staged(linked.groupBy("id").count().where("count > 1").select(F.col("id").alias(id_col)), "repeated")
+    gone = linked.where("id != component").select(F.col("id").alias(id_col))
     if again.isEmpty():
-        return kept
+        return df.join(gone, id_col, "left_anti").select(*df.columns)
     from pyspark.sql import Window
 
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    repeated = kept.join(again, id_col, "left_semi").withColumn("_r", F.row_number().over(first)).where("_r = 1").select(*df.columns)
-    return kept.join(again, id_col, "left_anti").select(*df.columns).unionByName(repeated)
+    once = df.join(gone.unionByName(again), id_col, "left_anti").select(*df.columns)
+    where = linked.where("id = component").select(F.col("id").alias(id_col), F.coalesce("node", F.lit(0)).alias("_node"), F.col("group").alias("_group")).distinct()
+    each = _with_nodes(df.join(again, id_col, "left_semi").select(*df.columns), text_col, clashing).join(where, [id_col, "_node"])
+    first = F.row_number().over(Window.partitionBy(id_col, "_group").orderBy("_node", F.xxhash64(text_col)))
+    each = each.where("_node = 0").withColumn("_first", F.lit(1)).unionByName(each.where("_node != 0").withColumn("_first", first))
+    return once.unionByName(each.where("_first = 1").select(*df.columns))

@@ -196,6 +196,70 @@ def test_small_sets_share_a_key():
                     assert len(b) == m and len(np.intersect1d(jaccard_join.keys_of(a, common, bands, bound), jaccard_join.keys_of(b, common, bands, bound))), (n, m)
 
 
+def test_crowded_group_of_near_copies(spark, monkeypatch):
+    rnd = random.Random(31)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(140):
+        w = list(base)
+        for _ in range(rnd.choice((1, 3, 4, 4))):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        rows.append((1000 - i, " ".join(w)))
+    rows += [(i, " ".join(base[:70]) + " " + " ".join(f"y{rnd.randrange(10**6)}" for _ in range(60))) for i in range(2000, 2030)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = [(i, _set(t)) for i, t in rows]
+    links = [(a, b) for x, (a, s) in enumerate(sets) for b, t in sets[x + 1 :] if 100 * len(s & t) >= 75 * len(s | t)]
+    want = _roots([i for i, _ in sets], links)
+    assert 1 < len(set(want.values())) < len(rows)
+    made = []
+    full = jaccard_join.compared_in_full
+    monkeypatch.setattr(jaccard_join, "compared_in_full", lambda *a: made.append(full(*a)) or made[-1])
+    for block in (2048, 30):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(df).collect()} == want
+    assert made and 0 < made[0].count() < len(rows)
+
+
+def test_spanning_links():
+    rnd = np.random.default_rng(8)
+    base = rnd.integers(0, 1 << 64, 60, dtype=np.uint64)
+    sets = []
+    for k in range(80):
+        keep = rnd.random(60) < rnd.choice([0.8, 0.95])
+        sets.append((k, k % 50, np.unique(np.concatenate((base[keep], rnd.integers(0, 1 << 64, int(rnd.integers(0, 12)), dtype=np.uint64))))))
+    bound = jaccard_join.Bound()
+    near = [(a, b) for a, _, s in sets for b, _, t in sets if a < b and 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))]
+    given = [(k, k % 50) for k in range(80)]
+    every = jaccard_join.spanning_links(sets, None, bound)
+    assert {tuple(sorted(x)) for x in every} <= set(near) and len(every) < 80
+    assert _roots(range(80), given + every) == _roots(range(80), given + near)
+    cross = jaccard_join.spanning_links(sets[:30], sets[30:], bound)
+    assert _roots(range(80), given + cross) == _roots(range(80), given + [x for x in near if x[0] < 30 <= x[1]])
+
+
+def test_repeated_ids_are_judged_by_their_texts(spark, monkeypatch):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(5, one), (5, two), (5, two + " more"), (3, one), (8, two), (9, None), (9, ""), (None, one), (None, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard_join.keep_one_of_each(df).collect()]
+    third = [r for r in kept if r[0] == 5]
+    assert len(third) == 1 and third[0] in rows[1:3]
+    assert sorted(kept, key=str) == sorted([(3, one), *third, (9, None), (9, ""), (None, one), (None, one)], key=str)
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.link_documents(df).collect() if r["doc_id"])
+    assert got == [(3, 3), (5, 3), (5, 5), (5, 5), (8, 5), (9, 9), (9, 9)]
+    # two sets with one number are told apart by the second
+    found = shingles.shingle_sets([one, two])
+    first, second = jaccard_join.nodes_of(found)
+    assert jaccard_join.nodes_of(found, frozenset([int(first[0])]))[0].tolist() == [int(second[0]), int(first[1])]
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = " ".join(f"w{i * i % 97}x{i}" for i in range(3000))
+    whole = shingles.shingle_sets([text])[0]
+    monkeypatch.setattr(shingles, "SLICE_BYTES", 500)
+    assert shingles.shingle_sets(["a b", text, "c"])[1].tolist() == whole.tolist()
+
+
 def test_toxicity_on_planted_words(spark):
     rnd = random.Random(10)
     plain = ["".join(rnd.choice("aeioulnrst") for _ in range(rnd.randrange(2, 7))) for _ in range(300)]
