@@ -7,17 +7,27 @@ from pyspark.sql import functions as F
 
 # Texts that mean "no value", truth and falsehood, and how markets are coded.
 NULL_TOKENS = ("", "none", "null", "nan", "n/a", "na", "-")
-PLACEHOLDERS = ("n/a", "na", "none", "null", "tbd", "unknown", "unspecified", "-")
+PLACEHOLDERS = ("n/a", "na", "none", "null", "tbd", "unknown", "unspecified", "not available", "not provided", "-")
 TRUTHS = ("1", "true", "t", "yes", "y", "on")
 FALSEHOODS = ("0", "false", "f", "no", "n", "off")
-MARKET_CODES = {"NYSE": "XNYS", "NASDAQ": "XNAS", "AMEX": "XASE", "NYSE ARCA": "ARCX", "BATS": "BATS"}
+MARKET_CODES = {
+    "NASDAQ": "XNAS", "NASDAQ GLOBAL MARKET": "XNAS", "NASDAQ CAPITAL MARKET": "XNAS", "NASDAQ GLOBAL SELECT": "XNAS",
+    "NYSE": "XNYS", "NEW YORK STOCK EXCHANGE": "XNYS", "NYSE MKT": "XASE", "NYSE AMERICAN": "XASE", "AMEX": "XASE",
+    "ARCA": "ARCX", "NYSE ARCA": "ARCX", "BATS": "BATS", "CBOE BZX": "BATS",
+    "OTC": "OTCM", "OTCQX": "OTCM", "OTCQB": "OTCM", "PINK": "OTCM",
+}
 SCALES = {"K": 1e3, "M": 1e6, "B": 1e9, "T": 1e12}
 
 
 def snake_case(x: Column) -> Column:
-    """Camel humps and anything but letters and digits become single underscores; lower case."""
+    """Camel humps, the last of several capitals that a word begins with, and anything but letters and digits become single underscores; lower case.
+
+    What is empty then is ``col``.
+    """
+    x = F.regexp_replace(F.trim(x), r"(.)([A-Z][a-z]+)", "$1_$2")
     x = F.regexp_replace(x, r"([a-z0-9])([A-Z])", "$1_$2")
-    return F.lower(F.regexp_replace(F.regexp_replace(x, r"[^0-9A-Za-z]+", "_"), r"^_+|_+$", ""))
+    x = F.lower(F.regexp_replace(F.regexp_replace(x, r"[^0-9A-Za-z]+", "_"), r"^_+|_+$|(?<=_)_+", ""))
+    return F.when(x == "", "col").otherwise(x)
 
 
 def number(x: Column) -> Column:
@@ -84,17 +94,20 @@ def real_text(x: Column) -> Column:
     return F.when((t != "") & ~F.lower(t).isin(*PLACEHOLDERS), t)
 
 
+def squeezed(x: Column) -> Column:
+    """Single spaces, none at the ends; null if nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(x, r"\s+", " ")), F.lit(""))
+
+
 def market_code(x: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for k, v in MARKET_CODES.items():
-        out = F.when(F.upper(F.trim(x)) == k, v).otherwise(out)
-    return out
+    """The market's code by the exchange's name; null for names that are not listed."""
+    return F.element_at(F.create_map(*[F.lit(v) for kv in MARKET_CODES.items() for v in kv]), F.upper(squeezed(x)))
 
 
 def share_class(name: Column, symbol: Column) -> Column:
-    """``Class B`` in the name, else the letter behind the symbol's dot."""
-    named = F.upper(F.regexp_extract(name, r"(?i)\bclass\s+([a-z])\b", 1))
-    return F.coalesce(F.nullif(named, F.lit("")), F.nullif(F.regexp_extract(symbol, r"\.([A-Z])$", 1), F.lit("")))
+    """``Class B`` by the name, else by the letter behind the symbol's dot or dash."""
+    named = F.nullif(F.upper(F.regexp_extract(name, r"(?i)\bclass\s+([a-z0-9]+)\b", 1)), F.lit(""))
+    return F.concat(F.lit("Class "), F.coalesce(named, F.nullif(F.regexp_extract(F.upper(symbol), r"[.\-]([A-Z])$", 1), F.lit(""))))
 
 
 def periods_per_year(bar: Column) -> Column:

@@ -13,13 +13,37 @@ def snake_names(df: DataFrame) -> DataFrame:
     seen: dict[str, int] = {}
     names = []
     for c in df.columns:
-        n = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", c)
-        n = re.sub(r"[^0-9A-Za-z]+", "_", n).strip("_").lower() or "column"
+        n = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", c.strip()))
+        n = re.sub(r"_+", "_", re.sub(r"[^0-9A-Za-z]+", "_", n)).strip("_").lower() or "col"
         seen[n] = seen.get(n, 0) + 1
         names.append(n if seen[n] == 1 else f"{n}_{seen[n]}")
     return df.toDF(*names)
 
 
+# Columns that an index left behind, and columns that tell the future.
+INDEX_RESIDUE = r"^(index|level_0|unnamed_[0-9_]+|index_level_[0-9_]+)$"
+LOOK_AHEAD = ("excessreturn", "pricechange", "spychange")
+
+
+def without_residue(df: DataFrame, also: tuple[str, ...] = (), prefix: str = "source_") -> DataFrame:
+    """``df`` without index residue, columns that tell the future, source flags and those named in ``also``."""
+    gone = [c for c in df.columns if re.match(INDEX_RESIDUE, re.sub(r"[^0-9a-z]+", "_", c.strip().lower()).strip("_"))
+            or re.sub(r"[^a-z]", "", c.lower()) in LOOK_AHEAD or c.lower().startswith(prefix) or c in also]
+    return df.drop(*gone)
+
+
+def one_symbol(df: DataFrame, name: str = "symbol") -> DataFrame:
+    """``name`` and its numbered copies as one column, the first that is not null; ``conflict`` tells that two of them differ."""
+    copies = [c for c in df.columns if re.fullmatch(rf"{re.escape(name)}(_\d+)?", c)]
+    values = F.array_distinct(F.array_compact(F.array(*copies)))
+    return df.withColumns({"conflict": F.size(values) > 1, name: F.coalesce(*copies)}).drop(*[c for c in copies if c != name])
+
+
+def with_any(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that have a value in one of ``columns`` at least."""
+    return df.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+
+
 def first_of(df: DataFrame, target: str, aliases: list[str]) -> DataFrame:
     """One column from the first present alias with a value; case and spaces do not count."""
     plain = {re.sub(r"[\s_]", "", c).lower(): c for c in df.columns}

@@ -50,3 +50,29 @@ def promotions(runs: DataFrame, by: str, order: str, reason: str, threshold: int
     g = runs.withColumn("_c", changed).withColumn("_g", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     s = g.where(F.col(reason).isNotNull()).groupBy(by, "_g", reason).agg(F.count(F.lit(1)).alias("runs"))
     return s.groupBy(by).agg(F.max("runs").alias("longest"), F.max_by(reason, F.struct("runs", reason)).alias("reason")).withColumn("promoted", F.col("longest") >= threshold)
+
+
+def to_reprocess(current: DataFrame, prior: DataFrame, key: str, last_success: str | None) -> DataFrame:
+    """Items to be processed again, with the ``reason``: new, another ``etag`` than ``prior_etag``, or ``modified_at`` after the last success."""
+    late = F.lit(False) if last_success is None else F.col("modified_at") > F.lit(last_success).cast("timestamp")
+    reason = F.when(F.col("prior_etag").isNull(), "new").when(~F.col("etag").eqNullSafe(F.col("prior_etag")), "changed").when(late, "modified")
+    return current.join(prior, key, "left").withColumn("reason", reason).where("reason is not null")
+
+
+def sync_current(source: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """``is_current`` for every source bucket: its last sync succeeded at ``source_commit`` or later."""
+    done = (F.lower(F.trim("status")) == "success") & (F.col("prior_commit").try_cast("double") >= F.col("source_commit"))
+    return source.join(state, keys, "left").select(*keys, "source_commit", F.coalesce(done, F.lit(False)).alias("is_current"))
+
+
+def zero_write(runs: DataFrame) -> DataFrame:
+    """Runs that processed something and wrote nothing."""
+    return runs.where((F.col("processed") > 0) & (F.coalesce("written", F.lit(0)) == 0))
+
+
+def source_decision(sources: DataFrame, run: str) -> DataFrame:
+    """Per run whether it fails: only if all its sources did, or all ``official`` ones of those it has."""
+    all_failed, official = F.bool_and("failed"), F.coalesce(F.bool_and(F.when(F.col("official"), F.col("failed"))), F.lit(False))
+    g = sources.groupBy(run).agg(all_failed.alias("_a"), official.alias("_o"), F.count_if("failed").alias("failed"), F.count_if(~F.col("failed")).alias("succeeded"))
+    reason = F.when(F.col("_a"), "all_selected_sources_failed").when(F.col("_o"), "all_required_sources_failed").otherwise("partial_source_outage")
+    return g.select(run, (F.col("_a") | F.col("_o")).alias("fails"), reason.alias("reason"), "failed", "succeeded")

@@ -20,7 +20,7 @@ def scalar_texts(spark: SparkSession, d: str) -> DataFrame:
                      F.when(F.col("p_size") % 3 == 0, ")").otherwise(""))
     flag = F.element_at(F.array(F.lit("Yes"), F.lit("off"), F.lit("maybe"), F.lit(" T ")), (F.col("p_size") % 4 + 1).cast("int"))
     return p.select(
-        "p_partkey", S.snake_case(F.concat(F.col("p_brand"), F.lit(" isA"), F.initcap("p_type"))).alias("snake"), S.range_middle(amount).alias("middle"),
+        "p_partkey", S.snake_case(F.concat(F.col("p_brand"), F.lit(" isA"), F.initcap("p_type"), F.lit("ATRValue"))).alias("snake"), S.range_middle(amount).alias("middle"),
         S.human_number(human).alias("human"), S.number(F.when(F.col("p_size") % 5 == 0, "n/a").otherwise(F.concat(F.col("p_size"), F.lit(",000")))).alias("num"),
         S.truth(flag).alias("truth"), S.clean_key(F.concat(F.lit("Net % of $ "), F.col("p_type"))).alias("clean"), F.size(S.listed(F.concat_ws(", ", "p_name", "p_brand", F.lit("")))).alias("n_listed"),
         S.real_text(F.when(F.col("p_size") % 7 == 0, " TBD ").otherwise(F.col("p_name"))).alias("real"),
@@ -32,11 +32,12 @@ def scalar_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 SCALARS = r"""
-SELECT p_partkey, lower(regexp_replace(regexp_replace(regexp_replace(p_brand || ' isA' || upper(p_type[1]) || lower(p_type[2:]), '([a-z0-9])([A-Z])', '\1_\2', 'g'), '[^0-9A-Za-z]+', '_', 'g'), '^_+|_+$', '', 'g')) AS snake,
+SELECT p_partkey, lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(p_brand || ' isA' || upper(p_type[1]) || lower(p_type[2:]) || 'ATRValue', '(.)([A-Z][a-z]+)', '\1_\2', 'g'),
+    '([a-z0-9])([A-Z])', '\1_\2', 'g'), '[^0-9A-Za-z]+', '_', 'g'), '^_+|_+$', '', 'g').regexp_replace('_+', '_', 'g')) AS snake,
   ((p_size * 1000 + 1) + p_size * 2000) / 2.0::DOUBLE AS middle, (CASE WHEN p_size % 3 = 0 THEN -1 ELSE 1 END) * p_size::DOUBLE * (CASE WHEN p_size % 2 = 0 THEN 1e6 ELSE 1e3 END) AS human,
   CASE WHEN p_size % 5 <> 0 THEN p_size * 1000.0::DOUBLE END AS num, CASE p_size % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 3 THEN true END AS truth,
   'net_pct_of_usd_' || lower(regexp_replace(p_type, '[^0-9A-Za-z]+', '_', 'g')) AS clean, 2 AS n_listed, CASE WHEN p_size % 7 <> 0 THEN trim(p_name) END AS real,
-  CASE WHEN p_size % 2 = 0 THEN 'B' ELSE 'A' END AS class_, CASE WHEN p_size % 2 = 0 THEN 'XNAS' END AS mic,
+  CASE WHEN p_size % 2 = 0 THEN 'Class B' ELSE 'Class A' END AS class_, CASE WHEN p_size % 2 = 0 THEN 'XNAS' ELSE 'OTCM' END AS mic,
   CASE p_size % 4 WHEN 0 THEN 252 * 390 / p_size::DOUBLE WHEN 1 THEN 252 * 6.5::DOUBLE / p_size WHEN 2 THEN 252 / p_size::DOUBLE ELSE 52 / p_size::DOUBLE END AS ppy,
   CASE WHEN p_retailprice - 950 < -25 THEN 'inverted' WHEN p_retailprice - 950 > 25 THEN 'steep' ELSE 'flat' END AS state FROM part"""
 

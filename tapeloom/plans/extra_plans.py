@@ -14,32 +14,6 @@ from tapeloom.plans.sqltext import W
 from tapeloom.session import shared_folder, table
 from tapeloom.sources import payloads, tables
 
-# Words that decide the group and tier of an event, first match wins, and how a security is typed.
-EVENT_GROUPS = (("ring", "Inflation"), ("widget", "Labor"), ("gear", "Policy"), ("bolt", "Housing"))
-HIGH_GROUPS = ("Inflation", "Policy")
-
-
-def event_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Keyword group, importance tier, region and tags of part names."""
-    p = table(spark, d, "part")
-    g = F.lit("GrowthActivity")
-    for word, group in reversed(EVENT_GROUPS):
-        g = F.when(F.lower("p_name").contains(word), group).otherwise(g)
-    out = p.withColumn("event_group", g)
-    tier = F.when(F.col("event_group").isin(*HIGH_GROUPS), "high").when(F.col("p_size") > 25, "medium").otherwise("low")
-    tags = F.create_map(*[F.lit(x) for kv in (("Inflation", "rates"), ("Policy", "rates"), ("Labor", "growth"), ("Housing", "credit")) for x in kv])
-    return out.select("p_partkey", "event_group", tier.alias("importance"), F.coalesce(F.element_at(tags, F.col("event_group")), F.lit("none")).alias("factor"),
-                      F.when(F.col("p_brand").endswith("7"), "EU").otherwise("US").alias("region"))
-
-
-GROUPS = """
-WITH a AS (SELECT *, CASE WHEN lower(p_name) LIKE '%ring%' THEN 'Inflation' WHEN lower(p_name) LIKE '%widget%' THEN 'Labor' WHEN lower(p_name) LIKE '%gear%' THEN 'Policy'
-  WHEN lower(p_name) LIKE '%bolt%' THEN 'Housing' ELSE 'GrowthActivity' END AS event_group FROM part)
-SELECT p_partkey, event_group, CASE WHEN event_group IN ('Inflation', 'Policy') THEN 'high' WHEN p_size > 25 THEN 'medium' ELSE 'low' END AS importance,
-  CASE event_group WHEN 'Inflation' THEN 'rates' WHEN 'Policy' THEN 'rates' WHEN 'Labor' THEN 'growth' WHEN 'Housing' THEN 'credit' ELSE 'none' END AS factor,
-  CASE WHEN p_brand LIKE '%7' THEN 'EU' ELSE 'US' END AS region FROM a"""
-
-
 def sessions(spark: SparkSession, d: str) -> DataFrame:
     """next session after each order day (weekends and listed holidays skipped), and quantities rounded four ways."""
     o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), (F.col("o_totalprice") / 1000).alias("q"))
@@ -57,29 +31,6 @@ a AS (SELECT day, day + i::INTEGER AS nx FROM (SELECT DISTINCT day FROM o), rang
 SELECT o_orderkey, o.day, ns AS next_session, floor(q)::BIGINT AS down, ceil(q)::BIGINT AS up, trunc(q)::BIGINT AS toward_zero FROM o JOIN n USING (day)"""
 
 
-def symbol_cleanup(spark: SparkSession, d: str) -> DataFrame:
-    """Reference fields of parts filled from texts where they are missing, locked ones untouched, what remains listed."""
-    p = table(spark, d, "part").select(
-        "p_partkey", F.concat(F.col("p_name"), F.when(F.col("p_size") % 4 == 0, " Class A").otherwise("")).alias("name"), F.when(F.col("p_size") % 3 == 0, "NYSE").when(F.col("p_size") % 3 == 1, "unknown").alias("exchange"),
-        F.when(F.col("p_size") % 5 == 0, "2020-01-01").alias("delisted"), F.when(F.col("p_size") % 2 == 0, "ETF").otherwise(F.col("p_type")).alias("asset_type"), (F.col("p_size") % 7 == 0).alias("locked"))
-    kind = F.when(F.lower("asset_type").contains("etf"), "etf").when(F.lower("asset_type").contains("promo"), "preferred").otherwise("common")
-    fields = {"mic": S.market_code(F.col("exchange")), "share_class": S.share_class(F.col("name"), F.lit("")), "status": F.when(F.col("delisted").isNotNull(), "delisted").otherwise("active"),
-              "security_type": kind, "is_etf": (F.lower(F.concat_ws(" ", "name", "asset_type")).contains("etf")).cast("string")}
-    out = p.select("p_partkey", "locked", *[F.when(~F.col("locked"), v).alias(k) for k, v in fields.items()])
-    missing = F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in fields])
-    return out.withColumn("remaining", F.array_join(F.array_sort(F.filter(missing, lambda x: x.isNotNull())), ","))
-
-
-CLEANUP = """
-WITH p AS (SELECT p_partkey, p_name || CASE WHEN p_size % 4 = 0 THEN ' Class A' ELSE '' END AS name, p_size, CASE WHEN p_size % 2 = 0 THEN 'ETF' ELSE p_type END AS kind, p_size % 7 = 0 AS locked FROM part),
-f AS (SELECT p_partkey, locked, CASE WHEN NOT locked AND p_size % 3 = 0 THEN 'XNYS' END AS mic, CASE WHEN NOT locked AND p_size % 4 = 0 THEN 'A' END AS share_class,
-  CASE WHEN NOT locked THEN CASE WHEN p_size % 5 = 0 THEN 'delisted' ELSE 'active' END END AS status,
-  CASE WHEN NOT locked THEN CASE WHEN lower(kind) LIKE '%etf%' THEN 'etf' WHEN lower(kind) LIKE '%promo%' THEN 'preferred' ELSE 'common' END END AS security_type,
-  CASE WHEN NOT locked THEN (lower(name || ' ' || kind) LIKE '%etf%')::VARCHAR END AS is_etf FROM p)
-SELECT *, array_to_string(list_sort(list_filter([CASE WHEN mic IS NULL THEN 'mic' END, CASE WHEN share_class IS NULL THEN 'share_class' END, CASE WHEN status IS NULL THEN 'status' END,
-  CASE WHEN security_type IS NULL THEN 'security_type' END, CASE WHEN is_etf IS NULL THEN 'is_etf' END], lambda x: x IS NOT NULL)), ',') AS remaining FROM f"""
-
-
 def alias_dedupe(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers of one nation read as aliases of one symbol; a canonical row wins, then the first, within a date range."""
     s = table(spark, d, "supplier")
@@ -198,11 +149,11 @@ SELECT date, symbol, n * sc AS notional, floor(n * sc / open)::BIGINT AS shares
 
 
 def intraday_status(spark: SparkSession, d: str) -> DataFrame:
-    """Users watched, their last event at a moment, whether it is fresh, and whether a refresh is due."""
+    """Every user and one without events, their last event at a moment, whether it is fresh, and whether a refresh is due."""
     now = F.lit("2024-01-20 12:00:00").cast("timestamp")
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     snap = e.where(F.col("ts") <= now + F.expr("interval 2 minutes")).groupBy("user_id").agg(F.max("ts").alias("last_at"), F.max_by("value", "ts").alias("value"))
-    watch = spark.range(0, 200).select(F.col("id").alias("user_id")).join(e.select("user_id").distinct(), "user_id", "left_semi").unionByName(e.agg((F.max("user_id") + 1).alias("user_id")))
+    watch = e.select("user_id").distinct().unionByName(e.agg((F.max("user_id") + 1).alias("user_id")))
     age = F.unix_timestamp(now) - F.unix_timestamp("last_at")
     status = F.when(F.col("last_at").isNull(), "missing").when(age < -60, "future").when(age > 3600, "stale").otherwise("fresh")
     return watch.join(snap, "user_id", "left").withColumns({"status": status, "refresh_due": F.coalesce(age > 7200, F.lit(True))})
@@ -210,7 +161,7 @@ def intraday_status(spark: SparkSession, d: str) -> DataFrame:
 
 INTRADAY = """
 WITH s AS (SELECT user_id, max(ts) AS last_at, arg_max(value, ts) AS value FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:02:00' GROUP BY 1),
-w AS (SELECT DISTINCT user_id FROM events WHERE user_id < 200 UNION ALL SELECT max(user_id) + 1 FROM events),
+w AS (SELECT DISTINCT user_id FROM events UNION ALL SELECT max(user_id) + 1 FROM events),
 j AS (SELECT w.user_id, last_at, value, floor(epoch(TIMESTAMP '2024-01-20 12:00:00')) - floor(epoch(last_at)) AS age FROM w LEFT JOIN s USING (user_id))
 SELECT user_id, last_at, value, CASE WHEN last_at IS NULL THEN 'missing' WHEN age < -60 THEN 'future' WHEN age > 3600 THEN 'stale' ELSE 'fresh' END AS status, coalesce(age > 7200, true) AS refresh_due FROM j"""
 
@@ -232,7 +183,7 @@ SELECT symbol, n, ((l - f) // 7 + 1 - n)::BIGINT AS missing_weeks, f > DATE '199
 
 def calendar_text(spark: SparkSession, d: str) -> DataFrame:
     """S17 (calendar branch), S9: orders written as calendar texts per customer and read back; entries without a summary are rejects."""
-    o = table(spark, d, "orders").where("o_orderkey % 20 = 0")
+    o = table(spark, d, "orders")
     entry = F.concat(F.lit("BEGIN:VEVENT\nUID:"), "o_orderkey", F.lit("\nSUMMARY:"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.col("o_orderpriority")),
                      F.lit("\nDTSTART;VALUE=DATE:"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("\nEND:VEVENT"))
     text = o.groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list(entry)), "\n").alias("text"))
@@ -242,7 +193,7 @@ def calendar_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 CALENDAR_TEXT = """
-SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey, o_orderkey::VARCHAR AS identifier, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority ELSE 'missing_summary' END AS detail, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 20 = 0"""
+SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey, o_orderkey::VARCHAR AS identifier, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority ELSE 'missing_summary' END AS detail, o_orderdate::DATE AS day FROM orders"""
 
 
 def listing_status(spark: SparkSession, d: str) -> DataFrame:
@@ -290,7 +241,7 @@ SELECT record_type, quarter, count(*) AS n, max(date) AS last_day FROM l WHERE r
 
 def register_all(register) -> None:
     for name, fn, sql in (
-        ("event_groups", event_groups, GROUPS), ("sessions_and_rounding", sessions, SESSIONS), ("symbol_cleanup", symbol_cleanup, CLEANUP), ("alias_dedupe", alias_dedupe, ALIASES), ("latest_row_rule", latest_rule, LATEST_RULE),
+        ("sessions_and_rounding", sessions, SESSIONS), ("alias_dedupe", alias_dedupe, ALIASES), ("latest_row_rule", latest_rule, LATEST_RULE),
         ("revision_backfill", revision_backfill, BACKFILL), ("fingerprints", fingerprints, FINGERPRINTS), ("run_choice", run_choice, RUN_CHOICE), ("sweeps", sweeps, SWEEPS), ("bucket_round_trip", bucket_round_trip, BUCKETS),
         ("target_quantities", target_quantities, QUANTITIES), ("intraday_status", intraday_status, INTRADAY), ("coverage", coverage, COVERAGE), ("calendar_text", calendar_text, CALENDAR_TEXT),
         ("listing_status", listing_status, LISTINGS), ("silver_market", silver_market, SILVER), ("earnings_dedupe", earnings_dedupe, EARN_DEDUPE),

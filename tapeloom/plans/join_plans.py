@@ -85,8 +85,8 @@ SELECT s.symbol, s.date, n_orders, reported_eps FROM s LEFT JOIN o USING (symbol
 def pivot_join(spark: SparkSession, d: str) -> DataFrame:
     """One row per day with every region's close beside it (a pivot, not one join per region)."""
     b = daily_bars(spark, d)
-    regions = [f"REGION_{i}" for i in range(5)]
-    names = [r["symbol"] for r in b.select("symbol").distinct().orderBy("symbol").limit(len(regions)).collect()]
+    # a column per region: their names, a listing, come to the driver
+    names = [r["symbol"] for r in table(spark, d, "region").select(F.col("r_name").alias("symbol")).distinct().orderBy("symbol").collect()]
     wide = b.groupBy("date").pivot("symbol", names).agg(F.first("close"))
     busy = table(spark, d, "events").groupBy(F.to_date("ts").alias("date")).agg(F.bool_or(F.col("event_type") == "error").alias("had_error"))
     return wide.select("date", *[F.col(f"`{n}`").alias(f"close_{i}") for i, n in enumerate(names)]).join(busy, "date", "full_outer").withColumn(

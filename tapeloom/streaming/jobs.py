@@ -39,3 +39,31 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "ap
     """Process what is there and stop; a run again goes on behind the last one."""
     q = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", sink).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+_TOTALS = "start timestamp, event_type string, n long, total double"
+
+
+def keep_totals(events: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process what is there into five-minute totals and stop; a run again goes on behind the last one.
+
+    Every batch sums its own new events, each once by the hash of its content,
+    and writes these parts below its number, so a batch that is repeated after a
+    failure replaces itself. Late events count in their window: a total is the
+    sum of the parts of all batches, which :func:`kept_totals` reads. Rows that
+    come again in a later batch are told apart by the watermark's state.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        parts = batch.groupBy(F.window("ts", "5 minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+        parts.select(F.col("w.start").alias("start"), "event_type", "n", "total").write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    once = distinct_events(events, "40 days")
+    q = once.writeStream.foreachBatch(put).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def kept_totals(spark: SparkSession, sink: str) -> DataFrame:
+    """``start, event_type, n, total`` of every window that :func:`keep_totals` has seen events of."""
+    parts = spark.read.schema(_TOTALS).parquet(sink)
+    return parts.groupBy("start", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 6).alias("total"))
