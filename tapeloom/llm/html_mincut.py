@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tapeloom.llm.bpe import slices
+
 # Fixed values of HTML: elements whose inside is no text, that stand alone, that
 # begin a block, and that close themselves when a block begins.
 RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "textarea", "select")
@@ -37,9 +39,10 @@ BAD_HINT = re.compile(
 GOOD_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:article|articlebody|body-?text|content|entry|main|post|story|text)(?:$|[\s_-])")
 HINT_COST, HINT_GAIN = 9.0, 3.0
 #: Class tokens that tell what a page has or does not have; they name no part of it.
-STATE = re.compile(r"(?i)(?:(?:no|not|non|without|with|has|have|is|hide|hides|show|shows|enable|disable)[_-].*|.*[_-](?:enabled?|disabled?|on|off|open|opened))")
-#: Elements whose hints are about the page as a whole.
+STATE = re.compile(r"(?i)(?:(?:no|not|non|without|with|has|have|is|hide|hides|show|shows|enable|disable)[_-].*|.*[_-](?:no|not|non|without|with|has|have)[_-].*|.*[_-](?:enabled?|disabled?|on|off|open|opened))")
+#: Elements whose hints are about the page as a whole, and the hints of an article that do not just describe it.
 WHOLE = ("html", "body", "main")
+ARTICLE_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|comments?|commentlist|disqus|promo\w*|related|recommend\w*|replies|reply|respond|sponsor\w*|teaser)(?:$|[\s_-])")
 #: Weights of the classifier on a block's own words.
 LINK_COST, SHORT_COST, TEXT_GAIN, PRIOR = 6.0, 0.6, 2.5, 0.3
 #: Smoothness: neighbours in the page, and neighbours below one parent.
@@ -54,6 +57,9 @@ _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _SPACE = re.compile(r"\s+")
 _RAW, _VOID, _BLOCK = frozenset(RAW), frozenset(VOID), frozenset(BLOCK)
 _RAW_END = {t: re.compile(rf"(?is)</{t}\s*>") for t in RAW}
+#: Where text goes on behind an element that never ends.
+_RESUME = re.compile(r"(?i)<(?:body|article|main|section|div|p|h[1-6]|ul|ol|dl|table|blockquote|pre|header|footer|nav|aside)[\s/>]")
+_ARTICLE = re.compile(r"(?i)<article[\s>]")
 
 
 @dataclass
@@ -76,7 +82,7 @@ class Block:
     chars: int = 0
 
 
-def _hints(tag: str, start: int) -> tuple[float, float, bool]:
+def _hints(tag: str, start: int, bad: re.Pattern) -> tuple[float, float, bool]:
     cost = gain = 0.0
     hidden = False
     for m in _ATTRIBUTE.finditer(tag, start):
@@ -89,7 +95,7 @@ def _hints(tag: str, start: int) -> tuple[float, float, bool]:
                 hidden |= value.strip().lower() == "true"
                 continue
             tokens = [t for t in value.split() if not STATE.fullmatch(t)]
-            if any(map(BAD_HINT.search, tokens)):
+            if any(map(bad.search, tokens)):
                 cost = HINT_COST
             elif any(map(GOOD_HINT.search, tokens)):
                 gain = HINT_GAIN
@@ -100,6 +106,10 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
     """Text blocks in page order and the elements they lie in; broken markup is read as far as it goes."""
     elements = [Element("#root", -1, 0.0, 0.0, False)]
     stack, links = [0], 0
+    # depths at which each name and any block is open, so that end tags are matched without a search
+    open_at: dict[str, list[int]] = {}
+    open_blocks: list[int] = []
+    endless: set[str] = set()
     out: list[Block] = []
     current: Block | None = None
 
@@ -119,6 +129,16 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         if links:
             current.link_chars += n
 
+    def close_from(depth: int) -> None:
+        nonlocal links
+        for e in reversed(stack[depth:]):
+            name = elements[e].name
+            open_at[name].pop()
+            if name in _BLOCK:
+                open_blocks.pop()
+            links -= name == "a"
+        del stack[depth:]
+
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -141,23 +161,29 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
                 current = None
             if name in _RAW:
                 continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if elements[stack[depth]].name == name:
-                    links -= sum(elements[e].name == "a" for e in stack[depth:])
-                    del stack[depth:]
-                    break
-                if not block and elements[stack[depth]].name in _BLOCK:
-                    break  # an inline end tag closes nothing beyond its block
+            if open_at.get(name):
+                depth = open_at[name][-1]
+                # an inline end tag closes nothing beyond its block
+                if block or not open_blocks or open_blocks[-1] < depth:
+                    close_from(depth)
             continue
         if name in _RAW and not tag.endswith("/>"):
-            close = _RAW_END[name].search(page, at)
+            close = None if name in endless else _RAW_END[name].search(page, at)
+            if close is None:
+                endless.add(name)
+            if name == "noscript" and close and _ARTICLE.search(page, at, close.start()):
+                continue  # what is read without scripts is the article itself
             if name == "head":
-                # a head that never ends must not swallow the page
                 body = re.compile(r"(?i)<body[\s>]").search(page, at)
-                if close is None or (body is not None and body.start() < close.start()):
-                    at = body.start() if body else end
+                if body and (close is None or body.start() < close.start()):
+                    at = body.start()
                     continue
-            at = close.end() if close else end
+            if close is None:
+                # what never ends must not swallow the page
+                close = _RESUME.search(page, at)
+                at = close.start() if close else end
+            else:
+                at = close.end()
             continue
         if name == "br":
             text(" ")
@@ -166,18 +192,17 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
             current = None
             if name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "div", "section", "article", "footer", "nav", "aside", "ul", "ol", "table", "form", "header", "main"):
                 # an open paragraph ends where a block begins, and inline marks with it
-                for depth in range(len(stack) - 1, 0, -1):
-                    inner = elements[stack[depth]].name
+                if open_blocks:
+                    inner = elements[stack[open_blocks[-1]]].name
                     if inner == "p" or (inner == name and name in ("li", "dt", "dd", "td", "th", "tr")):
-                        links -= sum(elements[e].name == "a" for e in stack[depth:])
-                        del stack[depth:]
-                        break
-                    if inner in _BLOCK:
-                        break
+                        close_from(open_blocks[-1])
         if name in _VOID or tag.endswith("/>"):
             continue
-        cost, gain, hidden = _hints(tag, name_match.end()) if len(tag) > len(name) + 2 else (0.0, 0.0, False)
+        cost, gain, hidden = _hints(tag, name_match.end(), ARTICLE_HINT if name == "article" else BAD_HINT) if len(tag) > len(name) + 2 else (0.0, 0.0, False)
         elements.append(Element(name, stack[-1], TAG_COST.get(name, 0.0), gain + TAG_GAIN.get(name, 0.0), hidden, 0.0 if name in WHOLE else cost))
+        open_at.setdefault(name, []).append(len(stack))
+        if block:
+            open_blocks.append(len(stack))
         stack.append(len(elements) - 1)
         links += name == "a"
     return out, elements
@@ -334,7 +359,7 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     kinds = {c: df.schema[c].dataType.simpleString() for c in (id_col, url_col)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             texts = [extract(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -207,3 +207,32 @@ def test_real_boilerplate_still_goes():
     for part in ('<div class="comments">', "<p hidden>", '<p class=x aria-hidden="true">', '<div class="related-posts">'):
         page = f"<body><article><p>{ARTICLE}</p>{part}{ARTICLE.upper()}</article></body>"
         assert html_mincut.extract(page) == ARTICLE.strip()
+
+
+def test_articles_survive_ordinary_markup():
+    parts = [
+        "The river rose in the night and the bridge was closed to all traffic before the morning, said the council, which had watched the water for days and feared the worst of it.",
+        "Farmers on the lower fields moved their animals to the hill. Nobody was hurt, and the school opened its hall to families who could not return to their homes until the water fell.",
+        "By the evening the rain had stopped. Engineers will look at the bridge on Monday, and the mayor thanked all who had carried sandbags through the dark streets for so many hours.",
+    ]
+    body, want = "".join(f"<p>{p}</p>" for p in parts), "\n\n".join(parts)
+    for start, stop in (
+        ('<body class="single-post no-sidebar"><article>', "</article>"), ('<body class="home has-sidebar"><div id="content">', "</div>"),
+        ('<body><article data-title="the hidden cost of tea">', "</article>"), ('<body><div class="post post-with-comments">', "</div>"),
+        ('<body><main class="content layout nav open">', "</main>"), ('<body><article class="tag tag-news">', "</article>"),
+        ("<body><noscript><article>", "</article></noscript>"), ("<body><select><option>x<article>", "</article>"), ("<body><script>var a = 1;<article>", "</article>"),
+    ):
+        tag = start.index(">") + 1
+        page = f'<html>{start[:tag]}<nav><a href="/">Home</a> <a href="/n">News</a></nav>{start[tag:]}{body}{stop}<footer>Copyright 2024 All rights reserved</footer></body></html>'
+        assert html_mincut.extract(page) == want, start
+    comment = '<div class="comments"><article class="comment-body"><p>I was there too and it was very wet, greetings to all of you.</p></article></div>'
+    assert "very wet" not in html_mincut.extract(f"<body><article>{body}</article>{comment}</body>")
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for page in ("<b>" * 20000 + "</div>" * 5000 + "x", "<a><div>" + "<b>" * 20000 + "</a>" * 5000 + "x", "<select>" * 20000 + "x", "<div>" * 20000 + "<p>" * 2000 + "x"):
+        began = time.process_time()
+        html_mincut.extract(page)
+        assert time.process_time() - began < 3
