@@ -90,6 +90,8 @@ def cosine_links(pairs: DataFrame, classes: DataFrame, threshold: float) -> Data
                 pick = np.flatnonzero(size == d)
                 part = batch.take(pa.array(pick))
                 x, y = (part.column(i).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(pick), d) for i in (2, 3))
+                # powers of two change no digit of the cosine, but keep squares in range
+                x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (x, y))
                 top = np.einsum("ij,ij->i", x, y)
                 base = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
                 good[pick] = top >= threshold * base
@@ -123,9 +125,10 @@ def near_duplicates(
     No bucket is capped: hot ones are joined with skew splitting. A repeated id
     is a row of its own. An empty table gives no rows.
     """
-    rows = df.select(
-        F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("vector")
-    )
+    whole = df.schema[label_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    # labels of other types are told apart by their text's hash; only equality counts
+    label = F.col(label_col).cast("long") if whole else F.when(F.col(label_col).isNotNull(), F.xxhash64(F.col(label_col).cast("string")))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), F.col(vector_col).alias("vector"))
     ok = F.coalesce(F.col("label").isNotNull() & F.col("id").isNotNull() & _usable(F.col("vector")), F.lit(False))
     parts = [F.xxhash64(F.lit(s), "label", "vector") for s in (1, 2)]
     rows = rows.withColumn("class", F.when(ok, F.concat_ws("-", *[p.cast("string") for p in parts])))

@@ -63,6 +63,16 @@ def _set(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def test_vectors_of_any_size_and_label(spark):
+    for scale in (1e200, 1e-200, 1.0):
+        rows = [(1, [scale, 0.0], "a"), (2, [0.783 * scale, 0.622 * scale], "a"), (3, [scale, 0.1 * scale], "a"), (4, [scale, 0.05 * scale], "b"), (5, [1.0, 0.001], "a")]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neardup_vectors.near_duplicates(df).collect()}
+        assert got == {1: (2, 1), 2: (0, 2), 3: (2, 1), 4: (0, 4), 5: (2, 1)}
+    half = spark.createDataFrame([(1, [1.0, 0.0], 1.2), (2, [1.0, 0.0], 1.7), (3, [1.0, 0.0], 1.2)], "vec_id long, embedding array<double>, label double")
+    assert {r["vec_id"]: r["component_id"] for r in neardup_vectors.near_duplicates(half).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_shingles():
     texts = ["One two three four five six", "one TWO three four five", "É é a b c d", "a b", "", None, " \t\n", "x y z a b c", "a a a a a a a"]
     got = shingles.shingle_sets(texts)
