@@ -31,12 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one of this machine only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one of this machine, but only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        import re
         import tempfile
 
+        if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tapeloom-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
