@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 NONE = 1 << 60
 WIDEST = 64
-#: Cached chunks of text per worker; beyond it the cache starts anew.
-CACHE_CHUNKS = 700_000
+#: Chunks of text that a worker caches; beyond it a new cache begins, and what is met again moves over from the old one.
+CACHE_CHUNKS = 100_000
 #: Chunks longer than this are encoded each time.
 CACHE_CHARS = 64
 
@@ -95,6 +95,7 @@ class ByteBpe:
         self.spelled_bytes = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         self.split = regex.compile(SPLIT)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         table = np.zeros(256, dtype=bool)
         table[[*range(65, 91), *range(97, 123)]] = True
         self.letter = table
@@ -263,9 +264,15 @@ class ByteBpe:
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of each of the distinct chunks, packed as :attr:`dtype`; what was met before is taken from the cache."""
-        known = self.known
+        known, older = self.known, self.older
         out = list(map(known.get, chunks))
-        open_ = [i for i, ids in enumerate(out) if ids is None]
+        open_ = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            out[i] = ids = older.get(chunks[i])
+            if ids is None:
+                open_.append(i)
+            else:
+                known[chunks[i]] = ids
         found = [self._words(chunks[i]) for i in open_]
         unseen = list(set().union(*found).difference(known))
         fresh = dict(zip(unseen, self.encode_words([w.encode() for w in unseen]), strict=True))
@@ -273,9 +280,9 @@ class ByteBpe:
             out[i] = b"".join([fresh[w] if w in fresh else known[w] for w in ws])
             if len(ws) > 1:
                 fresh[chunks[i]] = out[i]
-        if len(known) + len(fresh) > CACHE_CHUNKS:
-            known.clear()
         known.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHE_CHARS)
+        if len(known) > CACHE_CHUNKS:
+            self.known, self.older = {}, known
         return out
 
     @property
@@ -404,8 +411,11 @@ def loaded(path: str | None = None) -> ByteBpe:
     return _LOADED[key]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int, most_chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``most_chars`` characters of column ``text``, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], text: int, most_chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``most_chars`` characters of column ``text``, one row at least.
+
+    At the end Arrow's free memory goes back to the system: workers are used again, and several share an executor.
+    """
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(size)
@@ -415,6 +425,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most_chars: int = 4_000
             stop = max(at + 1, int(np.searchsorted(ends, base + most_chars, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def encode_documents(

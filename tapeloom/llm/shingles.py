@@ -10,7 +10,7 @@ import numpy as np
 WIDTH = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that are hashed at a time.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

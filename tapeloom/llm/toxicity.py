@@ -41,7 +41,7 @@ LOG_UNIT, WEIGHT_UNIT = 1e9, 1e6
 #: Added to the evidence before its logarithm, and the curve without labels to fit it on.
 FLOOR, DEFAULT_CALIBRATION = 1e-3, (2.0, 8.0)
 #: Characters of text that a worker splits into words at a time.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 600_000
 #: Buckets of labelled ids that are broadcast to spare unlabelled texts the shuffle.
 ID_BUCKETS = 1 << 20
 #: Longer words are cut into stretches of this many letters.

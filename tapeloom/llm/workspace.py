@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, local runs) a temporary folder of this
-    machine is taken, once per application.
+    Only where that is unset and the session runs in this process (tests,
+    local runs) a temporary folder of this machine is taken, once per
+    application; on a cluster, whose executors would not see it, that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if re.fullmatch(r"local(\[[^\]]*\])?", context.master) is None:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tapeloom-"))
     return context.getCheckpointDir().rstrip("/")
 
