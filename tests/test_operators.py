@@ -110,3 +110,44 @@ def test_payloads(spark):
     assert r["moment"] == "2024-01-01" and r["values"] == {"open": "5", "high": "6"}
     v = payloads.vendor_rows(spark.createDataFrame([('{"Net %": "1"}',), ('{"Net %": "1"}',)], "t string"), "t", "d")
     assert v.count() == 1 and v.first()["fields"] == {"net_pct": "1"}
+
+
+def test_totals_of_a_stream_that_stops_and_goes_on(spark, tmp_path):
+    from tapeloom.streaming import jobs
+
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+
+    def arrive(*rows):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, 1, h, m), 1, "view", v, "{}") for i, h, m, v in rows], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def totals():
+        jobs.keep_totals(jobs.event_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/state")
+        return sorted((r["start"].hour, r["start"].minute, r["n"], r["total"]) for r in jobs.kept_totals(spark, f"{tmp_path}/out").collect())
+
+    arrive((1, 10, 1, 1.0), (2, 10, 4, 2.0), (2, 10, 4, 2.0))
+    assert totals() == [(10, 0, 2, 3.0)]
+    assert totals() == [(10, 0, 2, 3.0)]
+    # a later run: a new window, a late event of the first, and one that came before
+    arrive((3, 11, 0, 5.0), (4, 10, 2, 4.0), (1, 10, 1, 1.0))
+    assert totals() == [(10, 0, 3, 7.0), (11, 0, 1, 5.0)]
+
+
+def test_column_repair_and_rules(spark):
+    df = spark.createDataFrame([(1, None, "B", 1.0, 2, None), (2, "A", "A", 1.0, 2, 3)], "unnamed_0 int, symbol string, symbol_2 string, ExcessReturn double, source_x int, m int")
+    out = clean.with_any(clean.one_symbol(clean.without_residue(df)), ["m"])
+    assert out.columns == ["symbol", "m", "conflict"] and [tuple(r) for r in out.collect()] == [("A", 3, False)]
+    assert clean.without_residue(df.limit(0)).count() == 0
+    assert clean.snake_names(spark.createDataFrame([(1, 2)], ["ATRValue", " % "])).columns == ["atr_value", "col"]
+
+
+def test_payloads_that_cannot_be_read(spark):
+    from tapeloom.sources import payloads as P
+
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "{"), (4, '{"rows":[]}'), (5, '{"rows":[{"date":"2024-01-31","timeframe":"Annual","Revenue":"1,000"},{"date":"x"},null]}')], "k long, payload string")
+    got = P.report_rows(df, "payload", ["k"], "rows", ["date"], {"revenue": ["revenue"]}).collect()
+    assert [(r["k"], str(r["date"]), r["timeframe"], r["revenue"]) for r in got] == [(5, "2024-01-31", "annual", 1000.0)]
+    assert P.history_rows(df, "payload", ["k"], ("open",)).where("date is not null").count() == 1
+    csv = spark.createDataFrame([(1, None), (2, "timestamp,close\n2024-01-01,3"), (3, "Timestamp,DIVIDEND amount,split-coefficient\r\n2024-01-01,,\n2024-01-01,2,\nx,1,1")], "k long, payload string")
+    assert [tuple(r)[2:] for r in P.corporate_actions(csv, "payload", ["k"]).collect()] == [(2.0, 1.0)]
+    for make in (P.earnings_history, P.corporate_actions):
+        assert make(df.limit(0), "payload", ["k"]).count() == 0
