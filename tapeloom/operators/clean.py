@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.functions.frames import value_at
+
 
 def snake_names(df: DataFrame) -> DataFrame:
     """Columns in snake case; names that fall together get ``_2``, ``_3``."""
@@ -114,16 +117,36 @@ def purge(df: DataFrame, column: str, op: str, threshold: float) -> DataFrame:
     """Rows that a purge rule selects; percent rules take whole ties."""
     if op in _COMPARE:
         return df.where(F.coalesce(_COMPARE[op](F.col(column), F.lit(threshold)), F.lit(False)))
-    n = df.where(F.col(column).isNotNull())
     edge = {"top_percent": 1 - threshold / 100, "bottom_percent": threshold / 100}[op]
-    cut = n.agg(F.percentile(column, F.lit(edge)).alias("_cut"))
-    j = n.crossJoin(F.broadcast(cut))  # one row
-    return j.where(F.col(column) >= F.col("_cut") if op == "top_percent" else F.col(column) <= F.col("_cut")).drop("_cut")
+    n = df.agg(F.count(column)).first()[0]
+    if n == 0:
+        return df.limit(0)
+    at = edge * (n - 1)
+    low, high = (value_at(df, column, k)[0] for k in (math.floor(at), math.ceil(at)))
+    cut = F.lit(low + (high - low) * (at - math.floor(at)))
+    return df.where(F.col(column) >= cut if op == "top_percent" else F.col(column) <= cut)
 
 
 def rotation(df: DataFrame, key: str, cursor: int, size: int) -> DataFrame:
-    """A wrap-around slice of the sorted keys. Keys are a listing, small beside the data they name."""
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = df.withColumn("_i", F.row_number().over(Window.orderBy(key)) - 1).crossJoin(F.broadcast(total))
-    at = F.pmod(F.col("_i") - cursor, F.col("_n"))
-    return ranked.withColumn("position", at.cast("int")).where(F.col("position") < size).drop("_i", "_n")
+    """A wrap-around slice of the rows sorted by a key, null keys first, with their ``position`` from the cursor.
+
+    The key at the slice's start is looked up, then only the ``size`` rows from
+    there on are sorted; rows of one key stand in any order.
+    """
+    n, nulls = df.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    if n == 0:
+        return df.limit(0).withColumn("position", F.lit(0))
+    start, size = cursor % n, min(size, n)
+
+    def part(begin: int, count: int, first: int) -> DataFrame:
+        if begin < nulls:
+            rows, skipped = df, 0
+        else:
+            value, under = value_at(df, key, begin - nulls)
+            rows, skipped = df.where(F.col(key) >= F.lit(value)), nulls + under
+        rows = rows.orderBy(key).offset(begin - skipped).limit(count)
+        return rows.withColumn("position", F.row_number().over(Window.orderBy(key)) + (first - 1))
+
+    ahead = min(size, n - start)
+    out = part(start, ahead, 0)
+    return out.unionByName(part(0, size - ahead, ahead)) if size > ahead else out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.nulls import safe_div
+from tapeloom.operators.asof import asof_backward
 
 
 def nav_path(df: DataFrame, by: str, at: str, nav: str = "nav") -> DataFrame:
@@ -74,10 +75,15 @@ def first_exits(positions: DataFrame, bars: DataFrame, stop: float, profit: floa
     ``positions``: position_id, symbol, entry_date, entry_price. The trailing
     anchor is the highest price since entry, this bar's included.
     """
-    b = bars.select("symbol", "date", "high", "low", "close")
-    j = positions.join(b, "symbol").where(F.col("date") > F.col("entry_date"))
+    b = bars.select("symbol", "date", "high", "low", "close", F.row_number().over(Window.partitionBy("symbol").orderBy("date")).alias("_bar"))
+    p = asof_backward(positions.select("position_id", "symbol", "entry_date", "entry_price"), b, ["symbol"], "entry_date", "date", ["_bar"])
+    p = p.withColumn("_entry", F.coalesce("_bar", F.lit(0))).drop("_bar")
+    # the time rule fires at max_bars, so only so many bars can matter: they lie in two blocks of that length
+    p = p.withColumn("_block", F.explode(F.sequence(F.expr(f"(_entry + 1) div {max_bars}"), F.expr(f"(_entry + {max_bars}) div {max_bars}"))))
+    j = p.join(b.withColumn("_block", F.expr(f"_bar div {max_bars}")), ["symbol", "_block"]).withColumn("held", F.col("_bar") - F.col("_entry"))
+    j = j.where(F.col("held").between(1, max_bars))
     w = Window.partitionBy("position_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    j = j.withColumns({"anchor": F.greatest(F.max("high").over(w), F.col("entry_price")), "held": F.row_number().over(Window.partitionBy("position_id").orderBy("date"))})
+    j = j.withColumn("anchor", F.greatest(F.max("high").over(w), F.col("entry_price")))
     e = F.col("entry_price")
     levels = {"stop": (F.col("low") <= e * (1 - stop), e * (1 - stop)), "profit": (F.col("high") >= e * (1 + profit), e * (1 + profit)),
               "trail": (F.col("low") <= F.col("anchor") * (1 - trail), F.col("anchor") * (1 - trail)), "time": (F.col("held") >= max_bars, F.col("close"))}

@@ -17,6 +17,7 @@ PIVOT_SPAN = 3
 #: A zone's half width is the largest of a share of its price, of its ATR, and a floor.
 ZONE_PRICE, ZONE_ATR, ZONE_FLOOR = 0.0075, 0.35, 0.01
 RECENCY_BARS = 63.0
+BLOCK_BARS = 64
 CONFIRM_BARS = 3
 FIB = (0.236, 0.382, 0.5, 0.618, 0.786)
 
@@ -129,9 +130,9 @@ def zone_half_width(price: float, atr: float | None) -> float:
 
 
 def zone_versions(pivots: DataFrame) -> DataFrame:
-    """Every state of every zone, from pivots alone: ``symbol, side, zone, bar_from, bar_to, mid, low, high, touches, last_touch``.
+    """Every state of every zone, from pivots alone: ``symbol, side, zone, bar_from, bar_to, mid, low, high, touches, last_touch, n_bars``.
 
-    ``pivots``: symbol, side, bar, price, atr. A pivot joins the nearest zone
+    ``pivots``: symbol, side, bar, price, atr, n_bars (of the symbol). A pivot joins the nearest zone
     that its band reaches, the older one at equal distance, or begins a new one.
     ``bar_to`` (exclusive) is null for a state that lasts. Bars never reach
     Python; a symbol's pivots are at most a seventh of them.
@@ -154,31 +155,40 @@ def zone_versions(pivots: DataFrame) -> DataFrame:
                 zones.append(z)
             z["state"] = {
                 "symbol": row.symbol, "side": row.side, "zone": z["number"], "bar_from": at, "bar_to": None, "mid": z["total"] / z["touches"],
-                "low": z["low"], "high": z["high"], "touches": z["touches"], "last_touch": at,
+                "low": z["low"], "high": z["high"], "touches": z["touches"], "last_touch": at, "n_bars": int(row.n_bars),
             }
             out.append(z["state"])
-        frame = pd.DataFrame(out, columns=["symbol", "side", "zone", "bar_from", "bar_to", "mid", "low", "high", "touches", "last_touch"])
+        frame = pd.DataFrame(out, columns=["symbol", "side", "zone", "bar_from", "bar_to", "mid", "low", "high", "touches", "last_touch", "n_bars"])
         frame["bar_to"] = frame["bar_to"].astype("Int32")
         return frame
 
-    schema = "symbol string, side string, zone int, bar_from int, bar_to int, mid double, low double, high double, touches int, last_touch int"
+    schema = "symbol string, side string, zone int, bar_from int, bar_to int, mid double, low double, high double, touches int, last_touch int, n_bars int"
     return pivots.groupBy("symbol", "side").applyInPandas(replay, schema)
 
 
-def _chosen(bars: DataFrame, zones: DataFrame, side: str) -> DataFrame:
-    """The nearest zone of one side for every bar; strength breaks ties, then age of the zone."""
-    z = zones.where(F.col("side") == side).select("symbol", "zone", "bar_from", "bar_to", *[F.col(x).alias(f"z_{x}") for x in ("mid", "low", "high", "touches", "last_touch")])
-    b = bars.select("symbol", "bar", F.col("close").alias("c"))
-    live = (F.col("bar") >= F.col("bar_from")) & (F.col("bar_to").isNull() | (F.col("bar") < F.col("bar_to")))
-    j = b.join(z, "symbol").where(live)
+def _chosen(bars: DataFrame, zones: DataFrame) -> DataFrame:
+    """The nearest zone of each side for every bar; strength breaks ties, then age of the zone.
+
+    Bars and states meet by blocks of bars, so a bar meets the states that live
+    in its block, not those of the whole history.
+    """
+    parts = ("mid", "low", "high", "touches", "last_touch")
+    z = zones.withColumn("_last", F.coalesce("bar_to", "n_bars") - 1).where(F.col("bar_from") <= F.col("_last"))
+    z = z.select("symbol", "side", "zone", "bar_from", "_last", *[F.col(x).alias(f"z_{x}") for x in parts],
+                 F.explode(F.sequence(F.expr(f"bar_from div {BLOCK_BARS}"), F.expr(f"_last div {BLOCK_BARS}"))).alias("_block"))
+    b = bars.select("symbol", "bar", F.col("close").alias("c"), F.expr(f"bar div {BLOCK_BARS}").alias("_block"))
+    j = b.join(z, ["symbol", "_block"]).where(F.col("bar").between(F.col("bar_from"), F.col("_last")))
     inside = (F.col("c") >= F.col("z_low")) & (F.col("c") <= F.col("z_high"))
-    beyond = F.col("z_mid") <= F.col("c") if side == "support" else F.col("z_mid") >= F.col("c")
+    beyond = F.when(F.col("side") == "support", F.col("z_mid") <= F.col("c")).otherwise(F.col("z_mid") >= F.col("c"))
     strength = F.col("z_touches") * F.exp(-(F.col("bar") - F.col("z_last_touch")) / RECENCY_BARS)
     j = j.where(inside | beyond).withColumn("strength", strength)
     pick = F.struct(F.abs(F.col("c") - F.col("z_mid")), -F.col("strength"), F.col("zone"))
-    p = f"sr_{side}_1_"
-    return j.groupBy("symbol", "bar").agg(F.min_by(F.struct("z_mid", "z_low", "z_high", "z_touches", "strength"), pick).alias("_z")).select(
-        "symbol", "bar", *[F.col(f"_z.{a}").alias(p + b) for a, b in (("z_mid", "mid"), ("z_low", "low"), ("z_high", "high"), ("z_touches", "touches"), ("strength", "strength"))]
+    state = F.struct("z_mid", "z_low", "z_high", "z_touches", "strength")
+    sides = ("support", "resistance")
+    best = j.groupBy("symbol", "_block", "bar").agg(*[F.min_by(state, F.when(F.col("side") == s, pick)).alias(s) for s in sides])
+    return best.select(
+        "symbol", "bar", *[F.col(f"{s}.{a}").alias(f"sr_{s}_1_{b}") for s in sides
+                           for a, b in (("z_mid", "mid"), ("z_low", "low"), ("z_high", "high"), ("z_touches", "touches"), ("strength", "strength"))]
     )
 
 
@@ -188,15 +198,14 @@ def zones_and_sweeps(bars: DataFrame) -> DataFrame:
     ``bars`` come from :func:`confirmed_pivots`.
     """
     pivots = None
+    bars = bars.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("symbol")).cast("int"))
     for side, x in (("support", "low"), ("resistance", "high")):
         one = bars.where(F.col(f"pivot_{x}").isNotNull()).select(
-            "symbol", F.lit(side).alias("side"), "bar", F.col(f"pivot_{x}").alias("price"), F.col(f"pivot_{x}_atr").alias("atr")
+            "symbol", F.lit(side).alias("side"), "bar", F.col(f"pivot_{x}").alias("price"), F.col(f"pivot_{x}_atr").alias("atr"), F.col("_n").alias("n_bars")
         )
         pivots = one if pivots is None else pivots.unionByName(one)
     zones = zone_versions(pivots)
-    out = bars
-    for side in ("support", "resistance"):
-        out = out.join(_chosen(bars, zones, side), ["symbol", "bar"], "left")
+    out = bars.drop("_n").join(_chosen(bars, zones), ["symbol", "bar"], "left")
     r, past = Rolling(), series().rowsBetween(Window.unboundedPreceding, 0)
     c, h, low, atr = (F.col(x) for x in ("close", "high", "low", "atr_14d"))
     sup, res = {}, {}

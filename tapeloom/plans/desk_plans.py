@@ -127,7 +127,7 @@ SELECT symbol, round(t, 6) AS total_return, round(y, 6) AS annualized_return, ro
 
 
 def position_fold(spark: SparkSession, d: str) -> DataFrame:
-    """Positions per supplier and part from signed trades."""
+    """Positions per supplier from signed trades."""
     li = table(spark, d, "lineitem")
     t = li.select("l_suppkey", "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("quantity"),
                   (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
@@ -135,18 +135,28 @@ def position_fold(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 4) for c in ("average_cost", "realized_pnl")})
 
 
+FOLD = """
+SELECT l_suppkey, s.q AS quantity, round(s.c, 4) AS average_cost, round(s.r, 4) AS realized_pnl, s.n AS closed_positions FROM (SELECT l_suppkey, list_reduce(
+  list({'q': CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END::DOUBLE, 'p': (l_extendedprice / l_quantity)::DOUBLE, 'c': 0.0::DOUBLE, 'r': 0.0::DOUBLE, 'n': 0}
+    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END, l_extendedprice / l_quantity),
+  lambda a, t: CASE WHEN t.q > 0 THEN {'q': a.q + t.q, 'p': 0.0::DOUBLE, 'c': (a.q * a.c + t.q * t.p) / (a.q + t.q), 'r': a.r, 'n': a.n}
+    ELSE {'q': a.q - least(-t.q, a.q), 'p': 0.0::DOUBLE, 'c': CASE WHEN a.q - least(-t.q, a.q) > 0 THEN a.c ELSE 0.0::DOUBLE END,
+      'r': a.r + least(-t.q, a.q) * (t.p - a.c), 'n': a.n + CASE WHEN a.q - least(-t.q, a.q) = 0 AND least(-t.q, a.q) > 0 THEN 1 ELSE 0 END} END,
+  {'q': 0.0::DOUBLE, 'p': 0.0::DOUBLE, 'c': 0.0::DOUBLE, 'r': 0.0::DOUBLE, 'n': 0}) AS s FROM lineitem GROUP BY 1)"""
+
+
 def exits(spark: SparkSession, d: str) -> DataFrame:
-    """A position opened at every 40th week of a nation."""
+    """A position opened at every week of a nation."""
     b = weekly_bars(spark, d)
     from pyspark.sql import Window
 
-    n = b.withColumn("rn", F.row_number().over(Window.partitionBy("symbol").orderBy("date"))).where("rn % 40 = 1")
+    n = b.withColumn("rn", F.row_number().over(Window.partitionBy("symbol").orderBy("date")))
     p = n.select(F.concat_ws("/", "symbol", F.col("rn").cast("string")).alias("position_id"), "symbol", F.col("date").alias("entry_date"), F.col("close").alias("entry_price"))
     return portfolio.first_exits(p, b, stop=0.9, profit=8.0, trail=0.98, max_bars=30)
 
 
 EXITS = f"""
-WITH {BW}, n AS (SELECT *, row_number() OVER ({W}) AS rn FROM bars), p AS (SELECT symbol || '/' || rn AS position_id, symbol, date AS entry_date, close AS e FROM n WHERE rn % 40 = 1),
+WITH {BW}, n AS (SELECT *, row_number() OVER ({W}) AS rn FROM bars), p AS (SELECT symbol || '/' || rn AS position_id, symbol, date AS entry_date, close AS e FROM n),
 j AS (SELECT p.*, b.date, high, low, close, greatest(max(high) OVER (PARTITION BY position_id ORDER BY b.date), e) AS anchor, row_number() OVER (PARTITION BY position_id ORDER BY b.date) AS held
   FROM p JOIN bars b ON b.symbol = p.symbol AND b.date > entry_date),
 f AS (SELECT *, low <= e * (1 - 0.9::DOUBLE) AS s, high >= e * (1 + 8.0) AS g, low <= anchor * (1 - 0.98::DOUBLE) AS t, held >= 30 AS x FROM j),
@@ -257,7 +267,7 @@ def register_all(register) -> None:
     for name, fn, sql in (
         ("regime_signals", regimes, f"WITH {_signals_sql()} SELECT symbol, date, code, score, status, is_active FROM g"), ("regime_transitions", regime_transitions, TRANSITIONS),
         ("regime_snapshot", regime_snapshot, SNAP), ("streaks", streaks, STREAKS), ("ready_window", ready_window, READY), ("nav_metrics", nav_metrics, NAV), ("performance_summary", performance, PERFORMANCE),
-        ("position_fold", position_fold, None), ("first_exits", exits, EXITS), ("quality_gates", quality_gates, GATES), ("freshness", freshness, FRESH), ("count_jumps", count_jumps, JUMPS),
+        ("position_fold", position_fold, FOLD), ("first_exits", exits, EXITS), ("quality_gates", quality_gates, GATES), ("freshness", freshness, FRESH), ("count_jumps", count_jumps, JUMPS),
         ("failure_promotions", promotions, PROMOTIONS), ("summaries", summaries, SUMMARIES), ("attribution", attribution, ATTRIBUTION), ("five_minute_stream", five_minutes, FIVE),
     ):
         register(name, fn, sql)

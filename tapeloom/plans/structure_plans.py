@@ -62,21 +62,11 @@ def pivots_and_swings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _swings_sql() -> str:
-    def centred(agg: str, x: str) -> str:
-        return f"{agg}({x}) OVER ({W} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"
-
     names = [f"fib_level_{round(f * 1000):03d}" for f in structure.FIB]
     levels = ", ".join(f"CASE dir WHEN 1 THEN hp - {f} * (hp - lp) WHEN -1 THEN lp + {f} * (hp - lp) END AS {n}" for n, f in zip(names, structure.FIB, strict=True))
     nearest = ", ".join(f"{{'d': abs({n} - close), 'i': {i}, 'v': {n}}}" for i, n in enumerate(names))
     return f"""
-WITH {_base_sql()}, p AS (
-  SELECT *, (row_number() OVER ({W}) - 1)::INTEGER AS bar,
-    CASE WHEN {centred('count', 'high')} = 7 AND high = {centred('max', 'high')} THEN high END AS ph,
-    CASE WHEN {centred('count', 'low')} = 7 AND low = {centred('min', 'low')} THEN low END AS pl FROM base
-), q AS (
-  SELECT *, {lag('ph', 3)} AS pivot_high, {lag('pl', 3)} AS pivot_low,
-    {lag('CASE WHEN ph IS NOT NULL THEN atr END', 3)} AS pivot_high_atr, {lag('CASE WHEN pl IS NOT NULL THEN atr END', 3)} AS pivot_low_atr FROM p
-), s AS (
+WITH {_pivots_sql()}, s AS (
   SELECT *, last_value(pivot_high IGNORE NULLS) OVER w AS hp, last_value(pivot_low IGNORE NULLS) OVER w AS lp,
     last_value(CASE WHEN pivot_high IS NOT NULL THEN bar END IGNORE NULLS) OVER w AS hb, last_value(CASE WHEN pivot_low IS NOT NULL THEN bar END IGNORE NULLS) OVER w AS lb
   FROM q WINDOW w AS ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
@@ -93,7 +83,78 @@ SELECT symbol, date, close, atr AS atr_14d, bar, pivot_high, pivot_low, pivot_hi
 
 def zones_and_sweeps(spark: SparkSession, d: str) -> DataFrame:
     """M8-M11, M15-M18."""
-    return structure.zones_and_sweeps(structure.confirmed_pivots(_base(spark, d))).drop("volume", "return_1d", "gap_atr")
+    out = structure.zones_and_sweeps(structure.confirmed_pivots(_base(spark, d))).drop("volume", "return_1d", "gap_atr")
+    return out.withColumns({f"sr_{s}_1_strength": F.round(f"sr_{s}_1_strength", 6) for s in ("support", "resistance")})
+
+
+def _pivots_sql() -> str:
+    def centred(agg: str, x: str) -> str:
+        return f"{agg}({x}) OVER ({W} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"
+
+    return f"""{_base_sql()}, p AS (
+  SELECT *, (row_number() OVER ({W}) - 1)::INTEGER AS bar,
+    CASE WHEN {centred('count', 'high')} = 7 AND high = {centred('max', 'high')} THEN high END AS ph,
+    CASE WHEN {centred('count', 'low')} = 7 AND low = {centred('min', 'low')} THEN low END AS pl FROM base
+), q AS (
+  SELECT *, {lag('ph', 3)} AS pivot_high, {lag('pl', 3)} AS pivot_low,
+    {lag('CASE WHEN ph IS NOT NULL THEN atr END', 3)} AS pivot_high_atr, {lag('CASE WHEN pl IS NOT NULL THEN atr END', 3)} AS pivot_low_atr FROM p
+)"""
+
+
+def _zones_sql() -> str:
+    """Zones grow pivot by pivot in a recursive query, one step for the k-th pivot of every symbol and side."""
+    zone = "STRUCT(zone INTEGER, total DOUBLE, touches INTEGER, low DOUBLE, high DOUBLE)"
+    grown = "{'zone': z.zone, 'total': z.total + price, 'touches': z.touches + 1, 'low': least(z.low, price - half), 'high': greatest(z.high, price + half)}"
+    new = "{'zone': len(zones)::INTEGER, 'total': price, 'touches': 1, 'low': price - half, 'high': price + half}"
+    past = f"{W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    parts = ", ".join(f"{s}.{x} AS sr_{s}_1_{x}" for s in ("support", "resistance") for x in ("mid", "low", "high"))
+    more = ", ".join(f"coalesce({s}.touches, 0)::INTEGER AS sr_{s}_1_touches, round(coalesce({s}.strength, 0.0::DOUBLE), 6) AS sr_{s}_1_strength" for s in ("support", "resistance"))
+    joins = " ".join(f"LEFT JOIN best {s} ON {s}.symbol = q.symbol AND {s}.bar = q.bar AND {s}.side = '{s}'" for s in ("support", "resistance"))
+    s, r = "sr_support_1", "sr_resistance_1"
+    return f"""
+WITH RECURSIVE {_pivots_sql()}, o AS (
+  SELECT symbol, 'support' AS side, bar, pivot_low AS price, pivot_low_atr AS a FROM q WHERE pivot_low IS NOT NULL
+  UNION ALL SELECT symbol, 'resistance', bar, pivot_high, pivot_high_atr FROM q WHERE pivot_high IS NOT NULL
+), pv AS (
+  SELECT symbol, side, bar, price, greatest(abs(price) * {structure.ZONE_PRICE}::DOUBLE, coalesce(abs(a), 0.0::DOUBLE) * {structure.ZONE_ATR}::DOUBLE, {structure.ZONE_FLOOR}::DOUBLE) AS half,
+    row_number() OVER (PARTITION BY symbol, side ORDER BY bar) AS k FROM o
+), grow AS (
+  SELECT DISTINCT symbol, side, 0::BIGINT AS k, -1 AS bar, -1 AS hit, []::{zone}[] AS zones FROM pv
+  UNION ALL
+  SELECT symbol, side, k, bar, coalesce(near, len(zones))::INTEGER AS hit,
+    CASE WHEN near IS NULL THEN list_append(zones, {new}) ELSE list_transform(zones, lambda z: CASE WHEN z.zone = near THEN {grown} ELSE z END) END AS zones
+  FROM (SELECT pv.symbol, pv.side, pv.k, pv.bar, price, half, zones,
+      list_sort(list_transform(list_filter(zones, lambda z: z.low - half <= price AND price <= z.high + half), lambda z: {{'d': abs(z.total / z.touches - price), 'zone': z.zone}}))[1].zone AS near
+    FROM grow JOIN pv ON pv.symbol = grow.symbol AND pv.side = grow.side AND pv.k = grow.k + 1)
+), ver AS (
+  SELECT symbol, side, hit, bar AS bar_from, lead(bar) OVER (PARTITION BY symbol, side, hit ORDER BY bar) AS bar_to, zones[hit + 1] AS z FROM grow WHERE k > 0
+), met AS (
+  SELECT q.symbol, q.bar, side, hit, z.total / z.touches AS mid, z.low AS low, z.high AS high, z.touches AS touches, close,
+    z.touches * exp(-(q.bar - bar_from) / {structure.RECENCY_BARS}::DOUBLE) AS strength
+  FROM q JOIN ver ON ver.symbol = q.symbol AND q.bar >= bar_from AND q.bar < coalesce(bar_to, 2147483647)
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, side, bar ORDER BY abs(close - mid), -strength, hit) AS n FROM met
+    WHERE close BETWEEN low AND high OR CASE side WHEN 'support' THEN mid <= close ELSE mid >= close END) WHERE n = 1
+), c AS (SELECT q.*, {lag('q.close', w='PARTITION BY q.symbol ORDER BY q.date')} AS prev, {parts}, {more} FROM q {joins}
+), e AS (SELECT *, {flag(f'high > {r}_high AND close < {r}_high')} AS swept_sr_resistance_1, {flag(f'low < {s}_low AND close > {s}_low')} AS swept_sr_support_1,
+    CASE WHEN {r}_high IS NOT NULL THEN greatest(high - {r}_high, 0.0) END AS ov, CASE WHEN {s}_low IS NOT NULL THEN greatest({s}_low - low, 0.0) END AS un FROM c
+), f AS (SELECT *, bar - last_value(CASE WHEN swept_sr_resistance_1 = 1 THEN bar END IGNORE NULLS) OVER w AS bars_since_bearish_sweep,
+    bar - last_value(CASE WHEN swept_sr_support_1 = 1 THEN bar END IGNORE NULLS) OVER w AS bars_since_bullish_sweep,
+    last_value(CASE WHEN swept_sr_resistance_1 = 1 THEN low END IGNORE NULLS) OVER w AS xb, last_value(CASE WHEN swept_sr_support_1 = 1 THEN high END IGNORE NULLS) OVER w AS xu
+  FROM e WINDOW w AS ({past}))
+SELECT symbol, date, high, low, close, atr AS atr_14d, bar, pivot_high, pivot_low, pivot_high_atr, pivot_low_atr,
+  {', '.join(f'{p}_{x}' for p in (s, r) for x in ('mid', 'low', 'high', 'touches', 'strength'))}, swept_sr_resistance_1, swept_sr_support_1,
+  {div(f'close - {s}_mid', 'atr')} AS {s}_dist_atr, {div(f'{r}_mid - close', 'atr')} AS {r}_dist_atr,
+  {flag(f'close BETWEEN {s}_low AND {s}_high')} AS sr_in_support_1_zone, {flag(f'close BETWEEN {r}_low AND {r}_high')} AS sr_in_resistance_1_zone,
+  {flag(f'close > {r}_high AND prev <= {r}_high')} AS sr_breaks_above_resistance_1, {flag(f'close < {s}_low AND prev >= {s}_low')} AS sr_breaks_below_support_1,
+  CASE WHEN {r}_mid > {s}_mid THEN (close - {s}_mid) / ({r}_mid - {s}_mid) END AS sr_zone_position,
+  {div('ov', 'atr')} AS bearish_sweep_magnitude_atr, {div('un', 'atr')} AS bullish_sweep_magnitude_atr,
+  CASE WHEN ov > 0 THEN ({r}_high - close) / ov WHEN {r}_high IS NOT NULL THEN 0.0 END AS bearish_sweep_reclaim_frac,
+  CASE WHEN un > 0 THEN (close - {s}_low) / un WHEN {s}_low IS NOT NULL THEN 0.0 END AS bullish_sweep_reclaim_frac,
+  bars_since_bearish_sweep, bars_since_bullish_sweep,
+  {flag(f'bars_since_bearish_sweep <= {structure.CONFIRM_BARS} AND close < xb')} AS bearish_confirm_after_sweep,
+  {flag(f'bars_since_bullish_sweep <= {structure.CONFIRM_BARS} AND close > xu')} AS bullish_confirm_after_sweep FROM f
+"""
 
 
 def liquidity(spark: SparkSession, d: str) -> DataFrame:
@@ -120,5 +181,5 @@ SELECT symbol, date, round(m, 2) AS dollar_volume_20d, round(i, 9) AS amihud_20d
 def register_all(register) -> None:
     register("structure_channels", periods_and_channels, _channels_sql())
     register("structure_swings", pivots_and_swings, _swings_sql())
-    register("structure_zones", zones_and_sweeps)
+    register("structure_zones", zones_and_sweeps, _zones_sql())
     register("structure_liquidity", liquidity, LIQUIDITY_SQL)

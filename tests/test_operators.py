@@ -151,3 +151,32 @@ def test_payloads_that_cannot_be_read(spark):
     assert [tuple(r)[2:] for r in P.corporate_actions(csv, "payload", ["k"]).collect()] == [(2.0, 1.0)]
     for make in (P.earnings_history, P.corporate_actions):
         assert make(df.limit(0), "payload", ["k"]).count() == 0
+
+
+def test_values_at_ranks(spark):
+    from tapeloom.functions.frames import value_at
+
+    values = [(i * 7919) % 1000 for i in range(3000)] + [500] * 2000 + [None] * 5
+    df = spark.createDataFrame([(v, None if v is None else f"Key {v:04d}") for v in values], "v int, s string")
+    ordered = sorted(v for v in values if v is not None)
+    for rank in (0, 1, 1499, 2500, 4998, 4999):
+        want = (ordered[rank], ordered.index(ordered[rank]))
+        assert value_at(df, "v", rank, few=10) == want and value_at(df, "v", rank) == want
+        assert value_at(df, "s", rank, few=10) == (f"Key {want[0]:04d}", want[1])
+
+
+def test_rotation_and_purge_of_odd_tables(spark):
+    df = spark.createDataFrame([(x,) for x in ("c", None, "a", "b", "d")], "k string")
+    assert [r["k"] for r in clean.rotation(df, "k", 4, 3).orderBy("position").collect()] == ["d", None, "a"]
+    assert [r["k"] for r in clean.rotation(df, "k", 7, 9).orderBy("position").collect()] == ["b", "c", "d", None, "a"]
+    assert clean.rotation(df.limit(0), "k", 1, 2).count() == 0
+    n = spark.createDataFrame([(float(x),) for x in (1, 2, 2, 3, 4)] + [(None,)], "x double")
+    assert sorted(r[0] for r in clean.purge(n, "x", "bottom_percent", 25).collect()) == [1.0, 2.0, 2.0]
+    assert clean.purge(n.limit(0), "x", "top_percent", 5).count() == 0
+
+
+def test_exits_meet_only_the_bars_that_can_matter(spark):
+    b = bars(spark, [(10, 10 + i % 3, 9, 10, 1) for i in range(40)])
+    p = spark.createDataFrame([(f"p{i}", "A", day(i - 1), 10.0) for i in range(42)] + [("gone", "B", day(1), 1.0)], "position_id string, symbol string, entry_date date, entry_price double")
+    got = {r["position_id"]: (r["exit_date"], r["bars_held"], r["rule"]) for r in portfolio.first_exits(p, b, 0.5, 5.0, 0.5, 7).collect()}
+    assert got == {f"p{i}": (day(i + 6), 7, "time") for i in range(34)}
