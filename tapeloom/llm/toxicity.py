@@ -21,9 +21,9 @@ from tapeloom.llm.bpe import slices
 from tapeloom.llm.workspace import staged
 
 #: Letters of the class models' n-grams and of the longest shared context.
-ORDER, SHARED_ORDER = 7, 4
+ORDER, SHARED_ORDER = 5, 4
 #: Counts taken off each class n-gram and each continuation count.
-DISCOUNT, SHARED_DISCOUNT = 1.5, 0.75
+DISCOUNT, SHARED_DISCOUNT = 0.75, 0.75
 #: Log-likelihood ratio a word must exceed before it speaks for a class.
 MARGIN = 3.0
 #: Labelled rows the two numbers of the calibration are fitted on, about this many at most.
