@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tapeloom.llm import q_bpe, q_chat, q_html, q_jaccard, q_neardup_vectors, q_packing, q_quality, q_sharding, q_toxicity, q_warc
+from tapeloom.llm import (
+    q_bpe, q_chat, q_html, q_jaccard, q_neardup_vectors, q_packing, q_quality, q_sharding, q_subvector_clusters, q_target_sampling,
+    q_token_planes, q_toxicity, q_warc,
+)
 
 
 def queries() -> dict:
@@ -17,6 +20,9 @@ def queries() -> dict:
         "op8_packing": q_packing.op8_packing,
         "op9_warc": q_warc.op9_warc,
         "op10_chat_formatting": q_chat.op10_chat_formatting,
+        "op11_token_planes": q_token_planes.op11_token_planes,
+        "op12_target_sampling": q_target_sampling.op12_target_sampling,
+        "op13_subvector_clusters": q_subvector_clusters.op13_subvector_clusters,
     }
 
 
@@ -27,4 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_sharding": q_sharding.OP7_SQL,
         "op9_warc": q_warc.OP9_SQL,
         "op10_chat_formatting": q_chat.OP10_SQL,
+        "op12_target_sampling": q_target_sampling.OP12_SQL,
+        "op13_subvector_clusters": q_subvector_clusters.OP13_SQL,
     }
