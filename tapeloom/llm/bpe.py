@@ -45,7 +45,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in the vocabulary file."""
     keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spare = iter(range(256, 512))
@@ -59,7 +59,7 @@ class ByteBpe:
         with open(path or default_vocabulary(), encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        letters = _byte_letters()
+        letters = byte_letters()
         byte_of = {c: b for b, c in enumerate(letters)}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None

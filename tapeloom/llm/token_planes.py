@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeloom.llm.bpe import loaded, slices
+from tapeloom.llm.bpe import slices
+from tapeloom.llm.rank_bpe import loaded_ranks
 
 MAGIC = b"IDPLANE1"
 KINDS = ("byte", "bit")
@@ -206,7 +207,7 @@ def write_ids(
     dealt = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, base = loaded(vocabulary), TaskContext.get().partitionId(), 0
+        bpe, part, base = loaded_ranks(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([separator], dtype=np.uint32)
         file, kind = None, None
 
