@@ -17,9 +17,10 @@ def violations(df: DataFrame, rules: dict[str, Column], keys: list[str] | None =
 
 
 def schema_drift(have: DataFrame, want: dict[str, str]) -> DataFrame:
-    """Missing, extra and retyped columns."""
+    """Missing, extra and retyped columns, and those that stand elsewhere among the columns of both."""
     now = dict(have.dtypes)
     rows = [(c, "missing") for c in want if c not in now] + [(c, "extra") for c in now if c not in want] + [(c, "type") for c in want if c in now and now[c] != want[c]]
+    rows += [(a, "order") for a, b in zip([c for c in now if c in want], [c for c in want if c in now], strict=True) if a != b]
     return have.sparkSession.createDataFrame(rows, "column string, drift string")
 
 

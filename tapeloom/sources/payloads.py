@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from tapeloom.functions.scalars import clean_key, number, stable_hash, stripped_markup
 
 
-def exploded(df: DataFrame, column: str, schema: str, path: str | None = None) -> DataFrame:
-    """One row per element of a JSON list (or of the list at ``path``); ``position`` tells its place."""
-    parsed = F.from_json(F.col(column), schema)
-    rows = parsed[path] if path else parsed
-    return df.select(*[c for c in df.columns if c != column], F.posexplode_outer(rows).alias("position", "row"))
-
-
 def series_of(df: DataFrame, column: str) -> DataFrame:
     """Rows of ``{"Time Series": {moment: {"1. open": "…"}}}``; numeric prefixes of names go."""
     parsed = F.from_json(F.col(column), "struct<`Time Series`:map<string,map<string,string>>>")["Time Series"]
@@ -50,14 +43,6 @@ def markup_links(df: DataFrame, column: str) -> DataFrame:
     return one.withColumns({"target": F.regexp_extract("_a", r'href="([^"]*)"', 1), "label": stripped_markup(F.col("_a"))}).drop("_a")
 
 
-def vendor_rows(df: DataFrame, column: str, dataset: str) -> DataFrame:
-    """Rows of a vendor's batch: cleaned names, content hash, payload; equal rows once."""
-    rows = F.from_json(F.col(column), "map<string,string>")
-    out = df.select(*[c for c in df.columns if c != column], F.map_from_entries(F.array_sort(F.map_entries(rows))).alias("fields"))
-    out = out.withColumn("fields", F.transform_keys("fields", lambda k, _: clean_key(k)))
-    return out.withColumns({"dataset": F.lit(dataset), "source_hash": stable_hash(F.lit(dataset), F.to_json("fields"))}).dropDuplicates(["source_hash"])
-
-
 def split_rejects(df: DataFrame, reasons: dict[str, Column], identifier: Column, payload: Column) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejects with the first reason, an identifier and a look at the payload."""
     reason = F.lit(None).cast("string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.operators.maintain import bucket_letter
@@ -19,19 +19,24 @@ def read_buckets(spark: SparkSession, path: str, buckets: list[str] | None = Non
     df = spark.read.parquet(path)
     if buckets is not None:
         df = df.where(F.col("bucket").isin(*buckets))
-    if columns:
-        have = set(df.columns)
-        df = df.select([(F.col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in columns.items()])
-    return df
+    return declared(df, columns) if columns else df
+
+
+def declared(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The declared columns with their types; missing ones are null, others left out."""
+    have = set(df.columns)
+    return df.select([(F.col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in columns.items()])
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("errorifexists").parquet(f"{path}/version={version}")
 
 
-def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """A table as it was at a version."""
-    return spark.read.parquet(f"{path}/version={version}")
+def read_version(spark: SparkSession, path: str, version: int, columns: dict[str, str] | None = None, rows: Column | None = None) -> DataFrame:
+    """A table as it was at a version: its declared columns, and the rows asked for; both reach the scan."""
+    df = spark.read.parquet(f"{path}/version={version}")
+    df = declared(df, columns) if columns else df
+    return df if rows is None else df.where(rows)
 
 
 def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -12,35 +12,12 @@ def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def five_minute_bars(events: DataFrame, late: str | None = "1 hour") -> DataFrame:
-    """Counts and sums per type and five minutes; later rows than the watermark are dropped.
-
-    ``late`` is None where the stream has a watermark already.
-    """
-    marked = events.withWatermark("ts", late) if late else events
-    return marked.groupBy(F.window("ts", "5 minutes").alias("w"), "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total")
-    ).select(F.col("w.start").alias("start"), "event_type", "n", "total")
-
-
 def distinct_events(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """Each event once, by the hash of its content, within the watermark."""
     return events.withColumn("source_hash", F.sha2(F.to_json(F.struct("user_id", "event_type", "value", "props")), 256)).withWatermark(
         "ts", late).dropDuplicatesWithinWatermark(["event_id", "source_hash"])
 
 
-def eligible(events: DataFrame, now: str, future_seconds: int = 60, stale_seconds: int = 900) -> DataFrame:
-    """Adds ``status`` by age at a moment: missing, future, stale or fresh."""
-    age = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp("ts")
-    return events.withColumn("status", F.when(F.col("ts").isNull(), "missing").when(age < -future_seconds, "future").when(age > stale_seconds, "stale").otherwise("fresh"))
-
-
-def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
-    """Process what is there and stop; a run again goes on behind the last one."""
-    q = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", sink).trigger(availableNow=True).start()
-    q.awaitTermination()
-
-
 _TOTALS = "start timestamp, event_type string, n long, total double"
 
 

@@ -108,8 +108,8 @@ def test_payloads(spark):
     js = '{"Time Series": {"2024-01-01": {"1. open": "5", "2. high": "6"}}}'
     r = payloads.series_of(spark.createDataFrame([(js,)], "t string"), "t").first()
     assert r["moment"] == "2024-01-01" and r["values"] == {"open": "5", "high": "6"}
-    v = payloads.vendor_rows(spark.createDataFrame([('{"Net %": "1"}',), ('{"Net %": "1"}',)], "t string"), "t", "d")
-    assert v.count() == 1 and v.first()["fields"] == {"net_pct": "1"}
+    v = payloads.vendor_batch(spark.createDataFrame([('[{"Net %": "1", "T": "a"}]',), ('[{"Net %": "1", "T": "a"}]',)], "t string"), "t", "d", ["T"])
+    assert v.count() == 1 and v.first()["payload"] == '{"net_pct":"1","t":"a"}' and v.first()["symbol"] == "A"
 
 
 def test_totals_of_a_stream_that_stops_and_goes_on(spark, tmp_path):
