@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tapeloom.llm.bpe import ByteBpe, loaded, slices
+from tapeloom.llm.bpe import ByteBpe, slices
+from tapeloom.llm.rank_bpe import RankBpe, loaded_ranks
 
 # Marks that end a sentence when white space follows.
 SENTENCE_ENDS = (b".", b"!", b"?", b":", b";", "。".encode(), "！".encode(), "？".encode(), "…".encode())
@@ -37,7 +38,7 @@ class Costs:
 class Boundaries:
     """Which tokens end a sentence, by vocabulary lookup."""
 
-    def __init__(self, bpe: ByteBpe):
+    def __init__(self, bpe: ByteBpe | RankBpe):
         self.ends = np.array([s.endswith(SENTENCE_ENDS) for s in bpe.spelled])
         self.line = np.array([b"\n" in s for s in bpe.spelled])
         self.space = np.array([s[:1] in (b" ", b"\n", b"\t", b"\r") for s in bpe.spelled])
@@ -100,7 +101,7 @@ def best_cuts(at: np.ndarray, price: np.ndarray, window: int, final: bool) -> li
 class _Packer:
     """Packs one partition's documents in their order, a block at a time."""
 
-    def __init__(self, bpe: ByteBpe, costs: Costs, separator: int, first: int, with_ids: bool):
+    def __init__(self, bpe: ByteBpe | RankBpe, costs: Costs, separator: int, first: int, with_ids: bool):
         self.bpe, self.costs, self.separator, self.with_ids = bpe, costs, separator, with_ids
         self.bounds = Boundaries(bpe)
         self.next_sequence = first
@@ -198,7 +199,7 @@ def pack_documents(
         for batch in slices(batches, 1):
             if packer is None:
                 first = TaskContext.get().partitionId() << 33
-                packer, kind = _Packer(loaded(vocabulary), costs, separator, first, with_ids), batch.schema.field(0).type
+                packer, kind = _Packer(loaded_ranks(vocabulary), costs, separator, first, with_ids), batch.schema.field(0).type
             packer.add(batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()])
             if rows := packer.pack(final=False):
                 yield out(rows)
