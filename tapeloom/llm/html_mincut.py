@@ -43,6 +43,15 @@ STATE = re.compile(r"(?i)(?:(?:no|not|non|without|with|has|have|is|hide|hides|sh
 #: Elements whose hints are about the page as a whole, and the hints of an article that do not just describe it.
 WHOLE = ("html", "body", "main")
 ARTICLE_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|comments?|commentlist|disqus|promo\w*|related|recommend\w*|replies|reply|respond|sponsor\w*|teaser)(?:$|[\s_-])")
+#: Readers' words: never an article, however long.
+COMMENT_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply|respond|reactions|discussion)(?:$|[\s_-])")
+HIDING_STYLE = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
+#: An element that names itself an article is one if it holds so much of the plain text of the largest such
+#: element, and of the page; one that names itself boilerplate too, so much of the page.
+OF_LARGEST, OF_PAGE, OF_PAGE_AGAINST_HINT = 0.3, 0.25, 0.6
+#: Where none names itself: the innermost element with most of the plain text, if that is so many characters.
+MOST, LEAST_CHARS = 0.6, 300
+FRAME = ("nav", "footer", "header", "aside", "menu", "dialog", "button")
 #: Weights of the classifier on a block's own words.
 LINK_COST, SHORT_COST, TEXT_GAIN, PRIOR = 6.0, 0.6, 2.5, 0.3
 #: Smoothness: neighbours in the page, and neighbours below one parent.
@@ -59,7 +68,9 @@ _RAW, _VOID, _BLOCK = frozenset(RAW), frozenset(VOID), frozenset(BLOCK)
 _RAW_END = {t: re.compile(rf"(?is)</{t}\s*>") for t in RAW}
 #: Where text goes on behind an element that never ends.
 _RESUME = re.compile(r"(?i)<(?:body|article|main|section|div|p|h[1-6]|ul|ol|dl|table|blockquote|pre|header|footer|nav|aside)[\s/>]")
-_ARTICLE = re.compile(r"(?i)<article[\s>]")
+_ARTICLE = re.compile(r"(?i)<(?:article|main)[\s>]")
+#: Elements that an article does not lie in, where they have no end tag behind its start.
+_UNCLOSED = ("nav", "aside", "header", "footer", "form", "menu", "dialog")
 
 
 @dataclass
@@ -70,6 +81,7 @@ class Element:
     gain: float
     hidden: bool
     hint: float = 0.0
+    comment: bool = False
 
 
 @dataclass
@@ -82,24 +94,27 @@ class Block:
     chars: int = 0
 
 
-def _hints(tag: str, start: int, bad: re.Pattern) -> tuple[float, float, bool]:
+def _hints(tag: str, start: int, bad: re.Pattern) -> tuple[float, float, bool, bool]:
     cost = gain = 0.0
-    hidden = False
+    hidden = comment = False
     for m in _ATTRIBUTE.finditer(tag, start):
         name = m[1].lower()
         if name == "hidden":
             hidden = True
+        elif name == "style":
+            hidden |= HIDING_STYLE.search(m[2] or m[3] or m[4] or "") is not None
         elif name in ("class", "id", "role", "aria-hidden"):
             value = m[2] or m[3] or m[4] or ""
             if name == "aria-hidden":
                 hidden |= value.strip().lower() == "true"
                 continue
             tokens = [t for t in value.split() if not STATE.fullmatch(t)]
+            comment |= any(map(COMMENT_HINT.search, tokens))
             if any(map(bad.search, tokens)):
                 cost = HINT_COST
             elif any(map(GOOD_HINT.search, tokens)):
                 gain = HINT_GAIN
-    return cost, gain, hidden
+    return cost, gain, hidden, comment
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
@@ -139,6 +154,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
             links -= name == "a"
         del stack[depth:]
 
+    lower = page.lower()
+    last_end = {name: lower.rfind(f"</{name}") for name in _UNCLOSED}
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -188,6 +205,13 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         if name == "br":
             text(" ")
             continue
+        if name == "a" and links and (not open_blocks or open_blocks[-1] < open_at["a"][-1]):
+            close_from(open_at["a"][-1])  # a link ends where another one begins
+        if name in ("article", "main"):
+            # it lies in no link, and in nothing around that never ends
+            depths = [open_at[x][0] for x in _UNCLOSED if open_at.get(x) and last_end[x] < at] + open_at.get("a", [])[:1]
+            if depths:
+                close_from(min(depths))
         if block:
             current = None
             if name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "div", "section", "article", "footer", "nav", "aside", "ul", "ol", "table", "form", "header", "main"):
@@ -198,8 +222,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
                         close_from(open_blocks[-1])
         if name in _VOID or tag.endswith("/>"):
             continue
-        cost, gain, hidden = _hints(tag, name_match.end(), ARTICLE_HINT if name == "article" else BAD_HINT) if len(tag) > len(name) + 2 else (0.0, 0.0, False)
-        elements.append(Element(name, stack[-1], TAG_COST.get(name, 0.0), gain + TAG_GAIN.get(name, 0.0), hidden, 0.0 if name in WHOLE else cost))
+        cost, gain, hidden, comment = _hints(tag, name_match.end(), ARTICLE_HINT if name == "article" else BAD_HINT) if len(tag) > len(name) + 2 else (0.0, 0.0, False, False)
+        elements.append(Element(name, stack[-1], TAG_COST.get(name, 0.0), gain + TAG_GAIN.get(name, 0.0), hidden, 0.0 if name in WHOLE else cost, comment and name not in WHOLE))
         open_at.setdefault(name, []).append(len(stack))
         if block:
             open_blocks.append(len(stack))
@@ -278,6 +302,38 @@ def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int,
             v = to[path[-1]]
 
 
+def articles_in(blocks: list[Block], elements: list[Element]) -> dict[int, bool]:
+    """Elements that hold an article, and whether their own hint is to be passed over.
+
+    What is said around such an element is said about the rest of the page. They
+    are told by their share of the plain text: characters outside of links that
+    are neither hidden nor readers' comments.
+    """
+    plain = [0] * len(elements)
+    aside = [False] * len(elements)
+    for e in range(1, len(elements)):
+        aside[e] = aside[elements[e].parent] or elements[e].hidden or elements[e].comment
+    for b in blocks:
+        if not aside[b.element]:
+            plain[b.element] += max(0, b.chars - b.link_chars)
+    for e in range(len(elements) - 1, 0, -1):
+        plain[elements[e].parent] += plain[e]
+    total = plain[0]
+    if not total:
+        return {}
+    named = [e for e in range(1, len(elements)) if plain[e] and (elements[e].name in ("article", "main") or elements[e].gain >= HINT_GAIN)]
+    free = [e for e in named if not elements[e].hint]
+    largest = max((plain[e] for e in free), default=0)
+    found = {e: False for e in free if plain[e] >= OF_LARGEST * largest and plain[e] >= OF_PAGE * total}
+    if not found:
+        found = {e: True for e in named if elements[e].hint and plain[e] >= OF_PAGE_AGAINST_HINT * total}
+    if not found and not named and total >= LEAST_CHARS:
+        inner = max((e for e in range(1, len(elements)) if plain[e] >= MOST * total), default=0)
+        if inner and not any(elements[e].name in FRAME for e in (inner, *_ancestors(inner, elements))):
+            found = {inner: False}
+    return found
+
+
 def extract(page: str | None) -> str:
     """The article's blocks, joined by an empty line; empty where there are none."""
     blocks, elements = blocks_of(page or "")
@@ -285,19 +341,24 @@ def extract(page: str | None) -> str:
     nodes = [i for i, t in enumerate(texts) if t]
     if not nodes:
         return ""
-    # costs gather along the way up; inside an article only what its own parts say cancels its gain, and hints
+    articles = articles_in(blocks, elements)
+    # costs gather along the way down, beginning anew where an article begins; inside an article only what its own parts say cancels its gain, and hints
     # around it weigh no more than its tag, so that its words decide
-    memo: dict[int, tuple[float, float, float, bool, bool]] = {}
+    memo: dict[int, tuple[float, float, float, bool, bool, bool]] = {}
 
-    def context(e: int) -> tuple[float, float, float, bool, bool]:
+    def context(e: int) -> tuple[float, float, float, bool, bool, bool]:
         chain = []
         while e >= 0 and e not in memo:
             chain.append(e)
             e = elements[e].parent
-        cost, around, gain, hidden, inside = memo[e] if e >= 0 else (0.0, 0.0, 0.0, False, False)
+        cost, around, gain, hidden, inside, comment = memo[e] if e >= 0 else (0.0, 0.0, 0.0, False, False, False)
         for e in reversed(chain):
             one = elements[e]
             mine, hint = one.cost, one.hint
+            if e in articles:
+                cost = around = 0.0
+                hint = 0.0 if articles[e] else hint
+            comment |= bool(articles) and one.comment and e not in articles
             if one.name == "header" and any(elements[x].name in ("article", "main") for x in _ancestors(e, elements)):
                 mine = hint = 0.0  # an article's own heading
             if hint and (inside or one.name == "article"):
@@ -306,14 +367,16 @@ def extract(page: str | None) -> str:
                 cost, around = max(cost, mine), max(around, mine + hint if hint else 0.0)
             inside |= one.name == "article"
             gain, hidden = max(gain, one.gain), hidden or one.hidden
-            memo[e] = cost, around, gain, hidden, inside
-        return cost, around, gain, hidden, inside
+            memo[e] = cost, around, gain, hidden, inside, comment
+        return cost, around, gain, hidden, inside, comment
 
     source, sink = [], []
     for i in nodes:
         b, t = blocks[i], texts[i]
-        cost, around, gain, hidden, inside = context(b.element)
-        if not inside:
+        cost, around, gain, hidden, inside, comment = context(b.element)
+        if comment:
+            gain = 0.0  # a reader's words, though they may call themselves an article
+        if not inside or comment:
             cost = max(cost, around)
         if cost and gain >= TAG_GAIN["article"]:
             gain = 0.0  # boilerplate set inside the article

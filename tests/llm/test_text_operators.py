@@ -229,10 +229,40 @@ def test_articles_survive_ordinary_markup():
     assert "very wet" not in html_mincut.extract(f"<body><article>{body}</article>{comment}</body>")
 
 
+PARTS = (
+    "The river rose in the night and the bridge was closed to all traffic before the morning, said the council, which had watched it.",
+    "Farmers on the lower fields moved their animals to the hill. Nobody was hurt, and the school opened its hall to families in need.",
+    "By the evening the rain had stopped. Engineers will look at the bridge on Monday, and the mayor thanked all who had carried sandbags.",
+)
+
+
+@pytest.mark.parametrize("page", [
+    "{nav}<form><article>{body}</article></form>", "{nav}<form><main><article>{body}</article></main></form>", '{nav}<form><div class="content">{body}</div></form>',
+    '{nav}<fieldset><div class="content">{body}</div></fieldset>', '{nav}<article class="related-coverage story">{body}</article>', '<div class="social-news-site">{nav}<div class="story">{body}</div></div>',
+    '{nav}<div class="alert-story"><div class="story-body">{body}</div></div>', '{nav}<div class="promo-page"><div class="story">{body}</div></div>', '{nav}<div class="search-page"><div class="body">{body}</div></div>',
+    '{nav}<div class="widget"><main>{body}</main></div>', "{nav}<noscript><main>{body}</main></noscript>", '<nav><a href="/">Home</a><main><article>{body}</article></main>', '{nav}<a href="/x">Home<article>{body}</article>',
+    "{nav}<main><form><article>{body}</article></form></main>", '{nav}<article>{body}<p style="color:red; display:none">Hidden words of some length that nobody sees at all.</p></article>',
+    '<form id="aspnetForm"><header><h1>Site</h1>{nav}</header><div id="content"><article>{body}</article><div class="sidebar"><p>Related things you may want to read as well.</p></div></div></form>',
+    '{nav}<div id="x"><div>{body}</div></div><aside><article><h3>Teaser of another story</h3><p>Some words of it.</p></article></aside>',
+    '{nav}<article>{body}</article><section class="comments"><div class="content">{body}{body}</div></section>', '{nav}<article>{body}</article><div id="comments"><article><p>I was there too and it was very wet, greetings to all.</p></article></div>',
+    '{nav}<p><a href=x>one<a href=y>two</p><article>{body}</article>',
+])
+def test_whole_articles_wherever_they_lie(page):
+    nav, body = '<nav><a href="/">Home</a> <a href="/n">News</a></nav>', "".join(f"<p>{p}</p>" for p in PARTS)
+    page = f"<html><body>{page.format(nav=nav, body=body)}<footer>Copyright 2024 All rights reserved</footer></body></html>"
+    assert html_mincut.extract(page) == "\n\n".join(PARTS)
+
+
+def test_long_boilerplate_alone_is_no_article():
+    words = " ".join(PARTS)
+    for page in (f"<footer><p>{words}</p></footer>", f'<div class="comments"><p>{words}</p></div>', f'<aside class="sidebar"><div>{words}</div></aside>', f"<nav><p>{words}</p></nav>", f"<p hidden>{words}</p>"):
+        assert html_mincut.extract(f"<body>{page}</body>") == ""
+
+
 def test_broken_markup_takes_linear_time():
     import time
 
-    for page in ("<b>" * 20000 + "</div>" * 5000 + "x", "<a><div>" + "<b>" * 20000 + "</a>" * 5000 + "x", "<select>" * 20000 + "x", "<div>" * 20000 + "<p>" * 2000 + "x"):
+    for page in ("<b>" * 20000 + "</div>" * 5000 + "x", "<a><div>" + "<b>" * 20000 + "</a>" * 5000 + "x", "<select>" * 20000 + "x", "<div>" * 20000 + "<p>" * 2000 + "x", "<form><article>" * 10000 + "x", "<a><main>" * 10000 + "x"):
         began = time.process_time()
         html_mincut.extract(page)
         assert time.process_time() - began < 3
