@@ -27,7 +27,7 @@ LONGEST_RUN = 3
 #: Texts above this are read in pieces.
 PIECE_BYTES = 1_000_000
 #: Sorted runs, samples over all runs, and segments of the parallel sort; none grows with the data.
-RUNS, SAMPLES, SEGMENTS = 1024, 1 << 18, 1024
+RUNS, SAMPLES, SEGMENTS = 256, 1 << 16, 1024
 
 # Fixed value: what stands between words, before A-Z are lower-cased.
 _BETWEEN = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
