@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.nulls import safe_div
 from tapeloom.operators.asof import asof_backward
+from tapeloom.session import stored
 
 
 def nav_path(df: DataFrame, by: str, at: str, nav: str = "nav") -> DataFrame:
@@ -48,25 +49,61 @@ def performance(df: DataFrame, by: str, at: str, periods: float, nav: str = "nav
     )
 
 
-def fold_positions(trades: DataFrame, keys: list[str], at: list[str]) -> DataFrame:
+_EXACT = "decimal(30,8)"
+
+
+def _composed(maps: Column, unit: Column) -> Column:
+    """Maps of (cost, profit) one after the other: ``c -> a c + b`` and ``r -> r + g c + d``; closings add up."""
+
+    def then(x: Column, y: Column) -> Column:
+        return F.struct((y["a"] * x["a"]).alias("a"), (y["a"] * x["b"] + y["b"]).alias("b"), (x["g"] + y["g"] * x["a"]).alias("g"), (x["d"] + y["d"] + y["g"] * x["b"]).alias("d"), (x["n"] + y["n"]).alias("n"))
+
+    return F.aggregate(maps, unit, then)
+
+
+def fold_positions(trades: DataFrame, keys: list[str], at: list[str], block: int = 4096) -> DataFrame:
     """Quantity, average cost and realised profit after all trades of a key.
 
     Buys re-average the cost, sells realise against it, a sell beyond the
-    holding is cut to it. The fold runs over one key's trades in order.
+    holding is cut to it. Both steps compose: the holding is a sum of trades
+    less its lowest value below zero, and once it is known the cost is a linear
+    map. So trades are dealt by ranges of (key, order) into blocks of ``block``
+    at most, a key's holding before each block comes from the blocks' sums and
+    lowest sums, each block is folded by itself, and blocks are put together
+    ``block`` at a time, twice, then once more. No array is longer than ``block``
+    (the last: rows of a key / block**2), however many trades one key has.
+    Sums are exact to eight places.
     """
-    rows = F.sort_array(F.collect_list(F.struct(*at, F.col("quantity").cast("double").alias("q"), F.col("price").cast("double").alias("p"))))
-    zero = F.struct(F.lit(0.0).alias("q"), F.lit(0.0).alias("c"), F.lit(0.0).alias("r"), F.lit(0).alias("n"))
+    order = [*keys, *at, "_q", "_p"]
+    rows = trades.select(*keys, *at, F.col("quantity").cast("double").alias("_q"), F.col("price").cast("double").alias("_p"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_block", F.expr(f"monotonically_increasing_id() div {block}"))
+    listed = rows.groupBy(*keys, "_block").agg(F.sort_array(F.collect_list(F.struct(*at, F.col("_q").alias("q"), F.col("_p").alias("p")))).alias("_rows"))
+    zero = F.lit(0).cast(_EXACT)
+    swing = F.aggregate("_rows", F.struct(zero.alias("s"), zero.alias("m")), lambda a, t: F.struct((a["s"] + t["q"].cast(_EXACT)).cast(_EXACT).alias("s"), F.least(a["m"], (a["s"] + t["q"].cast(_EXACT)).cast(_EXACT)).alias("m")))
+    blocks = stored(listed.withColumn("_swing", swing), "trade-blocks")
+    past = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocks.select(*keys, "_block", F.col("_swing.s").alias("_s"), F.col("_swing.m").alias("_m"))
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_s").over(past), zero)).withColumn("_low", F.least(zero, F.min(F.col("_before") + F.col("_m")).over(past)))
+    held = sums.select(*keys, "_block", (F.col("_before") - F.col("_low")).cast("double").alias("_held"))
 
     def step(a: Column, t: Column) -> Column:
         sold = F.least(-t["q"], a["q"])
-        bought = F.struct((a["q"] + t["q"]).alias("q"), ((a["q"] * a["c"] + t["q"] * t["p"]) / F.nullif(a["q"] + t["q"], F.lit(0.0))).alias("c"), a["r"].alias("r"), a["n"].alias("n"))
-        left = a["q"] - sold
-        after = F.struct(left.alias("q"), F.when(left > 0, a["c"]).otherwise(0.0).alias("c"), (a["r"] + sold * (t["p"] - a["c"])).alias("r"),
-                         (a["n"] + F.when((left == 0) & (sold > 0), 1).otherwise(0)).alias("n"))
-        return F.when(t["q"] > 0, bought).otherwise(after)
-
-    out = trades.groupBy(*keys).agg(F.aggregate(rows, zero, step).alias("s"))
-    return out.select(*keys, F.col("s.q").alias("quantity"), F.col("s.c").alias("average_cost"), F.col("s.r").alias("realized_pnl"), F.col("s.n").alias("closed_positions"))
+        q = F.when(t["q"] > 0, a["q"] + t["q"]).otherwise(a["q"] - sold)
+        share = F.when(t["q"] > 0, a["q"] / F.nullif(q, F.lit(0.0))).when(q > 0, 1.0).otherwise(0.0)
+        paid = F.when(t["q"] > 0, t["q"] * t["p"] / F.nullif(q, F.lit(0.0))).otherwise(0.0)
+        gone = F.when(t["q"] > 0, 0.0).otherwise(sold)
+        return F.struct(q.alias("q"), (share * a["a"]).alias("a"), (share * a["b"] + paid).alias("b"), (a["g"] - gone * a["a"]).alias("g"), (a["d"] + gone * (t["p"] - a["b"])).alias("d"),
+                        (a["n"] + F.when((t["q"] <= 0) & (q == 0) & (sold > 0), 1).otherwise(0)).alias("n"))
+
+    unit = [F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("g"), F.lit(0.0).alias("d"), F.lit(0).alias("n")]
+    maps = blocks.join(held, [*keys, "_block"]).withColumn("_m", F.aggregate("_rows", F.struct(F.col("_held").alias("q"), *unit), step)).select(*keys, "_block", "_m")
+    for _ in range(2):
+        grouped = maps.groupBy(*keys, F.expr(f"_block div {block}").alias("_block")).agg(F.sort_array(F.collect_list(F.struct("_block", "_m"))).alias("_l"))
+        maps = grouped.select(*keys, "_block", F.struct(F.element_at("_l", -1)["_m"]["q"].alias("q"), _composed(F.transform("_l", lambda x: x["_m"]), F.struct(*unit)).alias("f")).alias("_m"))
+        maps = maps.select(*keys, "_block", F.struct("_m.q", "_m.f.*").alias("_m"))
+    last = maps.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_block", "_m"))).alias("_l"))
+    out = last.select(*keys, F.element_at("_l", -1)["_m"]["q"].alias("q"), _composed(F.transform("_l", lambda x: x["_m"]), F.struct(*unit)).alias("f"))
+    return out.select(*keys, F.col("q").alias("quantity"), F.col("f.b").alias("average_cost"), F.col("f.d").alias("realized_pnl"), F.col("f.n").alias("closed_positions"))
 
 
 def first_exits(positions: DataFrame, bars: DataFrame, stop: float, profit: float, trail: float, max_bars: int, prefer: str = "stop") -> DataFrame:

@@ -112,3 +112,10 @@ def target_weights(df: DataFrame, n: int, multiplier: float = 1.0, cap: float |
     """Adds ``target_weight``: an equal share of ``multiplier``, capped."""
     w = F.lit(multiplier / n)
     return df.withColumn("target_weight", F.least(w, F.lit(cap)) if cap is not None else w)
+
+
+def sample_symbols(df: DataFrame, symbol: str = "symbol", most: int = 25) -> DataFrame:
+    """The first symbols in order, ``most`` at most, each with the number of all distinct ones; a look at what a universe holds."""
+    distinct = df.where(F.col(symbol).isNotNull()).select(F.col(symbol).alias("symbol")).distinct()
+    total = distinct.agg(F.count(F.lit(1)).alias("symbol_count"))  # one row
+    return distinct.orderBy("symbol").limit(most).crossJoin(F.broadcast(total))

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.functions import macro
+from tapeloom.operators import catalysts as operators
+from tapeloom.operators import ranking
+from tapeloom.plans.fixtures import BD, daily_bars
 from tapeloom.session import table
 from tapeloom.sources import catalysts
 
@@ -21,8 +25,8 @@ def _tag(name: str, x: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), x, F.lit(f"</{name}>"))
 
 
-def auction_xml(spark: SparkSession, d: str) -> DataFrame:
-    """Each customer's orders as an auction schedule in XML, some with name spaces, some cut off; events, and payloads without any."""
+def _auction_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Each customer's orders as an auction schedule in XML, some with name spaces, some cut off."""
     o = table(spark, d, "orders")
     k, day = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 7 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     kind = F.when(k % 11 == 0, " ").otherwise(F.concat(F.lit(" "), "o_orderpriority"))
@@ -35,8 +39,12 @@ def auction_xml(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("o_custkey")
     spaced = F.regexp_replace(F.concat(F.lit("<list xmlns:t='urn:x'>"), "text", F.lit("</list>")), r"<(/?)(\w+)(?=[ />])", "<$1t:$2")
     whole = F.when(c % 2 == 0, F.concat(F.lit("<list>"), "text", F.lit("</list>"))).otherwise(spaced)
-    batches = texts.withColumn("whole", whole).select("o_custkey", F.when(c % 13 == 0, F.expr("substring(whole, 1, length(whole) - 12)")).otherwise(F.col("whole")).alias("payload"))
-    events, rejects = catalysts.auctions(batches, "payload", ["o_custkey"], F.lit(FETCHED).cast("timestamp"))
+    return texts.withColumn("whole", whole).select("o_custkey", F.when(c % 13 == 0, F.expr("substring(whole, 1, length(whole) - 12)")).otherwise(F.col("whole")).alias("payload"))
+
+
+def auction_xml(spark: SparkSession, d: str) -> DataFrame:
+    """customers' auction schedules in XML; events, and payloads without any."""
+    events, rejects = catalysts.auctions(_auction_batches(spark, d), "payload", ["o_custkey"], F.lit(FETCHED).cast("timestamp"))
     return events.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects.drop("preview"), allowMissingColumns=True)
 
 
@@ -56,8 +64,8 @@ def _event_batches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", F.to_date("ts"))
 
 
-def headline_feeds(spark: SparkSession, d: str) -> DataFrame:
-    """Each user's events of a day as a batch of one of three JSON feeds, of one that nobody knows, or cut off; headlines and rejects."""
+def _feed_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's events of a day as a batch of one of three JSON feeds, of one that nobody knows, or cut off."""
     e, u = _event_batches(spark, d), F.col("user_id") % 4
     title = F.when(F.col("event_id") % 10 == 0, " ").otherwise(F.concat(F.lit(" Event  "), "event_type", F.lit("  "), F.col("event_id").cast("string")))
     name, key = F.concat(F.lit("U"), F.col("user_id").cast("string")), F.col("event_id").cast("string")
@@ -71,8 +79,12 @@ def headline_feeds(spark: SparkSession, d: str) -> DataFrame:
     path = F.when(u == 0, "results").when(u == 1, "news").otherwise("feed")
     whole = F.concat(F.lit('{"'), path, F.lit('":['), F.expr("substring(text, 2)"), F.lit("]}"))
     source = F.when(u == 0, " massive_news").when(u == 1, "alpaca_news").when(u == 2, "alpha_vantage_news").otherwise("other")
-    batches = lists.select("user_id", "day", source.alias("source"), whole.alias("whole")).withColumn("payload", F.when((F.col("user_id") % 7 == 3) & (F.dayofmonth("day") % 2 == 1), F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(F.col("whole")))
-    good, bad = catalysts.feed_headlines(batches, "source", "payload", ["user_id", "day"])
+    return lists.select("user_id", "day", source.alias("source"), whole.alias("whole")).withColumn("payload", F.when((F.col("user_id") % 7 == 3) & (F.dayofmonth("day") % 2 == 1), F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(F.col("whole")))
+
+
+def headline_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """users' batches of three JSON feeds; headlines and rejects."""
+    good, bad = catalysts.feed_headlines(_feed_batches(spark, d), "source", "payload", ["user_id", "day"])
     good = good.select("*", *[F.array_join(c, ",").alias(f"_{c}") for c in ("tags", "tickers", "channels")]).drop("tags", "tickers", "channels").withColumnsRenamed({f"_{c}": c for c in ("tags", "tickers", "channels")})
     return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad.drop("preview"), allowMissingColumns=True)
 
@@ -143,7 +155,128 @@ c AS (
 SELECT page_id, table_no::INTEGER AS table_no, row_no::INTEGER AS row_no, column_no::INTEGER AS column_no, row_span::INTEGER AS row_span, column_span::INTEGER AS column_span, is_header, text FROM c"""
 
 
+_FEED_NAMES = ("massive_news", "alpaca_news", "alpha_vantage_news", "elsewhere")
+
+
+def headline_versions(spark: SparkSession, d: str) -> DataFrame:
+    """U16: five events each as observations of one headline by four feeds: published, edited, corrected and withdrawn."""
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    text = F.element_at(F.array(F.lit("CPI release"), F.lit(" "), F.lit("CPI release, revised"), F.lit(None).cast("string"), F.lit("CPI release")), (k % 5 + 1).cast("int"))
+    rows = e.select(
+        F.concat(F.lit("H"), F.expr("event_id div 5").cast("string")).alias("headline_id"), F.col("ts").alias("observed_at"), F.col("event_id").alias("source_item_id"),
+        F.element_at(F.array(*map(F.lit, _FEED_NAMES)), (F.pmod("user_id", F.lit(4)) + 1).cast("int")).alias("source_name"), text.alias("headline"), F.when(k % 3 == 0, F.col("event_type")).alias("summary"),
+        F.lit(None).cast("string").alias("url"), F.when(k % 7 == 0, "").otherwise("me").alias("author"), F.when(k % 2 == 0, F.concat(F.lit("U"), F.col("user_id").cast("string"))).alias("tickers"),
+        F.timestamp_micros(F.unix_micros("ts") - k.cast("long") * 60_000_000).alias("published_at"), F.when(k % 11 != 0, F.col("ts")).alias("source_updated_at"), (k >= 90).alias("withdrawn"))
+    return operators.headline_versions(rows)
+
+
+def _versions_sql() -> str:
+    word = "{'at': ts, 'w': k >= 90, 'p': p, 'u': CASE WHEN k % 11 <> 0 THEN ts END, 'h': nullif(trim(h), ''), 's': CASE WHEN k % 3 = 0 THEN event_type END, 'a': CASE WHEN k % 7 <> 0 THEN 'me' END, 't': CASE WHEN k % 2 = 0 THEN 'U' || user_id END}"
+    over = "OVER (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    words = [f"w{i}" for i in range(4)]
+    return f"""
+WITH e AS (SELECT *, (props::JSON ->> 'k')::INTEGER AS k FROM events),
+r AS (SELECT *, 'H' || (event_id // 5) AS id, ts - to_minutes(k) AS p, ['CPI release', ' ', 'CPI release, revised', NULL, 'CPI release'][k % 5 + 1] AS h FROM e),
+l AS (SELECT *, {', '.join(f"last_value(CASE WHEN user_id % 4 = {i} THEN {word} END IGNORE NULLS) {over} AS w{i}" for i in range(4))} FROM r),
+n AS (
+  SELECT id, ts, event_id, {', '.join(f"coalesce({', '.join(f'{w}.{f}' for w in words)}) AS {f}" for f in 'hsa')},
+    list_max(list_filter([{', '.join(f"CASE WHEN {w}.t IS NOT NULL THEN {{'at': {w}.at, 'v': {w}.t}} END" for w in words)}], lambda x: x IS NOT NULL)).v AS t,
+    least({', '.join(f'{w}.p' for w in words)}) AS p, greatest({', '.join(f'{w}.u' for w in words)}) AS u, coalesce(greatest({', '.join(f'{w}.w' for w in words)}), false) AS wd FROM l
+), s AS (SELECT *, {{'h': h, 's': s, 'a': a, 't': t, 'p': p, 'u': u, 'w': wd}} AS now FROM n),
+b AS (SELECT *, lag(now) OVER (PARTITION BY id ORDER BY ts, event_id) AS before, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS i FROM s),
+c AS (SELECT * FROM b WHERE i = 1 OR now IS DISTINCT FROM before)
+SELECT id AS headline_id, row_number() OVER (PARTITION BY id ORDER BY ts, event_id)::INTEGER AS version_seq,
+  CASE WHEN i = 1 THEN 'publish' WHEN wd AND NOT before.w THEN 'withdrawal' WHEN h IS DISTINCT FROM before.h OR s IS DISTINCT FROM before.s THEN 'edit' ELSE 'correction' END AS version_kind,
+  ts AS version_observed_at, h AS headline, s AS summary, NULL::VARCHAR AS url, a AS author, t AS tickers, p AS published_at, u AS source_updated_at, wd AS withdrawn FROM c"""
+
+
+def _gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Auctions and headlines from their payloads, the newest headline of each id, and days of what they are about."""
+    auctions, _ = catalysts.auctions(_auction_batches(spark, d), "payload", ["o_custkey"], F.lit(FETCHED).cast("timestamp"))
+    group = macro.event_group(F.col("event_name"))
+    events = auctions.select(
+        F.concat_ws("/", F.col("o_custkey").cast("string"), F.col("position").cast("string"), "source_event_key").alias("event_id"), "event_name", F.col("published_at").cast("timestamp").alias("published_at"), "effective_at",
+        F.lit("US").alias("country"), F.lit("North America").alias("region"), F.lit("USD").alias("currency"), group.alias("event_group"), macro.factor_tags(group).alias("factors"),
+        (macro.importance(F.col("event_name"), group) == "high").alias("high_impact"), F.when(F.col("summary") == "is open", "revised").otherwise(F.col("schedule_status")).alias("schedule_status"),
+        (F.col("position") % 5 == 4).alias("withdrawal_flag"), F.to_date("effective_at").alias("as_of_date"))
+    feeds, _ = catalysts.feed_headlines(_feed_batches(spark, d), "source", "payload", ["user_id", "day"])
+    rows = feeds.select(F.concat_ws("/", F.col("user_id").cast("string"), "summary").alias("headline_id"), F.col("published_at").alias("observed_at"), F.col("position").alias("source_item_id"), "source_name", "headline", "summary", "url", "author",
+                        F.array_join("tickers", ",").alias("tickers"), "published_at", "source_updated_at", F.col("headline").endswith("7").alias("withdrawn"))
+    last = operators.current_headlines(operators.headline_versions(rows))
+    headlines = last.select("headline_id", "headline", "published_at", F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("region"), F.col("summary").alias("event_group"),
+                            F.split("tickers", ",").alias("tickers"), F.col("withdrawn").alias("withdrawal_flag"), F.to_date("published_at").alias("as_of_date"))
+    found = operators.mentions(events, headlines).unionByName(spark.createDataFrame([("event", "no such event", "country", "US")], "item_kind string, item_id string, entity_type string, entity_key string"))
+    days = operators.entity_days(operators.with_parents(found, events, headlines), F.lit(FETCHED).cast("timestamp"))
+    return events, headlines, days
+
+
+def catalyst_gold(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads to events and headline versions to mentions to days of every entity."""
+    return _gold(spark, d)[2]
+
+
+GOLD_ROWS = f"""
+o AS (
+  SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate::DATE AS day, o_orderpriority AS kind FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AND o_custkey % 13 <> 0
+), ev AS (
+  SELECT o_custkey || '/' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_totalprice) - 1) || '/' || CASE WHEN o_orderkey % 4 = 0 THEN 'C' || o_orderkey ELSE kind || ':' || day END AS id,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_totalprice) - 1 AS position, 'U.S. Treasury ' || kind || ' auction' AS event_name,
+    day::TIMESTAMP AS published_at, ((day + INTERVAL 690 MINUTE) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS effective_at,
+    CASE WHEN o_orderkey % 2 = 1 THEN 'revised' WHEN day >= DATE '1997-01-01' THEN 'scheduled' ELSE 'released' END AS status FROM o
+), f AS (
+  SELECT *, date_trunc('second', ts) AS moment, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY event_id) - 1 AS i FROM events
+), g AS (SELECT * FROM f WHERE user_id % 4 < 3 AND NOT (user_id % 7 = 3 AND day(ts) % 2 = 1) AND event_id % 10 <> 0),
+h AS (
+  SELECT user_id || '/' || event_type AS id, any_value(event_type) AS grp, any_value(user_id) AS user_id, arg_max(moment, row(moment, i)) AS published_at, arg_max('Event ' || event_type || ' ' || event_id, row(moment, i)) AS headline,
+    arg_max(event_id % 10 = 7, row(moment, i)) AS withdrawn FROM g GROUP BY 1
+)"""
+
+GOLD = f"""
+WITH {GOLD_ROWS},
+m AS (
+  SELECT 'event' AS kind, id, published_at, effective_at, status, unnest([{{'t': 'country', 'k': 'US'}}, {{'t': 'region', 'k': 'North America'}}, {{'t': 'currency', 'k': 'USD'}}, {{'t': 'indicator', 'k': 'RatesFiscal'}}{''.join(f", {{{{'t': 'factor', 'k': '{x}'}}}}" for x in macro.FACTORS['RatesFiscal'])}]) AS e FROM ev
+  UNION ALL SELECT 'headline', id, published_at, published_at, NULL, unnest([{{'t': 'indicator', 'k': grp}}, {{'t': 'symbol', 'k': 'U' || user_id}}]) FROM h
+)
+SELECT effective_at::DATE AS as_of_date, e.t AS entity_type, e.k AS entity_key, count_if(kind = 'headline')::BIGINT AS headline_count, count_if(kind = 'event')::BIGINT AS event_count, 0::BIGINT AS high_impact_event_count,
+  count_if(coalesce(status IN ('released', 'revised'), false))::BIGINT AS release_count, count_if(coalesce(status = 'scheduled', false))::BIGINT AS scheduled_count, 0::BIGINT AS policy_event_count, 0::BIGINT AS inflation_event_count, 0::BIGINT AS labor_event_count,
+  0::BIGINT AS growth_event_count, count_if(kind = 'event')::BIGINT AS rates_event_count, max(published_at) AS last_published_at, max(CASE WHEN kind = 'event' THEN effective_at END) AS last_effective_at
+FROM m GROUP BY ALL""".replace("{{", "{").replace("}}", "}")
+
+
+def catalyst_views(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of all views by SQL, some between two days by their table functions, and the first 25 symbols of a view in order."""
+    events, headlines, days = _gold(spark, d)
+    register_views = operators.register_views(spark, "v_", events=events, headlines=headlines, entity_daily=days, market_data=daily_bars(spark, d).withColumnRenamed("date", "as_of_date"))
+    spans = {"v_economic_catalyst_headlines_by_date": ("2024-01-05", "2024-01-20")}
+    parts = []
+    for view in register_views:
+        first, last = spans.get(view, ("1995-01-01", "1996-06-30"))
+        parts += [f"SELECT '{view}' AS source, as_of_date, count(*) AS n FROM {view} GROUP BY as_of_date", f"SELECT '{view}_between', as_of_date, count(*) FROM {view}_between(DATE '{first}', DATE '{last}') GROUP BY as_of_date"]
+    sample = ranking.sample_symbols(spark.table("v_economic_catalyst_entity_daily_by_date").where("entity_type = 'symbol'"), "entity_key", 25)
+    return spark.sql(" UNION ALL ".join(parts)).unionByName(sample.select(F.col("symbol").alias("source"), F.lit(None).cast("date").alias("as_of_date"), F.col("symbol_count").alias("n")))
+
+
+def _views_sql() -> str:
+    views = {
+        "economic_catalyst_calendar_by_date": ("SELECT effective_at::DATE AS d FROM ev WHERE position % 5 <> 4 AND status = 'scheduled'", "1995-01-01", "1996-06-30"),
+        "economic_catalyst_releases_by_date": ("SELECT effective_at::DATE AS d FROM ev WHERE position % 5 <> 4 AND status IN ('released', 'revised')", "1995-01-01", "1996-06-30"),
+        "economic_catalyst_headlines_by_date": ("SELECT published_at::DATE AS d FROM h WHERE NOT withdrawn", "2024-01-05", "2024-01-20"),
+        "economic_catalyst_entity_daily_by_date": ("SELECT as_of_date AS d FROM days", "1995-01-01", "1996-06-30"),
+        "market_data_by_date": ("SELECT date AS d FROM bars", "1995-01-01", "1996-06-30"),
+    }
+    parts = []
+    for name, (sql, first, last) in views.items():
+        parts += [f"SELECT 'v_{name}' AS source, d AS as_of_date, count(*) AS n FROM ({sql}) GROUP BY d", f"SELECT 'v_{name}_between', d, count(*) FROM ({sql}) WHERE d BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY d"]
+    days = GOLD.strip().removeprefix("WITH")
+    head, _, tail = days.rpartition("\nSELECT effective_at::DATE")
+    return f"WITH {BD}, {head}, days AS (SELECT effective_at::DATE{tail}), s AS (SELECT DISTINCT 'U' || user_id AS y FROM h) " + " UNION ALL ".join(parts) + " UNION ALL (SELECT y, NULL, (SELECT count(*) FROM s) FROM s ORDER BY y LIMIT 25)"
+
+
 def register_all(register) -> None:
+    register("headline_versions", headline_versions, _versions_sql())
+    register("catalyst_gold", catalyst_gold, GOLD)
+    register("catalyst_views", catalyst_views, _views_sql())
     register("auction_xml", auction_xml, AUCTIONS)
     register("headline_feeds", headline_feeds, FEEDS)
     register("syndicated_feeds", syndicated_feeds, SYNDICATED)

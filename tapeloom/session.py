@@ -44,3 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tapeloom-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: what follows sees fixed rows, and lost executors cost their tasks only."""
+    import uuid
+
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
