@@ -29,13 +29,14 @@ def prior_periods(bars: DataFrame) -> DataFrame:
     """
     out = bars
     for name, key in (("week", F.date_trunc("week", F.date_add("date", 2))), ("month", F.date_trunc("month", "date"))):
-        p = out.groupBy("symbol", key.alias("_p")).agg(F.max("high").alias("_h"), F.min("low").alias("_l"))
-        w = Window.partitionBy("symbol").orderBy("_p")
-        p = p.select("symbol", "_p", F.lag("_h").over(w).alias("_ph"), F.lag("_l").over(w).alias("_pl"))
-        out = out.withColumn("_p", key).join(p, ["symbol", "_p"], "left").withColumns({
+        out = out.withColumn("_p", F.unix_date(F.to_date(key)))
+        inside, before = Window.partitionBy("symbol", "_p"), Window.partitionBy("symbol").orderBy("_p").rangeBetween(Window.unboundedPreceding, -1)
+        out = out.withColumns({"_h": F.max("high").over(inside), "_l": F.min("low").over(inside)})
+        # of the rows before this period all of the last one tell the same
+        out = out.withColumns({"_ph": F.last("_h").over(before), "_pl": F.last("_l").over(before)}).withColumns({
             f"dist_prev_{name}_high_atr": safe_div(F.col("_ph") - F.col("close"), F.col("atr_14d")),
             f"dist_prev_{name}_low_atr": safe_div(F.col("close") - F.col("_pl"), F.col("atr_14d")),
-        }).drop("_p", "_ph", "_pl")
+        }).drop("_p", "_h", "_l", "_ph", "_pl")
     return out
 
 

@@ -178,7 +178,30 @@ SELECT symbol, date, round(m, 2) AS dollar_volume_20d, round(i, 9) AS amihud_20d
 """
 
 
+def gold_market(spark: SparkSession, d: str) -> DataFrame:
+    """All features of region-daily bars as one table."""
+    from tapeloom.operators.gold import gold_market as table
+
+    bars = daily_bars(spark, d).withColumns({"dividend_amount": F.when(F.col("volume") > 40, F.col("volume") - F.lit(41.0)), "split_coefficient": F.when(F.col("volume") > 20, F.lit(1.0))})
+    places = {"sr_support_1_strength": 6, "sr_resistance_1_strength": 6, "dollar_volume_20d": 2, "amihud_20d": 9}
+    return table(bars).drop("dividend_amount", "split_coefficient").withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
+def _gold_sql() -> str:
+    from tapeloom.plans import candle_plans, market_plans
+
+    bar, bars = "date, symbol", "date, symbol, open, high, low, close, volume"
+    pivots = "bar, pivot_high, pivot_low, pivot_high_atr, pivot_low_atr"
+    parts = (
+        (candle_plans._sql(), f"{bars}, true_range, atr_14d"), (candle_plans.HA_SQL, bars), (_channels_sql(), f"{bar}, close, atr_14d"), (_swings_sql(), f"{bar}, close, atr_14d, {pivots}"),
+        (_zones_sql(), f"{bar}, high, low, close, atr_14d, {pivots}"), (LIQUIDITY_SQL, bar),
+    )
+    joins = " ".join(f"JOIN ({sql}) p{i} ON m.symbol = p{i}.symbol AND m.date = p{i}.date" for i, (sql, _) in enumerate(parts))
+    return f"SELECT m.*, {', '.join(f'p{i}.* EXCLUDE ({shared})' for i, (_, shared) in enumerate(parts))} FROM ({market_plans._features_sql()}) m {joins}"
+
+
 def register_all(register) -> None:
+    register("gold_market", gold_market, _gold_sql())
     register("structure_channels", periods_and_channels, _channels_sql())
     register("structure_swings", pivots_and_swings, _swings_sql())
     register("structure_zones", zones_and_sweeps, _zones_sql())
