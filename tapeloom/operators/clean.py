@@ -150,3 +150,10 @@ def rotation(df: DataFrame, key: str, cursor: int, size: int) -> DataFrame:
     ahead = min(size, n - start)
     out = part(start, ahead, 0)
     return out.unionByName(part(0, size - ahead, ahead)) if size > ahead else out
+
+
+def available(df: DataFrame, flag: str) -> DataFrame:
+    """Rows whose flag a provider says yes to, in whatever words; anything else is no."""
+    from tapeloom.functions.scalars import truth
+
+    return df.where(F.coalesce(truth(F.col(flag).cast("string")), F.lit(False)))

@@ -107,3 +107,24 @@ def daily_trades(df: DataFrame) -> DataFrame:
         F.sum(F.when(buy, F.col("amount")).otherwise(0.0)).alias("buy_amount"), F.sum(F.when(sell, F.col("amount")).otherwise(0.0)).alias("sell_amount"),
         F.max((F.col("amount") >= 100).cast("int")).alias("has_large"),
     ).withColumn("net_amount", F.col("buy_amount") - F.col("sell_amount"))
+
+
+def silver_earnings(actual: DataFrame, scheduled: DataFrame, places: int = 4) -> DataFrame:
+    """Reports of all symbols, one row an event: the last actual one, else the last scheduled one.
+
+    Both: symbol, fiscal_date, report_date, date, reported_eps, eps_estimate,
+    surprise and ``position`` (which of equal ones came last). An event is known
+    by its fiscal date, else its report date, else its base date; a scheduled
+    one that an actual one of the same symbol supersedes goes. Figures are
+    rounded half up to ``places``. Rows without a symbol or any date are left out.
+    """
+    event = F.coalesce("fiscal_date", "report_date", "date")
+    figures = ("reported_eps", "eps_estimate", "surprise")
+
+    def last(df: DataFrame, kind: str) -> DataFrame:
+        row = F.struct("fiscal_date", "report_date", *[F.round(c, places).alias(c) for c in figures])
+        rows = df.withColumn("event_date", event).where(F.col("symbol").isNotNull() & F.col("event_date").isNotNull())
+        return rows.groupBy("symbol", "event_date").agg(F.max_by(row, "position").alias("_r")).select("symbol", "event_date", "_r.*", F.lit(kind).alias("record_type"))
+
+    done = last(actual, "actual")
+    return done.unionByName(last(scheduled, "scheduled").join(done.select("symbol", "event_date"), ["symbol", "event_date"], "left_anti"))

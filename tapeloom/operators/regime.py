@@ -62,9 +62,30 @@ def snapshot(signals: DataFrame, key: str) -> DataFrame:
 
 
 def publish_window(df: DataFrame, at: str, ready: str) -> DataFrame:
-    """Last complete date, and how many incomplete ones trail it."""
-    last = df.agg(F.max(F.when(F.col(ready), F.col(at))).alias("published_through"))
-    return df.crossJoin(F.broadcast(last)).groupBy("published_through").agg(F.count_if((F.col(at) > F.col("published_through")) & ~F.col(ready)).alias("trailing_incomplete"))
+    """One row: the last complete date, the last date at all, and the dates behind the complete one, in order.
+
+    The dates that are not complete meet in one row: at most one per calendar day, whatever the table holds.
+    """
+    open_days = F.collect_set(F.when(~F.coalesce(F.col(ready), F.lit(False)), F.col(at)))
+    w = df.agg(F.max(F.when(F.col(ready), F.col(at))).alias("published_through"), F.max(at).alias("input_through"), open_days.alias("_open"))
+    return w.select("published_through", "input_through", F.array_sort(F.filter("_open", lambda d: F.col("published_through").isNull() | (d > F.col("published_through")))).alias("skipped"))
+
+
+def inputs_daily(features: DataFrame, macro: DataFrame, slices: dict[str, tuple[str, dict[str, str]]], vix: str, vix_far: str, high: float = 32.0) -> DataFrame:
+    """One row a date: columns of several symbols side by side, macro inputs, the slope and streak of volatility, and whether all is there.
+
+    ``slices``: a symbol and its columns with their new names, by any name;
+    ``vix`` and ``vix_far`` are such new names. ``macro``: date and inputs. The
+    symbols are laid out in one aggregate by date and met with the macro rows in
+    one full join; the streak runs over dates, one row a day. ``inputs_complete``
+    is true where no input is null.
+    """
+    picks = [F.max(F.when(F.col("symbol") == symbol, F.col(c))).alias(new) for symbol, columns in slices.values() for c, new in columns.items()]
+    wide = features.where(F.col("symbol").isin(*{symbol for symbol, _ in slices.values()})).groupBy("date").agg(*picks)
+    out = wide.join(macro, "date", "full_outer").withColumn("vix_slope", F.col(vix_far) - F.col(vix)).withColumn("_all", F.lit(1))
+    out = out.withColumn("vix_streak", streak(F.coalesce(F.col(vix) > high, F.lit(False)), "_all", "date")).drop("_all")
+    needed = [c for c in out.columns if c not in ("date", "vix_streak")]
+    return out.withColumn("inputs_complete", complete(needed))
 
 
 def ready_through(df: DataFrame, by: str, at: str, ready: str) -> DataFrame:

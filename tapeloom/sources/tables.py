@@ -51,8 +51,10 @@ def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def layer_stats(df: DataFrame) -> DataFrame:
-    """Rows, files and bytes of what a table reads."""
-    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-    per = files.groupBy("f").agg(F.first("s").alias("s"), F.count(F.lit(1)).alias("n"))
-    return per.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"))
+def layer_stats(df: DataFrame, date: str | None = None) -> DataFrame:
+    """Rows, files and bytes of what a table reads, and the first and last ``date`` if one is named."""
+    at = F.col(date) if date else F.lit(None).cast("date")
+    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"), at.alias("d"))
+    per = files.groupBy("f").agg(F.first("s").alias("s"), F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    out = per.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"), F.min("lo").alias("first"), F.max("hi").alias("last"))
+    return out if date else out.drop("first", "last")
