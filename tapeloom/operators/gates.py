@@ -37,9 +37,10 @@ def freshness(df: DataFrame, by: str, at: str, now: Column, stale: int, error: i
 
 
 def count_jumps(df: DataFrame, by: str, at: str, warn: float, error: float, least: int) -> DataFrame:
-    """Days whose row count is a multiple of the day before."""
+    """Days whose row count is a multiple of that of the day before; a day behind one without rows has no ratio."""
     g = df.groupBy(by, at).agg(F.count(F.lit(1)).alias("n"))
-    before = F.lag("n").over(Window.partitionBy(by).orderBy(at))
+    w = Window.partitionBy(by).orderBy(at)
+    before = F.when(F.datediff(F.col(at), F.lag(at).over(w)) == 1, F.lag("n").over(w))
     g = g.withColumn("ratio", F.col("n") / before).where((F.col("n") >= least) & (F.col("ratio") >= warn))
     return g.withColumn("level", F.when(F.col("ratio") >= error, "error").otherwise("warning"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.scalars import PLACEHOLDERS, market_code, share_class, squeezed
 
-# Listing states by the first word that a status holds, words of flags, and kinds of security by words of the asset type, in order.
+# Listing states by the first of these words that a status holds as a whole word (so what is inactive is not active), words of flags, and kinds of security by words of the asset type, in order.
 LISTING_STATES = {
     "active": "active", "listed": "active", "trading": "active", "tradable": "active", "delisted": "delisted", "inactive": "inactive",
     "suspended": "suspended", "halted": "suspended", "bankrupt": "bankrupt", "acquired": "acquired", "merged": "acquired",
@@ -21,14 +21,14 @@ ASSET_KINDS = {
     "etf": "etf", "fund": "etf", "preferred": "preferred", "adr": "adr", "depositary": "adr", "unit": "unit", "warrant": "warrant",
     "stock": "common_equity", "equity": "common_equity", "common": "common_equity",
 }
-FACT_COLUMNS = ("symbol", "name", "description", "asset_type", "exchange", "sector", "industry")
+FACT_COLUMNS = ("symbol", "name", "description", "asset_type", "exchange", "sector", "industry", "industry2")
 FIELDS = ("exchange_mic", "country_of_risk", "listing_status_norm", "share_class", "security_type_norm", *FLAG_WORDS)
 
 
-def _first_word(text: Column, words: dict[str, str]) -> Column:
+def _first_word(text: Column, words: dict[str, str], whole: bool = False) -> Column:
     out = F.lit(None).cast("string")
     for word, value in reversed(words.items()):
-        out = F.when(text.contains(word), value).otherwise(out)
+        out = F.when(text.rlike(rf"\b{word}\b") if whole else text.contains(word), value).otherwise(out)
     return out
 
 
@@ -44,7 +44,7 @@ def inferred() -> dict[str, Column]:
     kind = _first_word(F.lower(squeezed(F.col("asset_type"))), ASSET_KINDS)
     for name, value in reversed(FLAG_KINDS.items()):
         kind = F.when(flags[name].isNotNull(), value).otherwise(kind)
-    status = F.when(F.trim("delisting_date") != "", "delisted").otherwise(_first_word(F.lower(squeezed(F.col("status"))), LISTING_STATES))
+    status = F.when(F.trim("delisting_date") != "", "delisted").otherwise(_first_word(F.lower(squeezed(F.col("status"))), LISTING_STATES, True))
     return {
         "exchange_mic": market_code(F.col("exchange")), "country_of_risk": squeezed(F.col("country")), "listing_status_norm": status,
         "share_class": share_class(F.coalesce("name", F.lit("")), F.col("symbol")), "security_type_norm": kind, **flags,

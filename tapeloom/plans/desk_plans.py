@@ -197,7 +197,7 @@ def count_jumps(spark: SparkSession, d: str) -> DataFrame:
 
 
 JUMPS = """
-WITH g AS (SELECT event_type, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2), l AS (SELECT *, n / lag(n) OVER (PARTITION BY event_type ORDER BY day) AS ratio FROM g)
+WITH g AS (SELECT event_type, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2), l AS (SELECT *, CASE WHEN day - lag(day) OVER (PARTITION BY event_type ORDER BY day) = 1 THEN n / lag(n) OVER (PARTITION BY event_type ORDER BY day) END AS ratio FROM g)
 SELECT event_type, day, n, ratio, CASE WHEN ratio >= 1.5 THEN 'error' ELSE 'warning' END AS level FROM l WHERE n >= 10 AND ratio >= 1.2"""
 
 

@@ -56,9 +56,9 @@ LAST_PRICE = f"WITH {BD} SELECT symbol, max(date) AS date, arg_max(close, date)
 
 def enrich_ffill(spark: SparkSession, d: str) -> DataFrame:
     """Quarterly revenue on the days it is known for, then carried forward; newer values win."""
-    spine = orders_as_earnings(spark, d).select(F.col("date")).distinct()
+    days = orders_as_earnings(spark, d).agg(F.collect_set("date").alias("days"))  # one row, a date per calendar day at most
     seg = statements(spark, d).select("symbol", "date", "revenue")
-    spine = spine.crossJoin(F.broadcast(seg.select("symbol").distinct()))
+    spine = seg.select("symbol").distinct().crossJoin(F.broadcast(days)).select("symbol", F.explode("days").alias("date"))
     return asof.fill_forward(asof.enrich(spine, seg, ["symbol", "date"], ["revenue"]), ["revenue"]).select("symbol", "date", "revenue")
 
 

@@ -115,11 +115,11 @@ WITH {BD} SELECT symbol, date, CASE WHEN day(date) % 10 = 0 THEN volume ELSE 0.0
 
 
 def earnings_csv(spark: SparkSession, d: str) -> DataFrame:
-    """Open orders as calendar CSV lines of each month, and per symbol whether the universe has it, its lines and last date."""
-    o = _orders(spark, d).where("o_orderstatus = 'O'").withColumn("month", F.substring("day", 1, 7))
+    """Orders as calendar CSV lines of each customer and year, and per symbol whether the universe has it, its lines and last date."""
+    o = _orders(spark, d).withColumn("year", F.substring("day", 1, 4))
     line = F.concat_ws(",", F.concat(F.lit(" c"), F.col("o_custkey").cast("string")), F.col("day"), F.col("o_totalprice").cast("string"))
-    texts = _texts(o, ["month"], ["o_orderkey", "o_totalprice", "day"], line, lambda x: F.concat_ws("\n", F.lit("symbol,reportDate,estimate"), F.array_join(x, "\n")))
-    rows = P.csv_fields(texts, "payload", ["month"], ["symbol", "report_date", "estimate"]).withColumn("symbol", F.upper("symbol")).where("symbol is not null")
+    texts = _texts(o, ["o_custkey", "year"], ["o_orderkey", "o_totalprice", "day"], line, lambda x: F.concat_ws("\n", F.lit("symbol,reportDate,estimate"), F.array_join(x, "\n")))
+    rows = P.csv_fields(texts, "payload", ["o_custkey", "year"], ["symbol", "report_date", "estimate"]).withColumn("symbol", F.upper("symbol")).where("symbol is not null")
     universe = table(spark, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"), F.lit(True).alias("matched")).distinct()
     per = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max(P.day_of(F.col("report_date"))).alias("last_report"), F.max(P.number(F.col("estimate"))).alias("highest"))
     return per.join(universe, "symbol", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
@@ -127,17 +127,17 @@ def earnings_csv(spark: SparkSession, d: str) -> DataFrame:
 
 EARNINGS_CSV = """
 SELECT 'C' || o_custkey AS symbol, count(*) AS n, max(o_orderdate)::DATE AS last_report, max(o_totalprice) AS highest, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS matched
-FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey"""
+FROM orders GROUP BY o_custkey"""
 
 
 def ticker_json(spark: SparkSession, d: str) -> DataFrame:
-    """Suppliers of each nation as listing records; blank and repeated symbols inside."""
-    s = table(spark, d, "supplier")
+    """Suppliers of each nation as pages of listing records; blank and repeated symbols inside."""
+    s = table(spark, d, "supplier").withColumn("page", F.expr("s_suppkey div 100"))
     k = F.col("s_suppkey")
     row = F.struct(F.when(k % 11 == 0, " ").otherwise(F.concat(F.lit(" s"), (k % 50).cast("string"))).alias("ticker"), F.col("s_name").alias("name"), F.when(k % 2 == 0, "XNYS").otherwise(" ").alias("primary_exchange"),
                    F.lit("CS").alias("type"), F.when(F.col("s_acctbal") > 0, True).otherwise(False).alias("active"))
-    texts = _texts(s, ["s_nationkey"], ["s_suppkey", "s_name", "s_acctbal"], row, F.to_json)
-    return P.ticker_list(texts, "payload", ["s_nationkey"])
+    texts = _texts(s, ["s_nationkey", "page"], ["s_suppkey", "s_name", "s_acctbal"], row, F.to_json)
+    return P.ticker_list(texts, "payload", ["s_nationkey", "page"])
 
 
 TICKER_JSON = """

@@ -95,7 +95,7 @@ def symbol_cleanup(spark: SparkSession, d: str) -> DataFrame:
     symbol = F.concat(F.lit("P"), k.cast("string"), pick("", "", ".B", "-C", ""))
     facts = p.select(symbol.alias("symbol"), F.concat_ws(" ", "p_name", pick("", "Class A", "ETF", "preferred", "closed-end", "American Depositary Receipt", "")).alias("name"), F.lit(None).cast("string").alias("description"),
                      pick("Common Stock", None, "Units", "warrant", "mutual fund", "bond").alias("asset_type"), pick("NYSE", " nasdaq  global market", "OTC", "LSE", None, "PINK", "cboe bzx").alias("exchange"),
-                     F.col("p_type").alias("sector"), F.col("p_brand").alias("industry"), pick("US", " ", None).alias("country"), pick("Active", "Inactive", "Halted", "merged", None).alias("status"), pick("", "", "2020-01-01", None).alias("delisting_date"))
+                     F.col("p_type").alias("sector"), F.col("p_brand").alias("industry"), F.lit(None).cast("string").alias("industry2"), pick("US", " ", None).alias("country"), pick("Active", "Inactive", "Halted", "merged", None).alias("status"), pick("", "", "2020-01-01", None).alias("delisting_date"))
     profiles = p.select(symbol.alias("symbol"), F.when(k % 7 == 0, F.array(F.lit("share_class"), F.lit("is_etf"))).otherwise(F.array().cast("array<string>")).alias("locked_fields"),
                         pick("XNYS", "n/a", None).alias("exchange_mic"), pick("GB", " Unknown ").alias("country_of_risk"), F.lit(None).cast("string").alias("listing_status_norm"),
                         pick("Class B", "tbd", "", "not provided").alias("share_class"), pick("other", None).alias("security_type_norm"), *[F.lit(None).cast("string").alias(n) for n in reference.FLAG_WORDS])
@@ -111,7 +111,7 @@ def _cleanup_sql() -> str:
     from tapeloom.functions.scalars import MARKET_CODES
 
     mic = "CASE upper(trim(regexp_replace(exchange, '\\s+', ' ', 'g'))) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MARKET_CODES.items()) + " END"
-    state = "CASE WHEN delisting <> '' THEN 'delisted' " + " ".join(f"WHEN lower(status) LIKE '%{k}%' THEN '{v}'" for k, v in reference.LISTING_STATES.items()) + " END"
+    state = "CASE WHEN delisting <> '' THEN 'delisted' " + " ".join(f"WHEN regexp_matches(lower(status), '\\b{k}\\b') THEN '{v}'" for k, v in reference.LISTING_STATES.items()) + " END"
     kind = "CASE " + " ".join(f"WHEN {flags[n]} THEN '{v}'" for n, v in reference.FLAG_KINDS.items()) + " " + " ".join(f"WHEN lower(asset_type) LIKE '%{k}%' THEN '{v}'" for k, v in reference.ASSET_KINDS.items()) + " END"
     told = {"exchange_mic": mic, "country_of_risk": "nullif(trim(country), '')", "listing_status_norm": state, "share_class": """CASE WHEN regexp_matches(name, '(?i)\\bclass\\s+[a-z0-9]+\\b') THEN 'Class ' || upper(regexp_extract(name, '(?i)\\bclass\\s+([a-z0-9]+)\\b', 1))
       WHEN regexp_matches(symbol, '[.\\-][A-Z]$') THEN 'Class ' || right(symbol, 1) END""", "security_type_norm": kind, **{n: f"CASE WHEN {c} THEN 'true' END" for n, c in flags.items()}}

@@ -64,11 +64,17 @@ def plain_name(x: Column) -> Column:
     return F.lower(F.regexp_replace(x, "[^0-9A-Za-z]", ""))
 
 
+def plain_fields(entries: Column) -> Column:
+    """A map as a list of entries with names as :func:`plain_name` leaves them, in their order; names are cleaned once for all look-ups."""
+    return F.transform(F.map_entries(entries), lambda e: F.struct(plain_name(e["key"]).alias("key"), e["value"].alias("value")))
+
+
 def field(entries: Column, *names: str) -> Column:
-    """First non-null value among alternative names of a field, names compared as :func:`plain_name`."""
+    """First non-null value among alternative names of a field in :func:`plain_fields`."""
 
     def one(name: str) -> Column:
-        return F.get(F.filter(F.map_entries(entries), lambda e: plain_name(e["key"]) == "".join(c for c in name.lower() if c.isalnum())), F.lit(0))["value"]
+        plain = "".join(c for c in name.lower() if c.isalnum())
+        return F.get(F.filter(entries, lambda e: e["key"] == plain), F.lit(0))["value"]
 
     return F.coalesce(*[one(n) for n in names])
 
@@ -87,7 +93,7 @@ def report_rows(
     list stays. Null or unreadable payloads give no rows.
     """
     rows = F.from_json(F.col(column), f"struct<`{path}`:array<map<string,string>>>")[path]
-    one = df.select(*keys, F.posexplode(rows).alias("position", "_row"))
+    one = df.select(*keys, F.posexplode(rows).alias("position", "_row")).withColumn("_row", plain_fields(F.col("_row")))
     row = F.col("_row")
     one = one.select(*keys, "position", day_of(field(row, *dates)).alias("date"), F.lower(F.trim(field(row, "timeframe"))).alias("timeframe"),
                      *[number(field(row, *names)).alias(m) for m, names in metrics.items()])
@@ -106,21 +112,21 @@ def history_rows(df: DataFrame, column: str, keys: list[str], names: tuple[str,
     parsed = F.from_json(F.col(column), "struct<status:string,rows:array<map<string,string>>>")
     one = df.select(*keys, F.coalesce(F.nullif(F.lower(F.trim(parsed["status"])), F.lit("")), F.lit("ok")).alias("status"), parsed["rows"].alias("_rows"))
     one = one.where(F.col("status").isin(*HISTORY_STATES) & (F.col("_rows").isNotNull() | (F.col("status") == "no_history")))
-    one = one.select(*keys, "status", F.explode_outer("_rows").alias("_row"))
+    one = one.select(*keys, "status", F.explode_outer("_rows").alias("_row")).withColumn("_row", plain_fields(F.col("_row")))
     return one.select(*keys, "status", day_of(field(F.col("_row"), "date")).alias("date"), *[number(field(F.col("_row"), n)).alias(n) for n in names])
 
 
 def listed_reports(df: DataFrame, column: str, keys: list[str], kind: str, names: dict[str, str]) -> DataFrame:
     """Rows of one of the report lists of a financial-reports payload, by fiscal date."""
     rows = F.from_json(F.col(column), f"struct<`{kind}`:array<map<string,string>>>")[kind]
-    one = df.select(*keys, F.explode(rows).alias("_row"))
+    one = df.select(*keys, F.explode(rows).alias("_row")).withColumn("_row", plain_fields(F.col("_row")))
     return one.select(*keys, F.lit(kind).alias("report_type"), day_of(field(F.col("_row"), "fiscalDateEnding")).alias("date"), *[number(field(F.col("_row"), n)).alias(c) for c, n in names.items()])
 
 
 def earnings_history(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     """Actual reports of a ``quarterlyEarnings`` list, the last per date; a surprise in percent becomes a fraction."""
     rows = F.from_json(F.col(column), "struct<quarterlyEarnings:array<map<string,string>>>")["quarterlyEarnings"]
-    one = df.select(*keys, F.posexplode(rows).alias("position", "_row"))
+    one = df.select(*keys, F.posexplode(rows).alias("position", "_row")).withColumn("_row", plain_fields(F.col("_row")))
 
     def text(name: str) -> Column:
         return F.nullif(F.trim(field(F.col("_row"), name)), F.lit(""))
