@@ -39,7 +39,7 @@ src AS (
 ), ended AS (SELECT doc_id, s0 AS shard, s1 AS grown_shard FROM walk WHERE j >= {N_SHARDS + 1}
 ), keyed AS (
   SELECT c.doc_id, c.size, c.text_crc32, e.shard, e.grown_shard,
-    (((i.k0 * {LCG_MULTIPLIER} + 1) % 18446744073709551616) // 1048576) % {BUCKETS} AS bucket
+    ((((i.k0 * {LCG_MULTIPLIER} + 1) % 18446744073709551616) // 1048576) % {BUCKETS} + c.text_crc32) % {BUCKETS} AS bucket
   FROM crcs c JOIN ended e ON c.doc_id IS NOT DISTINCT FROM e.doc_id JOIN ids i ON c.doc_id IS NOT DISTINCT FROM i.doc_id
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,

@@ -57,10 +57,10 @@ def jump_hash(key: Column, counts: list[int]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, move)
 
 
-def _bucket(key: Column, buckets: int) -> Column:
-    """A stable sub-bucket of a shard, from middle bits of the first draw."""
+def _bucket(key: Column, crc: Column, buckets: int) -> Column:
+    """A stable sub-bucket of a shard, from middle bits of the first draw and the text's checksum, so that a repeated key is spread."""
     first = F.floor(_step(_state(key)) / F.lit(1 << 20).cast("decimal(20,0)")).cast("decimal(20,0)")
-    return F.pmod(first, F.lit(buckets).cast("decimal(10,0)")).cast("int")
+    return F.pmod(F.pmod(first, F.lit(buckets).cast("decimal(10,0)")).cast("long") + crc, F.lit(buckets)).cast("int")
 
 
 def assign_shards(
@@ -81,7 +81,9 @@ def assign_shards(
     Slots number each shard's rows from 0 without gaps, by (bucket, key, crc,
     size). They are counted in two levels, ``n_shards * slot_buckets`` groups,
     so no task holds a whole shard; the table of group sizes has exactly that
-    many rows at most, at any input size, and is the only thing broadcast.
+    many rows at most, at any input size, and is the only thing broadcast. A
+    key that very many rows share (or the null key) lies in one shard, as the
+    law says, but in as many groups as its texts have checksums modulo that.
 
     Null keys count as key 0, null texts as empty (size 8, crc of nothing).
     Repeated rows get slots of their own. An empty table gives no rows.
@@ -92,7 +94,7 @@ def assign_shards(
         (F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long") + F.lit(8)).alias("size"),
         F.crc32(F.coalesce(F.col("_text"), F.lit("")).cast("binary")).alias("text_crc32"),
         jump_hash(F.col("_key"), [n_shards, n_shards + 1]).alias("_at"),
-        _bucket(F.col("_key"), slot_buckets).alias("_bucket"),
+        _bucket(F.col("_key"), F.crc32(F.coalesce(F.col("_text"), F.lit("")).cast("binary")), slot_buckets).alias("_bucket"),
     )
     where = F.col("_at")
     placed = placed.select(

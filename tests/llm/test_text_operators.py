@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tapeloom.llm import bpe, chat, html_mincut, packing, sharding, warc
 
@@ -157,6 +158,16 @@ def test_shards(spark):
     assert sharding.assign_shards(df.limit(0)).count() == 0
 
 
+def test_slots_of_a_hot_key_are_gapless_and_spread(spark):
+    rows = [(None if i % 2 else 7, f"text {i}", "x") for i in range(600)] + [(None, None, "x")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, slot string").repartition(4)
+    got = sharding.assign_shards(df).collect()
+    for shard in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+    groups = df.select(sharding._bucket(F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")), 256).alias("b")).groupBy("b").count().collect()
+    assert len(groups) > 150 and max(r["count"] for r in groups) < 30
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.integers(1, 6), st.randoms(use_true_random=False))
 def test_min_cut_is_least(n, rnd):
