@@ -173,7 +173,7 @@ SOURCES = {"purchase": 0, "signup": 1, "view": 2, "click": 3, "error": 4}
 
 
 def version_history(spark: SparkSession, d: str) -> DataFrame:
-    """users' fused value by event type, a version whenever it changes."""
+    """users' fused value by event type, a version whenever it changes."""
     e = table(spark, d, "events").select("user_id", "ts", "event_type", "value")
     return maintain.versions(e, "user_id", "event_type", "ts", "value", SOURCES)
 
@@ -213,7 +213,7 @@ SELECT *, actual - consensus AS surprise_abs, (actual - consensus) / nullif(abs(
 
 
 def mentions(spark: SparkSession, d: str) -> DataFrame:
-    """Mentions of entities in events, one per key, rolled up by day and kind."""
+    """Mentions of entities in events, one per key, rolled up by day and kind."""
     e = table(spark, d, "events")
     refs = F.array(F.struct(F.lit("user").alias("kind"), F.concat(F.lit("U"), "user_id").alias("entity")), F.struct(F.lit("type").alias("kind"), F.col("event_type").alias("entity")),
                    F.struct(F.lit("props").alias("kind"), F.get_json_object("props", "$.k").alias("entity")))

@@ -166,7 +166,7 @@ SELECT position_id, date AS exit_date, held::INTEGER AS bars_held, CASE WHEN s T
 
 
 def quality_gates(spark: SparkSession, d: str) -> DataFrame:
-    """Q1, Q2, Q10, Q15, Q19: rules on order lines, and all-null columns."""
+    """Q1, Q2, Q15, Q19: rules on order lines, and all-null columns."""
     li = table(spark, d, "lineitem")
     v = gates.violations(li, {"no_ship_date": F.col("l_shipdate").isNull(), "no_quantity": F.col("l_quantity") <= 0, "large_discount": F.col("l_discount") > 0.09}, ["l_orderkey", "l_linenumber"])
     n = gates.null_columns(table(spark, d, "customer").select("c_custkey", "c_mktsegment", F.lit(None).cast("int").alias("nothing")))
@@ -202,7 +202,7 @@ SELECT event_type, day, n, ratio, CASE WHEN ratio >= 1.5 THEN 'error' ELSE 'warn
 
 
 def promotions(spark: SparkSession, d: str) -> DataFrame:
-    """Q16, Q18, Q20: users whose events of one kind follow each other without a purchase between."""
+    """Q16, Q18: users whose events of one kind follow each other without a purchase between."""
     e = table(spark, d, "events").select("user_id", "ts", F.when(F.col("event_type") != "purchase", F.col("event_type")).alias("reason"))
     return gates.promotions(e, "user_id", "ts", "reason", 4)
 
@@ -215,7 +215,7 @@ SELECT user_id, max(runs) AS longest, arg_max(reason, row(runs, reason)) AS reas
 
 
 def summaries(spark: SparkSession, d: str) -> DataFrame:
-    """Order summary per status and overall, in one pass of grouping sets."""
+    """Order summary per status and overall, in one pass of grouping sets."""
     o = table(spark, d, "orders")
     return o.groupingSets([["o_orderstatus"], []], "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("customers"), F.min(F.to_date("o_orderdate")).alias("first_day"), F.max(F.to_date("o_orderdate")).alias("last_day"),
@@ -228,7 +228,7 @@ FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())"""
 
 
 def attribution(spark: SparkSession, d: str) -> DataFrame:
-    """Value and weight per region and month, drift from an equal share, alerts."""
+    """Value and weight per region and month, drift from an equal share, alerts."""
     b = daily_bars(spark, d)
     from pyspark.sql import Window
 
@@ -246,7 +246,7 @@ SELECT *, CASE WHEN abs(actual_weight - 0.2::DOUBLE) >= 0.1 THEN 'drift' ELSE 'o
 
 
 def five_minutes(spark: SparkSession, d: str) -> DataFrame:
-    """The streaming job over the events as they are, run twice to the end (the second finds nothing new), read back from its sink alone."""
+    """The streaming job over the events as they are, run twice to the end (the second finds nothing new), read back from its sink alone."""
     import uuid
 
     from tapeloom.session import shared_folder

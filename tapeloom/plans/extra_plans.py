@@ -59,7 +59,7 @@ WHERE o_totalprice > 200000 AND o_orderstatus IN ('O', 'F')"""
 
 
 def revision_backfill(spark: SparkSession, d: str) -> DataFrame:
-    """Events joined to nations by a key inside their JSON, blanks as missing."""
+    """Events joined to nations by a key inside their JSON, blanks as missing."""
     e = table(spark, d, "events").select("event_id", F.nullif(F.trim(F.get_json_object("props", "$.k")), F.lit("")).try_cast("int").alias("k"))
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), "n_name", "n_regionkey")
     r = table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
@@ -100,7 +100,7 @@ SELECT c_mktsegment, turn, o_custkey, o_orderkey, day FROM t WHERE turn <= 25"""
 
 
 def sweeps(spark: SparkSession, d: str) -> DataFrame:
-    """Lines without an order, orders before a day, and what stays, with letters touched."""
+    """Lines without an order, orders before a day, and what stays, with letters touched."""
     li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
     old = o.where(F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp"))
     orphan = li.join(o.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti")
@@ -120,7 +120,7 @@ UNION ALL SELECT 'bucket_' || coalesce(nullif(regexp_extract(upper(p_name), '[A-
 
 
 def bucket_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Customers by letter bucket, one bucket rewritten in place, read back pruned."""
+    """Customers by letter bucket, one bucket rewritten in place, read back pruned."""
     path = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}"
     c = table(spark, d, "customer").select(F.col("c_mktsegment").alias("symbol"), "c_custkey", "c_acctbal")
     tables.write_buckets(c, path)
@@ -167,7 +167,7 @@ SELECT user_id, last_at, value, CASE WHEN last_at IS NULL THEN 'missing' WHEN ag
 
 
 def coverage(spark: SparkSession, d: str) -> DataFrame:
-    """nations' weeks without any bar, late starts, and symbols behind the newest week."""
+    """Q13, Q14, Q17: nations' weeks without any bar, late starts, and symbols behind the newest week."""
     b = weekly_bars(spark, d).select("symbol", "date")
     g = b.groupBy("symbol").agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count(F.lit(1)).alias("n"))
     newest = b.agg(F.max("date").alias("newest"))
@@ -182,7 +182,7 @@ SELECT symbol, n, ((l - f) // 7 + 1 - n)::BIGINT AS missing_weeks, f > DATE '199
 
 
 def calendar_text(spark: SparkSession, d: str) -> DataFrame:
-    """S17 (calendar branch), S9: orders written as calendar texts per customer and read back; entries without a summary are rejects."""
+    """S17 (calendar branch): orders written as calendar texts per customer and read back; entries without a summary are rejects."""
     o = table(spark, d, "orders")
     entry = F.concat(F.lit("BEGIN:VEVENT\nUID:"), "o_orderkey", F.lit("\nSUMMARY:"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.col("o_orderpriority")),
                      F.lit("\nDTSTART;VALUE=DATE:"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("\nEND:VEVENT"))
@@ -197,7 +197,7 @@ SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey, o_orderkey
 
 
 def listing_status(spark: SparkSession, d: str) -> DataFrame:
-    """Supplier listings through CSV, kept if active stock without a dot, first per symbol."""
+    """Supplier listings through CSV, kept if active stock without a dot, first per symbol."""
     s = table(spark, d, "supplier")
     line = F.concat_ws(",", F.concat(F.lit("S"), "s_nationkey", F.when(F.col("s_suppkey") % 9 == 0, ".B").otherwise("")), "s_name", F.when(F.col("s_suppkey") % 4 == 0, "ETF").otherwise("Stock"),
                        F.when(F.col("s_suppkey") % 5 == 0, "Delisted").otherwise("Active"), F.col("s_suppkey").cast("string"))
@@ -226,7 +226,7 @@ SILVER = f"WITH {BD} SELECT upper(symbol) AS symbol, date, open, high, low, clos
 
 
 def earnings_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    """Scheduled reports that an actual one of the same customer and quarter supersedes go; counts of what was replaced."""
+    """Scheduled reports that an actual one of the same customer and quarter supersedes go; counts of what was replaced."""
     e = orders_as_earnings(spark, d, today="1998-01-01").withColumn("quarter", F.to_date(F.date_trunc("quarter", "date")))
     actual = clean.last_per_key(e.where("record_type = 'actual'"), ["symbol", "quarter"], F.desc("date"))
     planned = clean.last_per_key(e.where("record_type = 'scheduled'"), ["symbol", "quarter"], F.desc("date"))

@@ -60,7 +60,7 @@ SELECT event_id, event_group, CASE WHEN event_group = 'CentralBankPolicy' THEN C
 
 
 def catalyst_chain(spark: SparkSession, d: str) -> DataFrame:
-    """Batches of titled events and headlines split by kind, bad ones kept apart, one row per natural key, then per day and group."""
+    """Batches of titled events and headlines split by kind, bad ones kept apart, one row per natural key, then per day and group."""
     e = _events(spark, d).withColumn("event_group", macro.event_group(F.col("title")))
     good, bad = payloads.split_rejects(e, {"no_value": F.col("value") < 5, "too_large": F.col("value") > 95}, F.col("event_id"), F.col("title"))
     where = macro.place(F.col("source"), F.col("title"))
