@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("market_plans", "candle_plans", "structure_plans", "join_plans", "clean_plans", "desk_plans", "extra_plans", "payload_plans", "rule_plans", "stream_plans", "catalyst_plans", "table_plans", "portfolio_plans", "input_plans")
+MODULES: tuple[str, ...] = ("market_plans", "candle_plans", "structure_plans", "join_plans", "clean_plans", "desk_plans", "extra_plans", "payload_plans", "rule_plans", "stream_plans", "catalyst_plans", "table_plans", "portfolio_plans", "input_plans", "calendar_plans")
 
 
 def register_all(register) -> None:
