@@ -43,6 +43,8 @@ SMALL_RUN = 8
 BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 #: Plausible pairs for each set of two blocks beyond which they are compared in full instead.
 CROWD = 4
+#: Tasks among which the rows of a pivot with more than one block are dealt before they go to their blocks.
+SALTS = 64
 #: Sets a task remembers so as to index equal ones once.
 SEEN_SETS = 400_000
 
@@ -546,11 +548,15 @@ def across_components(members: DataFrame, nodes: DataFrame, found: DataFrame, bo
         F.coalesce(F.max(F.when(F.col("away"), F.col("parts"))), F.lit(0)).alias("out"), F.coalesce(F.max(F.when(~F.col("away"), F.col("parts"))), F.lit(0)).alias("in_"),
     )
     who = who.select("pivot", F.lit(0).cast("long").alias("key"), "node", "component", "away", "n", "signature", F.lit(0).alias("kind"))
-    rows = who.unionByName(runs.select("pivot", "key", "node", "away", F.lit(1).alias("kind")), allowMissingColumns=True).join(parts, "pivot")
+    rows = who.unionByName(runs.select("pivot", "key", "node", "away", F.lit(1).alias("kind")), allowMissingColumns=True)
+    # every pivot has something away, and itself; only large ones have more than a block of either, and their rows are spread
+    large = parts.where("out > 1 or in_ > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node", "key"), F.lit(SALTS)).cast("int")).join(large, ["pivot", "salt"], "left")
+    rows = rows.withColumns({"out": F.coalesce("out", F.lit(1)), "in_": F.coalesce("in_", F.lit(1))})
     # blocks of what is away come first, then those of the pivot's component
     part = F.when(F.col("away"), F.pmod(F.col("node"), F.col("out"))).otherwise(F.col("out") + F.pmod(F.col("node"), F.col("in_"))).cast("int")
     meets = F.when(F.col("away"), F.sequence(F.lit(0), F.col("out") + F.col("in_") - 1)).otherwise(F.sequence(F.lit(0), F.col("out") - 1))
-    rows = rows.where("out > 0").withColumn("part", part).withColumn("other", F.explode(meets))
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(meets))
     rows = rows.select("pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "kind", "key", "part", "node", "component", "n", "signature")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, family = None, None
