@@ -157,3 +157,13 @@ def available(df: DataFrame, flag: str) -> DataFrame:
     from tapeloom.functions.scalars import truth
 
     return df.where(F.coalesce(truth(F.col(flag).cast("string")), F.lit(False)))
+
+
+def first_per(df: DataFrame, keys: list[str], most: int, *order: Column, place: str = "turn") -> DataFrame:
+    """The first ``most`` rows of each key by ``order``, numbered from 1 in ``place``: what a batch of that size takes.
+
+    Tasks drop what cannot be among the first before the exchange, so a key with very many rows sends ``most`` a task.
+    """
+    from pyspark.sql import Window
+
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(place) <= most)

@@ -83,20 +83,23 @@ SELECT o_orderstatus, sum(('0x' || substr(md5(o_orderkey || '|' || o_custkey ||
   count_if(o_totalprice > 250000)::BIGINT AS large, count(*) AS n FROM orders GROUP BY 1"""
 
 
+#: Customers that one batch of a segment takes.
+BATCH = 25
+
+
 def run_choice(spark: SparkSession, d: str) -> DataFrame:
-    """Best finished order of every customer (urgent first, newest, highest key), numbered by how long it waits."""
+    """Best finished order of every customer (urgent first, newest, highest key); the batch of BATCH per segment that waits longest."""
     o = table(spark, d, "orders").where("o_orderstatus = 'F'")
     best = clean.last_per_key(o, ["o_custkey"], F.col("o_orderpriority"), F.desc("o_orderdate"), F.desc("o_orderkey"), F.desc("o_totalprice"))
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment").join(best.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("day")), "o_custkey", "left")
-    w = Window.partitionBy("c_mktsegment").orderBy(F.asc_nulls_first("day"), "o_custkey")
-    return c.withColumn("turn", F.row_number().over(w)).where("turn <= 25").select("c_mktsegment", "turn", "o_custkey", "o_orderkey", "day")
+    return clean.first_per(c, ["c_mktsegment"], BATCH, F.asc_nulls_first("day"), F.col("o_custkey")).select("c_mktsegment", "turn", "o_custkey", "o_orderkey", "day")
 
 
-RUN_CHOICE = """
+RUN_CHOICE = f"""
 WITH b AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) AS k FROM orders WHERE o_orderstatus = 'F'),
 j AS (SELECT c_custkey AS o_custkey, c_mktsegment, o_orderkey, o_orderdate::DATE AS day FROM customer LEFT JOIN (SELECT * FROM b WHERE k = 1) x ON x.o_custkey = c_custkey),
 t AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY day NULLS FIRST, o_custkey)::INTEGER AS turn FROM j)
-SELECT c_mktsegment, turn, o_custkey, o_orderkey, day FROM t WHERE turn <= 25"""
+SELECT c_mktsegment, turn, o_custkey, o_orderkey, day FROM t WHERE turn <= {BATCH}"""
 
 
 def sweeps(spark: SparkSession, d: str) -> DataFrame:

@@ -180,6 +180,9 @@ def test_jumps_flags_samples_and_statistics(spark, tmp_path):
     assert [(r["day"], r["ratio"], r["level"]) for r in jumps] == [(d(2), 3.0, "error")]
     flags = spark.createDataFrame([("1",), (" On",), ("YES",), ("0",), (None,), ("perhaps",)], "f string")
     assert sorted(r["f"] for r in clean.available(flags, "f").collect()) == [" On", "1", "YES"]
+    hot = spark.createDataFrame([("a", i) for i in range(500)] + [("b", 1)], "k string, n int").repartition(6)
+    first = clean.first_per(hot, ["k"], 3, F.desc("n"))
+    assert sorted(map(tuple, first.collect())) == [("a", 497, 3), ("a", 498, 2), ("a", 499, 1), ("b", 1, 1)] and "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
     sample = ranking.sample_symbols(spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "symbol string"), most=2).collect()
     assert [tuple(r) for r in sample] == [("a", 3), ("b", 3)]
     tables.write_buckets(spark.createDataFrame([("a", d(1)), ("b", d(5)), ("b", d(3))], "symbol string, date date"), str(tmp_path / "s"))
