@@ -9,7 +9,7 @@ from tapeloom.functions import macro
 from tapeloom.operators import catalysts as operators
 from tapeloom.operators import ranking
 from tapeloom.plans.fixtures import BD, daily_bars
-from tapeloom.session import table
+from tapeloom.session import stored, table
 from tapeloom.sources import catalysts
 
 FETCHED = "1997-01-01 00:00:00"
@@ -192,7 +192,10 @@ SELECT id AS headline_id, row_number() OVER (PARTITION BY id ORDER BY ts, event_
 
 
 def _gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Auctions and headlines from their payloads, the newest headline of each id, and days of what they are about."""
+    """Auctions and headlines from their payloads, the newest headline of each id, and days of what they are about.
+
+    Events and headlines are stored: mentions, their parents and every view read them, payloads are made and parsed once.
+    """
     auctions, _ = catalysts.auctions(_auction_batches(spark, d), "payload", ["o_custkey"], F.lit(FETCHED).cast("timestamp"))
     group = macro.event_group(F.col("event_name"))
     events = auctions.select(
@@ -206,6 +209,7 @@ def _gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
     last = operators.current_headlines(operators.headline_versions(rows))
     headlines = last.select("headline_id", "headline", "published_at", F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("region"), F.col("summary").alias("event_group"),
                             F.split("tickers", ",").alias("tickers"), F.col("withdrawn").alias("withdrawal_flag"), F.to_date("published_at").alias("as_of_date"))
+    events, headlines = stored(events, "catalyst-events"), stored(headlines, "catalyst-headlines")
     found = operators.mentions(events, headlines).unionByName(spark.createDataFrame([("event", "no such event", "country", "US")], "item_kind string, item_id string, entity_type string, entity_key string"))
     days = operators.entity_days(operators.with_parents(found, events, headlines), F.lit(FETCHED).cast("timestamp"))
     return events, headlines, days
@@ -247,6 +251,7 @@ FROM m GROUP BY ALL""".replace("{{", "{").replace("}}", "}")
 def catalyst_views(spark: SparkSession, d: str) -> DataFrame:
     """Rows of all views by SQL, some between two days by their table functions, and the first 25 symbols of a view in order."""
     events, headlines, days = _gold(spark, d)
+    days = stored(days, "catalyst-days")
     register_views = operators.register_views(spark, "v_", events=events, headlines=headlines, entity_daily=days, market_data=daily_bars(spark, d).withColumnRenamed("date", "as_of_date"))
     spans = {"v_economic_catalyst_headlines_by_date": ("2024-01-05", "2024-01-20")}
     parts = []
