@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapeloom.functions.scalars import bound
+
 # Words of event groups in order, what makes an event important, places by source and by text, and factors by group.
 EVENT_WORDS = {
     "Labor": ("nonfarm payroll", "employment situation", "jobless", "unemployment", "labor"),
@@ -47,17 +49,23 @@ def _has(text: Column, words: tuple[str, ...]) -> Column:
 
 def event_group(text: Column) -> Column:
     """The first group one of whose words the text holds."""
-    t, out = _plain(text), F.lit(OTHER_GROUP)
-    for group, words in reversed(EVENT_WORDS.items()):
-        out = F.when(_has(t, words), group).otherwise(out)
-    return out
+
+    def told(t: Column) -> Column:
+        out = F.lit(OTHER_GROUP)
+        for group, words in reversed(EVENT_WORDS.items()):
+            out = F.when(_has(t, words), group).otherwise(out)
+        return out
+
+    return bound(_plain(text), told)
 
 
 def importance(text: Column, group: Column) -> Column:
-    t = _plain(text)
-    policy = F.when(_has(t, POLICY_NOTES), "medium").otherwise("high")
-    high = _has(t, HIGH_WORDS) | group.isin(*HIGH_GROUPS)
-    return F.when(group == "CentralBankPolicy", policy).when(high, "high").when(group.isin(*MEDIUM_GROUPS), "medium").otherwise("low")
+    def told(t: Column) -> Column:
+        policy = F.when(_has(t, POLICY_NOTES), "medium").otherwise("high")
+        high = _has(t, HIGH_WORDS) | group.isin(*HIGH_GROUPS)
+        return F.when(group == "CentralBankPolicy", policy).when(high, "high").when(group.isin(*MEDIUM_GROUPS), "medium").otherwise("low")
+
+    return bound(_plain(text), told)
 
 
 def place(source: Column, text: Column) -> Column:
@@ -66,9 +74,13 @@ def place(source: Column, text: Column) -> Column:
     def told(x: tuple[str, str, str]) -> Column:
         return F.struct(*[F.lit(v).alias(n) for v, n in zip(x, ("country", "region", "currency"), strict=True)])
 
-    t, out = _plain(text), F.lit(None)
-    for words, where in reversed(TEXT_PLACES):
-        out = F.when(_has(t, words), told(where)).otherwise(out)
+    def by_text(t: Column) -> Column:
+        out = F.lit(None)
+        for words, where in reversed(TEXT_PLACES):
+            out = F.when(_has(t, words), told(where)).otherwise(out)
+        return out
+
+    out = bound(_plain(text), by_text)
     for name, where in SOURCE_PLACES.items():
         out = F.when(source == name, told(where)).otherwise(out)
     return out

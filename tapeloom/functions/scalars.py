@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,9 +96,19 @@ def real_text(x: Column) -> Column:
     return F.when((t != "") & ~F.lower(t).isin(*PLACEHOLDERS), t)
 
 
+def single_spaced(x: Column) -> Column:
+    """Single spaces, none at the ends; empty if nothing is left."""
+    return F.trim(F.regexp_replace(x, r"\s+", " "))
+
+
 def squeezed(x: Column) -> Column:
     """Single spaces, none at the ends; null if nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(x, r"\s+", " ")), F.lit(""))
+    return F.nullif(single_spaced(x), F.lit(""))
+
+
+def bound(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
 
 
 def market_code(x: Column) -> Column:

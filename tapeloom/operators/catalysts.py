@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapeloom.functions.scalars import bound, single_spaced
+
 # Who comes first where several feeds tell the same headline, words that name a central bank,
 # and the groups that are counted by themselves.
 FEED_PRIORITY = ("massive_news", "alpaca_news", "alpha_vantage_news")
@@ -71,19 +73,25 @@ def mentions(events: DataFrame, headlines: DataFrame) -> DataFrame:
     def each(kind: str, listed: Column) -> Column:
         return F.coalesce(F.transform(listed, lambda x: F.struct(F.lit(kind).alias("entity_type"), x.alias("entity_key"))), F.array().cast("array<struct<entity_type:string,entity_key:string>>"))
 
-    name, bank = F.lower("event_name"), F.lit(None).cast("string")
-    for code, words in reversed(CENTRAL_BANKS):
-        said = F.lit(False)
-        for word in words:
-            said = said | name.contains(word)
-        bank = F.when(said, code).otherwise(bank)
-    c = F.col
+    def bank_of(name: Column) -> Column:
+        bank = F.lit(None).cast("string")
+        for code, words in reversed(CENTRAL_BANKS):
+            said = F.lit(False)
+            for word in words:
+                said = said | name.contains(word)
+            bank = F.when(said, code).otherwise(bank)
+        return bank
+
+    c, bank = F.col, bound(F.lower("event_name"), bank_of)
     of_events = F.concat(named(("country", c("country")), ("region", c("region")), ("currency", c("currency")), ("indicator", c("event_group")), ("central_bank", bank)), each("factor", c("factors")))
     of_headlines = F.concat(named(("country", c("country")), ("region", c("region")), ("indicator", c("event_group"))), each("symbol", F.transform("tickers", lambda t: F.upper(t))))
-    rows = events.select(F.lit("event").alias("item_kind"), F.col("event_id").alias("item_id"), F.explode(of_events).alias("e")).unionByName(
-        headlines.select(F.lit("headline").alias("item_kind"), F.col("headline_id").alias("item_id"), F.explode(of_headlines).alias("e")))
-    key = F.nullif(F.trim(F.regexp_replace("e.entity_key", r"\s+", " ")), F.lit(""))
-    return rows.select("item_kind", "item_id", "e.entity_type", key.alias("entity_key")).where("entity_key is not null and item_id is not null").distinct()
+
+    def cleaned(listed: Column) -> Column:
+        return F.filter(F.transform(listed, lambda e: F.struct(e["entity_type"].alias("entity_type"), single_spaced(e["entity_key"]).alias("entity_key"))), lambda e: e["entity_key"] != "")
+
+    rows = events.select(F.lit("event").alias("item_kind"), c("event_id").alias("item_id"), F.explode(cleaned(of_events)).alias("e")).unionByName(
+        headlines.select(F.lit("headline").alias("item_kind"), c("headline_id").alias("item_id"), F.explode(cleaned(of_headlines)).alias("e")))
+    return rows.select("item_kind", "item_id", "e.entity_type", "e.entity_key").where("item_id is not null").distinct()
 
 
 def with_parents(mentions: DataFrame, events: DataFrame, headlines: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ FETCHED = "1997-01-01 00:00:00"
 
 def _listed(df: DataFrame, keys: list[str], order: list[str], text: Column) -> DataFrame:
     """The rows' texts of each key behind each other, in order."""
-    lists = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, text.alias("_t")))).alias("_l"))
+    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, text.alias("_t")))).alias("_l"))
     return lists.select(*keys, F.array_join(F.transform("_l", lambda x: x["_t"]), "").alias("text"))
 
 
@@ -197,10 +197,10 @@ def _gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
     Events and headlines are stored: mentions, their parents and every view read them, payloads are made and parsed once.
     """
     auctions, _ = catalysts.auctions(_auction_batches(spark, d), "payload", ["o_custkey"], F.lit(FETCHED).cast("timestamp"))
-    group = macro.event_group(F.col("event_name"))
+    auctions, group = auctions.withColumn("event_group", macro.event_group(F.col("event_name"))), F.col("event_group")
     events = auctions.select(
         F.concat_ws("/", F.col("o_custkey").cast("string"), F.col("position").cast("string"), "source_event_key").alias("event_id"), "event_name", F.col("published_at").cast("timestamp").alias("published_at"), "effective_at",
-        F.lit("US").alias("country"), F.lit("North America").alias("region"), F.lit("USD").alias("currency"), group.alias("event_group"), macro.factor_tags(group).alias("factors"),
+        F.lit("US").alias("country"), F.lit("North America").alias("region"), F.lit("USD").alias("currency"), group, macro.factor_tags(group).alias("factors"),
         (macro.importance(F.col("event_name"), group) == "high").alias("high_impact"), F.when(F.col("summary") == "is open", "revised").otherwise(F.col("schedule_status")).alias("schedule_status"),
         (F.col("position") % 5 == 4).alias("withdrawal_flag"), F.to_date("effective_at").alias("as_of_date"))
     feeds, _ = catalysts.feed_headlines(_feed_batches(spark, d), "source", "payload", ["user_id", "day"])

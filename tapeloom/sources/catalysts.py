@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.functions.scalars import squeezed
+from tapeloom.functions.scalars import bound, single_spaced, squeezed
 from tapeloom.sources.payloads import day_of
 
 _CORRUPT = "_unreadable"
@@ -20,15 +20,19 @@ FEEDS = ("massive_news", "alpaca_news", "alpha_vantage_news")
 UNSUPPORTED, UNREADABLE, NO_AUCTIONS = "unsupported_source_name", "parser_failure", "no_treasury_rows_parsed"
 
 
+def _soft(x: Column) -> Column:
+    return F.replace(x, F.lit("\u00a0"), F.lit(" "))
+
+
 def plain(x: Column) -> Column:
     """Single spaces, no hard ones, none at the ends; null if nothing is left."""
-    return squeezed(F.replace(x, F.lit("\u00a0"), F.lit(" ")))
+    return squeezed(_soft(x))
 
 
 def moment(x: Column) -> Column:
     """A time as ISO text, as ``20240105T100000``, or as in mail headers."""
-    t = F.regexp_replace(plain(x), r"^[A-Za-z]{3},\s*", "")
-    return F.coalesce(F.try_to_timestamp(t), F.try_to_timestamp(t, F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(t, F.lit("d MMM yyyy HH:mm:ss Z")))
+    text = F.regexp_replace(single_spaced(_soft(x)), r"^[A-Za-z]{3},\s*", "")
+    return bound(text, lambda t: F.coalesce(F.try_to_timestamp(t), F.try_to_timestamp(t, F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(t, F.lit("d MMM yyyy HH:mm:ss Z"))))
 
 
 def auctions(batches: DataFrame, payload: str, keys: list[str], ingested_at: Column, zone: str = "America/New_York") -> tuple[DataFrame, DataFrame]:
@@ -43,15 +47,15 @@ def auctions(batches: DataFrame, payload: str, keys: list[str], ingested_at: Col
     """
     names = ("cusip", "securityType", "type", "auctionDate", "auction_date", "announcementType", "operationStatus")
     schema = f"struct<auction:array<struct<{', '.join(f'{n}:string' for n in names)}>>,{_CORRUPT}:string>"
-    read = F.from_xml(F.col(payload), schema, _XML)
-    one = batches.select(*keys, F.col(payload).alias("_payload"), ingested_at.alias("_ingested"), F.when(read[_CORRUPT].isNull(), read["auction"]).alias("_auctions"))
-    kind = lambda a: plain(F.coalesce(F.nullif(a["securityType"], F.lit("")), a["type"]))
-    day = lambda a: day_of(F.coalesce(F.nullif(a["auctionDate"], F.lit("")), a["auction_date"]))
-    usable = F.filter("_auctions", lambda a: kind(a).isNotNull() & day(a).isNotNull())
-    one = one.withColumn("_usable", F.coalesce(usable, F.array().cast(f"array<struct<{', '.join(f'{n}:string' for n in names)}>>")))
-    rows = one.select(*keys, "_ingested", F.posexplode("_usable").alias("position", "_a"))
+    # the payload is named once in what follows, so that it is parsed once: also by a filter that is pushed down to it
+    listed = bound(F.from_xml(F.col(payload), schema, _XML), lambda r: F.when(r[_CORRUPT].isNull(), r["auction"]))
+    told = F.transform(listed, lambda a: F.struct(
+        single_spaced(_soft(F.coalesce(F.nullif(a["securityType"], F.lit("")), a["type"]))).alias("kind"), day_of(F.coalesce(F.nullif(a["auctionDate"], F.lit("")), a["auction_date"])).alias("day"),
+        *[a[n].alias(n) for n in ("cusip", "announcementType", "operationStatus")]))
+    usable = F.filter(told, lambda a: (a["kind"] != "") & a["day"].isNotNull())
+    rows = batches.select(*keys, ingested_at.alias("_ingested"), F.posexplode(usable).alias("position", "_a"))
     a = F.col("_a")
-    rows = rows.withColumns({"_kind": kind(a), "_day": day(a)})
+    rows = rows.select(*keys, "_ingested", "position", "_a", a["kind"].alias("_kind"), a["day"].alias("_day"))
     events = rows.select(
         *keys, "position", F.coalesce(plain(a["cusip"]), F.concat_ws(":", "_kind", F.date_format("_day", "yyyy-MM-dd"))).alias("source_event_key"),
         F.concat(F.lit("U.S. Treasury "), "_kind", F.lit(" auction")).alias("event_name"),
@@ -59,7 +63,7 @@ def auctions(batches: DataFrame, payload: str, keys: list[str], ingested_at: Col
         F.col("_day").alias("published_at"), F.when(F.col("_day") >= F.to_date("_ingested"), "scheduled").otherwise("released").alias("schedule_status"),
         F.coalesce(plain(a["announcementType"]), plain(a["operationStatus"])).alias("summary"),
     )
-    rejects = one.where(F.size("_usable") == 0).select(*keys, F.lit(NO_AUCTIONS).alias("reason"), F.substring("_payload", 1, 200).alias("preview"))
+    rejects = batches.where(F.coalesce(F.size(usable), F.lit(0)) < 1).select(*keys, F.lit(NO_AUCTIONS).alias("reason"), F.substring(payload, 1, 200).alias("preview"))
     return events, rejects
 
 
@@ -71,7 +75,7 @@ _HEADLINE = ("source_item_id", "headline", "summary", "url", "author", "publishe
 
 
 def _distinct_texts(x: Column) -> Column:
-    return F.coalesce(F.array_distinct(F.filter(F.transform(x, lambda v: plain(v)), lambda v: v.isNotNull())), F.array().cast("array<string>"))
+    return F.coalesce(F.array_distinct(F.filter(F.transform(x, lambda v: single_spaced(_soft(v))), lambda v: v != "")), F.array().cast("array<string>"))
 
 
 def feed_headlines(batches: DataFrame, source: str, payload: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -83,13 +87,16 @@ def feed_headlines(batches: DataFrame, source: str, payload: str, keys: list[str
     reason, preview``.
     """
     name = plain(F.col(source))
-    read = F.from_json(F.col(payload), f"struct<results:array<struct<{_JSON_ITEM}>>, news:array<struct<{_JSON_ITEM}>>, feed:array<struct<{_JSON_ITEM}>>, {_CORRUPT}:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    one = batches.select(*keys, F.coalesce(name, F.lit("unknown")).alias("source_name"), F.col(payload).alias("_payload"), read.alias("_read"))
-    reason = F.when(~F.col("source_name").isin(*FEEDS), UNSUPPORTED).when(F.col("_payload").isNull() | F.col("_read").isNull() | F.col(f"_read.{_CORRUPT}").isNotNull(), UNREADABLE)
-    one = one.withColumn("_reason", reason)
-    massive, alpaca, vantage = FEEDS
-    items = F.when(F.col("source_name") == massive, F.col("_read.results")).when(F.col("source_name") == alpaca, F.coalesce("_read.news", "_read.results")).otherwise(F.col("_read.feed"))
-    rows = one.where("_reason is null").select(*keys, "source_name", F.posexplode(items).alias("position", "r"))
+    shape = f"struct<results:array<struct<{_JSON_ITEM}>>, news:array<struct<{_JSON_ITEM}>>, feed:array<struct<{_JSON_ITEM}>>, {_CORRUPT}:string>"
+    one = batches.select(*keys, F.coalesce(name, F.lit("unknown")).alias("source_name"), F.col(payload).alias("_payload"))
+    known, massive, alpaca, read = F.col("source_name").isin(*FEEDS), FEEDS[0], FEEDS[1], F.from_json(F.col("_payload"), shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+    def items(r: Column) -> Column:
+        by_source = F.when(F.col("source_name") == massive, r["results"]).when(F.col("source_name") == alpaca, F.coalesce(r["news"], r["results"])).otherwise(r["feed"])
+        return F.when(r[_CORRUPT].isNull(), by_source)
+
+    # no filter asks whether the payload can be read, as that would parse it again: what cannot has no items
+    rows = one.where(known).select(*keys, "source_name", F.posexplode(bound(read, items)).alias("position", "r"))
 
     def by_feed(a: Column, b: Column, c: Column) -> Column:
         return F.when(F.col("source_name") == massive, a).when(F.col("source_name") == alpaca, b).otherwise(c)
@@ -105,7 +112,8 @@ def feed_headlines(batches: DataFrame, source: str, payload: str, keys: list[str
         _distinct_texts(by_feed(r("channels"), none, topics)),
     )
     headlines = rows.select(*keys, "source_name", "position", *[f.alias(n) for f, n in zip(fields, _HEADLINE, strict=True)]).where("headline is not null")
-    rejects = one.where("_reason is not null").select(*keys, "source_name", F.col("_reason").alias("reason"), F.substring("_payload", 1, 200).alias("preview"))
+    reason = F.when(~known, UNSUPPORTED).when(bound(read, lambda r: r.isNull() | r[_CORRUPT].isNotNull()), UNREADABLE)
+    rejects = one.withColumn("_reason", reason).where("_reason is not null").select(*keys, "source_name", F.col("_reason").alias("reason"), F.substring("_payload", 1, 200).alias("preview"))
     return headlines, rejects
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tapeloom.functions import macro
 from tapeloom.plans import catalyst_plans
+from tapeloom.sources import catalysts
 from tests.conftest import SMALL
 
 
@@ -13,3 +17,21 @@ def _plan(df) -> str:
 def test_views_do_not_parse_again(spark):
     plan = _plan(catalyst_plans.catalyst_views(spark, SMALL))
     assert "from_xml" not in plan and "from_json" not in plan and "collect_list" not in plan
+
+
+def test_payloads_are_parsed_once(spark):
+    df = spark.createDataFrame([("k", "alpaca_news", "<l><auction><type>a</type><auction_date>2024-01-05</auction_date></auction><auction/></l>", '{"news":[{"id":"1","headline":" A  b "},{"headline":" "}]}'),
+                                ("n", "alpaca_news", None, None), ("e", "alpaca_news", "<l/>", '{"news":[]}'), ("c", "alpaca_news", "<l><auction>", '{"news":[{"id"'), ("u", "else", "<l/>", "{}")], "k string, s string, x string, j string")
+    events, rejects = catalysts.auctions(df, "x", ["k"], F.lit("2024-01-01").cast("timestamp"))
+    assert _plan(events).count("from_xml") == 1 and _plan(rejects).count("from_xml") == 1
+    assert [(r["k"], r["position"], r["source_event_key"]) for r in events.collect()] == [("k", 0, "a:2024-01-05")] and sorted(r["k"] for r in rejects.collect()) == ["c", "e", "n", "u"]
+    headlines, bad = catalysts.feed_headlines(df, "s", "j", ["k"])
+    assert _plan(headlines).count("from_json") == 1
+    assert [(r["k"], r["position"], r["headline"]) for r in headlines.collect()] == [("k", 0, "A b")]
+    assert sorted((r["k"], r["reason"]) for r in bad.collect()) == [("c", "parser_failure"), ("n", "parser_failure"), ("u", "unsupported_source_name")]
+
+
+def test_texts_are_cleaned_once(spark):
+    df = spark.range(3).select(F.concat(F.lit("U.S. Treasury  "), F.col("id").cast("string"), F.lit(" auction")).alias("t"))
+    plan = _plan(df.select(macro.event_group(F.col("t")).alias("g"), macro.importance(F.col("t"), F.lit("Labor")).alias("i"), macro.place(F.lit(None).cast("string"), F.col("t")).alias("p")))
+    assert plan.count("regexp_replace") == 3
