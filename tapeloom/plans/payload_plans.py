@@ -12,7 +12,7 @@ from tapeloom.sources import payloads as P
 
 def _texts(df: DataFrame, keys: list[str], order: list[str], row: Column, text) -> DataFrame:
     """One payload text per key; ``order`` is the rows' place in its list."""
-    lists = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, row.alias("_r")))).alias("_l"))
+    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, row.alias("_r")))).alias("_l"))
     return lists.select(*keys, text(F.transform("_l", lambda x: x["_r"])).alias("payload"))
 
 

@@ -95,15 +95,14 @@ def report_rows(
     rows = F.from_json(F.col(column), f"struct<`{path}`:array<map<string,string>>>")[path]
     one = df.select(*keys, F.posexplode(rows).alias("position", "_row")).withColumn("_row", plain_fields(F.col("_row")))
     row = F.col("_row")
-    one = one.select(*keys, "position", day_of(field(row, *dates)).alias("date"), F.lower(F.trim(field(row, "timeframe"))).alias("timeframe"),
-                     *[number(field(row, *names)).alias(m) for m, names in metrics.items()])
-    one = one.where(F.col("date").isNotNull() & F.coalesce(*metrics).isNotNull())
-    if timeframes is None:
-        one = one.drop("timeframe")
-    else:
-        one = one.where(F.col("timeframe").isin(*timeframes))
+    one = one.select(*keys, "position", field(row, *dates).alias("date"), *([] if timeframes is None else [field(row, "timeframe").alias("timeframe")]), *[field(row, *names).alias(m) for m, names in metrics.items()])
+    one = one.withColumns({"date": day_of(F.col("date")), **({} if timeframes is None else {"timeframe": F.lower(F.trim("timeframe"))}), **{m: number(F.col(m)) for m in metrics}})
+    stays = F.col("date").isNotNull() & F.coalesce(*metrics).isNotNull()
+    if timeframes is not None:
+        stays = stays & F.col("timeframe").isin(*timeframes)
     group = [*keys, "date", *([] if timeframes is None else ["timeframe"])]
-    last = one.groupBy(*group).agg(F.max_by(F.struct(*metrics), "position").alias("_m"))
+    # rows that go have no place among those of their date: a filter would be pushed down and clean all names again for each field
+    last = one.groupBy(*group).agg(F.max_by(F.struct(*metrics), F.when(stays, F.col("position"))).alias("_m")).where("_m is not null")
     return last.select(*group, "_m.*")
 
 
@@ -134,7 +133,8 @@ def earnings_history(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     one = one.select(*keys, "position", day_of(F.coalesce(text("fiscalDateEnding"), text("reportedDate"))).alias("date"), F.struct(
         day_of(text("reportedDate")).alias("report_date"), number(text("reportedEPS")).alias("reported_eps"), number(text("estimatedEPS")).alias("eps_estimate"),
         F.coalesce(number(text("surprisePercentage")) / 100, number(text("surprise"))).alias("surprise"), F.lit("actual").alias("record_type")).alias("_r"))
-    return one.where("date is not null").groupBy(*keys, "date").agg(F.max_by("_r", "position").alias("_r")).select(*keys, "date", "_r.*")
+    last = one.groupBy(*keys, "date").agg(F.max_by("_r", F.when(F.col("date").isNotNull(), F.col("position"))).alias("_r"))
+    return last.where("_r is not null").select(*keys, "date", "_r.*")
 
 
 def csv_fields(df: DataFrame, column: str, keys: list[str], names: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import macro
 from tapeloom.plans import catalyst_plans
-from tapeloom.sources import catalysts
+from tapeloom.sources import catalysts, payloads
 from tests.conftest import SMALL
 
 
@@ -35,3 +35,16 @@ def test_texts_are_cleaned_once(spark):
     df = spark.range(3).select(F.concat(F.lit("U.S. Treasury  "), F.col("id").cast("string"), F.lit(" auction")).alias("t"))
     plan = _plan(df.select(macro.event_group(F.col("t")).alias("g"), macro.importance(F.col("t"), F.lit("Labor")).alias("i"), macro.place(F.lit(None).cast("string"), F.col("t")).alias("p")))
     assert plan.count("regexp_replace") == 3
+
+
+def test_names_are_cleaned_once(spark):
+    rows = '{"rows":[{"Date":"2024-01-05","pe":"1","Time Frame":"Annual"},{"date":"2024-01-05","p/e":"2","timeframe":" annual"},{"date":"2024-01-05","pe":"n/a","timeframe":"annual"},{"date":"2024-01-05","pe":"3","timeframe":"weekly"},{"date":"soon","pe":"4","timeframe":"annual"}]}'
+    df = spark.createDataFrame([("a", rows), ("b", '{"rows":[{"date":"2024-01-05"},{"pe":"1"}]}'), ("c", None), ("d", "no list")], "k string, p string")
+    for frames, want in ((None, [("a", "2024-01-05", 3.0)]), (payloads.TIMEFRAMES, [("a", "2024-01-05", "annual", 2.0)])):
+        got = payloads.report_rows(df, "p", ["k"], "rows", ["date"], {"pe": ["pe"]}, frames)
+        assert _plan(got).count("regexp_replace") == 1
+        assert [tuple(v if isinstance(v, (str, float)) else str(v) for v in r) for r in got.collect()] == want
+    reports = '{"quarterlyEarnings":[{"fiscalDateEnding":"2024-03-31","reportedEPS":"1"},{"reportedDate":"2024-03-31","reportedEPS":"2"},{"reportedEPS":"3"}]}'
+    got = payloads.earnings_history(spark.createDataFrame([("a", reports), ("b", '{"quarterlyEarnings":[{"reportedEPS":"3"}]}')], "k string, p string"), "p", ["k"])
+    assert _plan(got).count("regexp_replace") == 1
+    assert [(r["k"], str(r["date"]), r["reported_eps"]) for r in got.collect()] == [("a", "2024-03-31", 2.0)]
