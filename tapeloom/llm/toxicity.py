@@ -185,21 +185,24 @@ def word_ratios(words: DataFrame, model: dict, least: float | None = None) -> Da
     A letter whose context no class knows says nothing; words of such letters
     only are left out, and of those whose ratio is ``least`` or below some too.
     """
-    t, i = model["tables"], model["columns"]
+    t, i, shared = model["tables"], model["columns"], None
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             word, letters = grams_of(batch.column(0).to_pylist())
+            if shared is not None:
+                at = np.fromiter((zlib.crc32(x.encode()) >> (32 - BOUND_BITS) for x in letters), dtype=np.int64, count=len(letters))
+                able = (np.bincount(word, weights=shared.value[at], minlength=batch.num_rows) > least * LOG_UNIT - 1)[word]
+                word, letters = word[able], [x for x, ok in zip(letters, able.tolist(), strict=True) if ok]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(word)), pa.array(letters, pa.string())], names=["word", "gram"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(grams_of(batch.column(0).to_pylist())[1])), pa.string())], names=["gram"])
 
-    only = words.select("word")
     contexts = t["contexts"].select("context", *[F.col(f"{x}{i + c}").alias(f"{x}{c}") for x in "ck" for c in (0, 1)]).where("k0 > 0 or k1 > 0")
     own = t["grams"].select("gram", *[F.col(f"d{i + c}").alias(f"d{c}") for c in (0, 1)])
-    met = only.mapInArrow(once, "gram string").distinct().withColumn("context", F.substring("gram", 1, ORDER - 1))
+    met = words.select("word").mapInArrow(once, "gram string").distinct().withColumn("context", F.substring("gram", 1, ORDER - 1))
     met = met.join(own, "gram", "left").join(contexts, "context")
     # a class's own probability is a + b x p
     part = [F.when(F.col(f"k{c}") > 0, F.coalesce(f"d{c}", F.lit(0.0)) / F.col(f"c{c}")).otherwise(F.lit(0.0)).alias(f"a{c}") for c in (0, 1)]
@@ -216,14 +219,7 @@ def word_ratios(words: DataFrame, model: dict, least: float | None = None) -> Da
         bound[most["b"].to_numpy()] = most["says"].to_numpy()
         shared = words.sparkSession.sparkContext.broadcast(bound)
 
-        def able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                word, letters = grams_of(batch.column(0).to_pylist())
-                at = np.fromiter((zlib.crc32(x.encode()) >> (32 - BOUND_BITS) for x in letters), dtype=np.int64, count=len(letters))
-                yield batch.filter(pa.array(np.bincount(word, weights=shared.value[at], minlength=batch.num_rows) > least * LOG_UNIT - 1))
-
-        only = only.mapInArrow(able, "word string")
-    rows = only.mapInArrow(listed, "word string, gram string")
+    rows = words.select("word").mapInArrow(listed, "word string, gram string")
     return rows.join(says, "gram").groupBy("word").agg((F.sum("says") / LOG_UNIT).alias("ratio"))
 
 
@@ -311,26 +307,31 @@ def evidence(df: DataFrame, model: dict, keep: list[str], text_col: str = "text"
         open_buckets = np.packbits(marks)
     shared = df.sparkSession.sparkContext.broadcast((weights, open_buckets))
     names = [f"_keep{i}" for i in range(len(keep))]
-    kinds = [f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)]
-    picked = df.select(*[F.col(c).alias(n) for n, c in zip(names, keep, strict=True)], *([] if rest is None else [_digest(F.col(text_col)).alias("_digest")]), F.col(text_col).alias("_text"))
-    given = picked.columns
-    at = len(given) - 1
-    schema = ", ".join([*kinds, *([] if rest is None else ["_digest string"]), "_sum long, _words long", *([] if rest is None else ["_open array<string>"])])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.struct([("sum", pa.int64()), ("words", pa.int64()), *([] if rest is None else [("open", pa.list_(pa.string()))])])
+
+    # only the text goes to the workers, and only what it says comes back; its row stays in the JVM
+    @F.arrow_udf("sum long, words long" + ("" if rest is None else ", open array<string>"))
+    def told(texts: pa.Array) -> pa.Array:
         weights, buckets = shared.value
         look = weights.get
-        for batch in slices(batches, at, SLICE_CHARS):
-            lists = [words_of(t or "") for t in batch.column(at).to_pylist()]
+        parts = [pa.array([], kind)]
+        for batch in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), 0, SLICE_CHARS):
+            lists = [words_of(t or "") for t in batch.column(0).to_pylist()]
             columns = [pa.array([sum([look(w, 0) for w in ws]) for ws in lists], pa.int64()), pa.array(map(len, lists), pa.int64())]
             if buckets is not None:
                 fresh = [w for w in set().union(*lists) if w not in weights]
                 hashes = [zlib.crc32(w.encode()) >> (32 - REST_BITS) for w in fresh]
                 may = {w for w, h in zip(fresh, hashes, strict=True) if buckets[h >> 3] >> (7 - (h & 7)) & 1}
                 columns.append(pa.array([[w for w in ws if w in may] for ws in lists], pa.list_(pa.string())))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], names=[*given[:at], "_sum", "_words", "_open"][: at + len(columns)])
-
-    rows = picked.mapInArrow(run, schema)
+            parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+        return pa.concat_arrays(parts)
+
+    # each text is looked at once, whatever is asked of the result
+    found = told.asNondeterministic()(F.col(text_col)).alias("_told")
+    digest = [] if rest is None else [_digest(F.col(text_col)).alias("_digest")]
+    rows = df.select(*[F.col(c).alias(n) for n, c in zip(names, keep, strict=True)], *digest, found)
+    rows = rows.select(*rows.columns[:-1], *[F.col(f"_told.{c}").alias(f"_{c}") for c in ["sum", "words", *([] if rest is None else ["open"])]])
     total = F.col("_sum")
     if rest is not None:
         rows = staged(rows, "toxic-open")

@@ -349,6 +349,28 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
         assert sorted(map(str, toxicity.drop_toxic(texts, model).collect())) == kept
 
 
+def test_toxicity_sends_a_text_to_python_once(spark):
+    """Workers get each text once and give none back; words pass through one Python step on their way to the ratios."""
+    rows = [(i, " ".join(f"plain{(i * 7 + k) % 50}" for k in range(400)) + (" zorgblat" * 20 if i % 6 == 0 else ""), int(i % 6 == 0), int(i % 4 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, part int")
+    model = toxicity.fit(df)
+    kept = toxicity.drop_toxic(df, model)
+    assert 0 < kept.count() < 240 and kept.columns == df.columns
+    kept.collect()
+    todo, moved = [kept._jdf.queryExecution().executedPlan()], {"pythonDataSent": 0, "pythonDataReceived": 0}
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        for name in moved:
+            if node.metrics().contains(name):
+                moved[name] += node.metrics().apply(name).value()
+    size = sum(len(r[1]) for r in rows)
+    assert size < moved["pythonDataSent"] < 1.3 * size and 0 < moved["pythonDataReceived"] < 0.3 * size
+    ratios = toxicity.word_ratios(spark.createDataFrame([(w,) for w in sorted({w for r in rows for w in r[1].split()})], "word string"), model, toxicity.MARGIN)
+    assert ratios._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert "zorgblat" in {r["word"] for r in ratios.collect()}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
